@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,6 +40,14 @@ class Workspace:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def with_row_id(self, df: DataFrame, name: str = "row_id") -> DataFrame:
+        """Number the rows of a table that has no unique column, and fix the numbers by writing them.
+
+        The numbers are unique and follow the input order within each partition; they are not
+        consecutive across partitions.
+        """
+        return self.keep(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
     def clear(self) -> None:
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.folder)
