@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,12 +30,14 @@ class Levels:
     """Fitted dictionaries of one or more columns.
 
     ``frame`` has the columns column, level, n and index (0.0 for the most frequent level).
-    ``labels`` maps each column to its levels in index order, or is None when there are too many.
+    ``labels`` maps each column to its levels in index order and ``counts`` to their row counts;
+    both are None when there are too many levels for the driver.
     """
 
     frame: DataFrame
     columns: tuple[str, ...]
     labels: dict[str, list[str]] | None
+    counts: dict[str, list[int]] | None = None
     broadcast_levels: int = BROADCAST_LEVELS
 
     def mode(self, column: str) -> str | None:
@@ -75,11 +78,12 @@ def fit_levels(
     schema = "column string, level string, n bigint, index double"
     local = counts.limit(max_local + 1).collect()
     if len(local) <= max_local:
-        labels, rows = {c: [] for c in columns}, []
+        labels, sizes, rows = {c: [] for c in columns}, {c: [] for c in columns}, []
         for r in sorted(local, key=lambda r: (r.column, -r.n, r.level.encode())):
             rows.append((r.column, r.level, r.n, float(len(labels[r.column]))))
             labels[r.column].append(r.level)
-        return Levels(spark.createDataFrame(rows, schema), columns, labels)
+            sizes[r.column].append(r.n)
+        return Levels(spark.createDataFrame(rows, schema), columns, labels, sizes)
 
     workspace = workspace or Workspace(spark)
     counts = workspace.keep(counts, "level_counts")
@@ -89,7 +93,7 @@ def fit_levels(
     frame = placed.join(F.broadcast(first), "column").select(
         "column", "level", "n", (F.col("idx") - F.col("first")).cast("double").alias("index")
     )
-    return Levels(frame, columns, None, broadcast_levels)
+    return Levels(frame, columns, None, None, broadcast_levels)
 
 
 def _lookup(df: DataFrame, levels: Levels, column: str, output: str) -> DataFrame:
@@ -119,24 +123,26 @@ def _hashable(df: DataFrame, name: str) -> bool:
     return "map<" not in df.schema[name].dataType.simpleString()
 
 
-def indexer(levels: Levels, columns: Sequence[str] | None = None, suffix: str = "_index") -> StringIndexerModel:
-    """The dictionaries as a Spark ML stage; unknown levels and nulls fail."""
+def indexers(levels: Levels, columns: Sequence[str] | None = None, suffix: str = "_index") -> list[StringIndexerModel]:
+    """The dictionaries as Spark ML stages; unknown levels and nulls fail.
+
+    One stage per column: PySpark pads label lists of unequal length to a rectangle when several
+    share a stage, which would add levels that do not exist.
+    """
     columns = list(columns or levels.columns)
     if levels.labels is None:
         raise ValueError(f"over {MAX_LOCAL_LEVELS} levels: too many for a model stage, use index_apply")
-    return StringIndexerModel.from_arrays_of_labels(
-        [levels.labels[c] for c in columns],
-        inputCols=columns,
-        outputCols=[c + suffix for c in columns],
-        handleInvalid="error",
-    )
+    return [
+        StringIndexerModel.from_labels(levels.labels[c], inputCol=c, outputCol=c + suffix, handleInvalid="error")
+        for c in columns
+    ]
 
 
 def index_apply(df: DataFrame, levels: Levels, columns: Sequence[str] | None = None, suffix: str = "_index") -> DataFrame:
     """Add ``<column>_index``, the double index of each level; an unknown level or null fails the query."""
     columns = list(columns or levels.columns)
     if levels.labels is not None:
-        return indexer(levels, columns, suffix).transform(df)
+        return PipelineModel(indexers(levels, columns, suffix)).transform(df)
     for c in columns:
         output = c + suffix
         found = _lookup(df, levels, c, output)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -12,7 +13,7 @@ from riskrank.functions.columns import BAD_WEIGHT, GOOD_WEIGHT, checked_label, l
 from riskrank.operators import features
 from riskrank.operators.cleaning import fill_missing
 from riskrank.operators.gains import CUTOFFS, gains_table, rank_layout, tdr_at
-from riskrank.operators.levels import Levels, fit_levels, indexer, unseen_to_mode
+from riskrank.operators.levels import Levels, fit_levels, indexers, unseen_to_mode
 from riskrank.operators.metrics import auc_roc, error_rate
 from riskrank.operators.models import SEED, classifier, ensemble_score, probability_score, training_label, tree_summary
 from riskrank.sources.roles import Roles
@@ -20,6 +21,12 @@ from riskrank.sources.workspace import Workspace
 
 TREE_MODELS = ("forest", "boosted", "tree")
 DEFAULT_BINS = 32
+# A training table of up to this many rows may well sit in one file and so in one task; moving its
+# few narrow columns once lets every core take part in every iteration. A larger table has many
+# splits already and is not shuffled.
+SPREAD_ROWS = 5_000_000
+# Rows that keep one task busy: growing trees costs far more per row than a network iteration.
+ROWS_PER_TASK = {"forest": 15_000, "boosted": 15_000, "tree": 15_000, "network": 150_000}
 
 
 @dataclass(frozen=True)
@@ -112,9 +119,7 @@ def fit_risk_model(
             raise ValueError(f"{roles.target} has {len(found)} levels, a binary target needs 2")
         positive = found[1]
 
-    stages = []
-    if categorical:
-        stages.append(indexer(levels, categorical))
+    stages = list(indexers(levels, categorical)) if categorical else []
     if encode == "onehot" and categorical:
         stages.append(features.one_hot_encoder(categorical))
         inputs = features.onehot_feature_columns(cleaned, roles)
@@ -133,6 +138,11 @@ def fit_risk_model(
     needed = [*categorical, *features.continuous_columns(cleaned, roles)]
     checked = cleaned.withColumn("label", _label(roles, positive))
     training = checked.select(*needed, training_label(checked_label("label")))
+    # Filled columns have no nulls, so the level counts of one of them add up to the table.
+    rows = cleaned.count() if levels is None else sum(levels.counts[fitted[0]])
+    if rows <= SPREAD_ROWS:
+        cores = training.sparkSession.sparkContext.defaultParallelism
+        training = training.repartition(max(1, min(cores, math.ceil(rows / ROWS_PER_TASK[model]))))
     return RiskModel(model, roles, positive, levels, tuple(inputs), Pipeline(stages=stages).fit(training))
 
 

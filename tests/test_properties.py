@@ -1,0 +1,203 @@
+"""Ranking operators against a plain loop and against each other, on awkward inputs."""
+
+import random
+
+import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import functions as F
+
+from riskrank.operators import (
+    CUTOFFS,
+    auc_roc,
+    error_rate,
+    fit_levels,
+    gains_table,
+    index_apply,
+    plan_layout,
+    rank_layout,
+    score_rank,
+    sort_by_key,
+    tdr_at,
+    unseen_to_mode,
+)
+from riskrank.operators.ordering import choose_buckets
+
+SCHEMA = "id bigint, score double, label int"
+
+
+def brute_force(rows, bad_weight=1, good_weight=40):
+    """Rates, gains and AUC by the definitions, on a list."""
+    ranked = sorted(rows, key=lambda r: (-r[1], r[0]))
+    gains, total, bad = [], 0, 0
+    for i, (key, score, label) in enumerate(ranked):
+        w = bad_weight if label else good_weight
+        total, bad = total + w, bad + label
+        gains.append((key, score, label, i, w, total, bad, total - bad))
+    rates = []
+    for p in CUTOFFS:
+        at = 0
+        for j in range(1, len(gains)):
+            if gains[j][5] / total >= p >= gains[j - 1][5] / total:
+                at = j
+        rates.append((p, at if gains else None, gains[at][6] / bad if bad else None))
+    pos = [s for _, s, y in rows if y]
+    neg = [s for _, s, y in rows if not y]
+    wins = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg)
+    return gains, rates, wins / (len(pos) * len(neg)) if pos and neg else None
+
+
+def cases():
+    rng = random.Random(5)
+    yield "plain", [(i, rng.random(), rng.randrange(2)) for i in range(300)]
+    yield "one hot score", [(i, 0.5 if i % 3 else rng.random(), rng.randrange(2)) for i in range(300)]
+    yield "all tied", [(i, 0.25, int(rng.random() < 0.2)) for i in range(200)]
+    yield "two scores", [(i, float(rng.randrange(2)), rng.randrange(2)) for i in range(200)]
+    yield "signed zero", [(i, rng.choice([0.0, -0.0, 1.0]), rng.randrange(2)) for i in range(120)]
+    yield "infinite", [(i, rng.choice([float("inf"), float("-inf"), 0.0]), rng.randrange(2)) for i in range(90)]
+    yield "no bads", [(i, rng.random(), 0) for i in range(50)]
+    yield "all bads", [(i, rng.random(), 1) for i in range(50)]
+    yield "two bads", [(0, 0.9, 1), (1, 0.1, 1)]
+    yield "one row", [(7, 0.5, 1)]
+    yield "negative ids", [(-i * 7, rng.choice([0.1, 0.2]), rng.randrange(2)) for i in range(150)]
+
+
+@pytest.mark.parametrize("num_buckets", [None, 2, 7, 64])
+@pytest.mark.parametrize("name,rows", list(cases()), ids=[n for n, _ in cases()])
+def test_ranking_equals_brute_force(spark, name, rows, num_buckets):
+    shuffled = rows[:]
+    random.Random(1).shuffle(shuffled)
+    df = spark.createDataFrame(shuffled, SCHEMA).repartition(3)
+    gains, rates, auc = brute_force(rows)
+    layout = rank_layout(df, num_buckets=num_buckets)
+
+    got = [tuple(r) for r in gains_table(df, layout=layout).orderBy("idx").collect()]
+    assert [g[:8] for g in got] == gains
+    assert all(g[8] == g[5] / gains[-1][5] for g in got)
+
+    ranks = {r.id: r.idx for r in score_rank(df, layout=layout).collect()}
+    assert ranks == {g[0]: g[3] for g in gains}
+
+    got = {r.cutoff: (r.idx, r.rate) for r in tdr_at(df, layout=layout).collect()}
+    for p, idx, rate in rates:
+        assert got[p][0] == idx
+        assert got[p][1] == (None if rate is None else pytest.approx(rate, abs=1e-12))
+
+    for result in (auc_roc(df, layout=layout), auc_roc(df, num_buckets=num_buckets)):
+        assert result.head().auc == (None if auc is None else pytest.approx(auc, abs=1e-12))
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert gains_table(df).count() == 0
+    assert {(r.idx, r.rate) for r in tdr_at(df).collect()} == {(None, None)}
+    assert auc_roc(df).head().auc is None
+    assert error_rate(df, "label", "label").head().error_rate is None
+    assert gains_table(df, num_buckets=4).count() == 0
+    assert {(r.idx, r.rate) for r in tdr_at(df, num_buckets=4).collect()} == {(None, None)}
+
+
+def test_auc_equals_exact_evaluator(spark):
+    df = spark.range(5000).select(
+        "id", F.round(F.rand(3), 2).alias("score"), (F.rand(4) < 0.3).cast("int").alias("label")
+    )
+    df = spark.createDataFrame(df.collect(), SCHEMA)
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+    assert auc_roc(df, num_buckets=9).head().auc == pytest.approx(evaluator.evaluate(df), abs=1e-12)
+
+
+def test_cuts_divide_a_hot_score(spark):
+    """A score shared by all rows is still spread evenly over the buckets."""
+    df = spark.range(20000).select("id", F.lit(0.5).alias("score"))
+    layout = rank_layout(df, num_buckets=10)
+    assert layout.buckets == 10
+    sizes = [r["count"] for r in df.groupBy(layout.bucket().alias("b")).count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 2 * 2000
+
+
+def test_string_ids_and_input_order(spark):
+    rows = [(f"user-{i:04d}", (i * 37 % 5) / 5, i % 2) for i in range(200)]
+    schema = "id string, score double, label int"
+    a = spark.createDataFrame(rows, schema).repartition(5)
+    b = spark.createDataFrame(rows[::-1], schema).coalesce(1)
+    first = sorted(map(tuple, gains_table(a, num_buckets=6).collect()))
+    assert first == sorted(map(tuple, gains_table(b, num_buckets=1).collect()))
+
+
+@pytest.mark.parametrize("num_buckets", [1, 2, 9])
+def test_sort_with_nulls(spark, num_buckets):
+    rng = random.Random(2)
+    rows = [(i, rng.choice([None, 1, 2, 3]), rng.choice([None, "a", "b"])) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, x int, y string").repartition(4)
+    got = sort_by_key(df, ["-x", "y", "id"], num_buckets=num_buckets).orderBy("idx").collect()
+    expected = df.orderBy(F.desc("x"), F.asc("y"), F.asc("id")).collect()
+    assert [tuple(r)[:3] for r in got] == [tuple(r) for r in expected]
+    assert [r.idx for r in got] == list(range(200))
+
+
+@pytest.mark.parametrize(
+    "row,message",
+    [
+        ((1, 0.5, 2), "labels must be 0 or 1"),
+        ((1, 0.5, None), "labels must be 0 or 1"),
+        ((1, None, 1), "scores must not be null"),
+        ((1, float("nan"), 1), "scores must not be null"),
+        ((None, 0.5, 1), "ids must not be null"),
+    ],
+)
+def test_bad_input_is_rejected(spark, row, message):
+    df = spark.createDataFrame([(2, 0.1, 0), row], SCHEMA)
+    with pytest.raises(Exception, match=message):
+        gains_table(df).collect()
+    if "ids" not in message:
+        with pytest.raises(Exception, match=message):
+            auc_roc(df).collect()
+
+
+@pytest.mark.parametrize("weight", [0, -1, 1.5, True])
+def test_weights_must_be_positive_whole_numbers(spark, weight):
+    df = spark.createDataFrame([(1, 0.5, 1)], SCHEMA)
+    with pytest.raises(ValueError, match="whole numbers"):
+        tdr_at(df, good_weight=weight)
+
+
+def test_bucket_choice():
+    assert choose_buckets(0) == 1
+    assert choose_buckets(1_000_000) == 1
+    assert choose_buckets(1_000_001) == 2
+    assert choose_buckets(10**12) == 8192
+
+
+def test_layout_needs_no_sample_for_one_bucket(spark):
+    df = spark.range(10).select("id", F.rand(1).alias("score"))
+    assert plan_layout(df, ["-score", "id"]).buckets == 1
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of the rows share one level; the others are rare."""
+    rows = [(i, "hot" if i % 3 == 0 else f"u{i % 97:02d}") for i in range(600)]
+    return spark.createDataFrame(rows, "id int, level string").repartition(4)
+
+
+def test_distributed_dictionary_equals_local(skewed):
+    local = fit_levels(skewed, ["level"])
+    wide = fit_levels(skewed, ["level"], max_local=5, broadcast_levels=7, num_buckets=4)
+    assert local.labels is not None and wide.labels is None
+    assert sorted(map(tuple, wide.frame.collect())) == sorted(map(tuple, local.frame.collect()))
+    assert wide.mode("level") == local.mode("level") == "hot"
+    a = {r.id: r.level_index for r in index_apply(skewed, local).collect()}
+    b = {r.id: r.level_index for r in index_apply(skewed, wide).collect()}
+    assert a == b and len(a) == 600
+
+
+def test_distributed_dictionary_with_unknown_levels(spark, skewed):
+    wide = fit_levels(skewed, ["level"], max_local=5, broadcast_levels=7, num_buckets=4)
+    local = fit_levels(skewed, ["level"])
+    other = spark.createDataFrame([(1, "new"), (2, "hot"), (3, None), (4, "u50"), (5, "new")], "id int, level string")
+    expected = sorted(map(tuple, unseen_to_mode(other, local).collect()))
+    assert sorted(map(tuple, unseen_to_mode(other, wide).collect())) == expected
+    assert expected[0] == (1, "hot")
+    with pytest.raises(Exception, match="not seen in training: new"):
+        index_apply(other.where("level is not null"), wide).collect()
+    with pytest.raises(Exception, match="null has no index"):
+        index_apply(other.where("level is null"), wide).collect()
