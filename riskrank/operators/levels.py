@@ -1,9 +1,9 @@
 """Category dictionaries: learning the level order and applying it to rows.
 
 Levels are ordered by frequency, most frequent first, ties alphabetically, and compared as
-strings. A dictionary of up to ``MAX_LOCAL_LEVELS`` levels (the size is checked, not assumed)
-lives on the driver and is applied as a literal lookup. A larger one stays a distributed table:
-its frequent levels are broadcast, and the long tail is joined by shuffle.
+strings. A column of few levels (the number is checked, not assumed) keeps its dictionary on the
+driver and has it applied as a literal lookup. The dictionary of a wider column stays a
+distributed table: its frequent levels are broadcast, and the long tail is joined by shuffle.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from riskrank.operators.ordering import plan_layout, running_totals
 from riskrank.sources.workspace import Workspace
 
-MAX_LOCAL_LEVELS = 100_000
+MAX_LOCAL_LEVELS = 10_000
 BROADCAST_LEVELS = 10_000
 SALTS = 16
-_INDEX, _ROW = "__index", "__row"
+_INDEX = "__index"
 
 
 @dataclass(frozen=True)
@@ -30,22 +30,30 @@ class Levels:
     """Fitted dictionaries of one or more columns.
 
     ``frame`` has the columns column, level, n and index (0.0 for the most frequent level).
-    ``labels`` maps each column to its levels in index order and ``counts`` to their row counts;
-    both are None when there are too many levels for the driver.
+    ``labels`` maps each narrow column to its levels in index order and ``counts`` to their row
+    counts; wide columns appear in ``frame`` only.
     """
 
     frame: DataFrame
     columns: tuple[str, ...]
-    labels: dict[str, list[str]] | None
-    counts: dict[str, list[int]] | None = None
+    labels: dict[str, list[str]]
+    counts: dict[str, list[int]]
     broadcast_levels: int = BROADCAST_LEVELS
 
+    def is_wide(self, column: str) -> bool:
+        return column not in self.labels
+
+    def size(self, column: str) -> int:
+        """Number of levels of a column."""
+        if not self.is_wide(column):
+            return len(self.labels[column])
+        return self.frame.where(F.col("column") == column).count()
+
     def mode(self, column: str) -> str | None:
         """The most frequent level of a column; None if it had no value at all."""
-        if self.labels is not None:
+        if not self.is_wide(column):
             return next(iter(self.labels[column]), None)
-        first = self.frame.where((F.col("column") == column) & (F.col("index") == 0)).select("level").head()
-        return None if first is None else first.level
+        return self.frame.where((F.col("column") == column) & (F.col("index") == 0)).head().level
 
 
 def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -75,25 +83,33 @@ def fit_levels(
         raise ValueError("fit_levels needs at least one column")
     spark = df.sparkSession
     counts = level_counts(df, columns)
-    schema = "column string, level string, n bigint, index double"
     local = counts.limit(max_local + 1).collect()
     if len(local) <= max_local:
-        labels, sizes, rows = {c: [] for c in columns}, {c: [] for c in columns}, []
-        for r in sorted(local, key=lambda r: (r.column, -r.n, r.level.encode())):
-            rows.append((r.column, r.level, r.n, float(len(labels[r.column]))))
-            labels[r.column].append(r.level)
-            sizes[r.column].append(r.n)
-        return Levels(spark.createDataFrame(rows, schema), columns, labels, sizes)
+        labels, sizes = _ordered(columns, local)
+        rows = [(c, level, n, float(i)) for c in columns for i, (level, n) in enumerate(zip(labels[c], sizes[c]))]
+        frame = spark.createDataFrame(rows, "column string, level string, n bigint, index double")
+        return Levels(frame, columns, labels, sizes, broadcast_levels)
 
     workspace = workspace or Workspace(spark)
     counts = workspace.keep(counts, "level_counts")
-    layout = plan_layout(counts, ["column", "-n", "level"], num_buckets=num_buckets)
+    per_column = {r.column: r["count"] for r in counts.groupBy("column").count().collect()}
+    narrow = [c for c in columns if per_column.get(c, 0) <= max_local // len(columns)]
+    labels, sizes = _ordered(narrow, counts.where(F.col("column").isin(narrow)).collect())
+    layout = plan_layout(counts, ["column", "-n", "level"], num_buckets=num_buckets, nullable=False)
     placed = workspace.keep(running_totals(counts, layout), "levels")
     first = placed.groupBy("column").agg(F.min("idx").alias("first"))  # one row per fitted column
     frame = placed.join(F.broadcast(first), "column").select(
         "column", "level", "n", (F.col("idx") - F.col("first")).cast("double").alias("index")
     )
-    return Levels(frame, columns, None, None, broadcast_levels)
+    return Levels(frame, columns, labels, sizes, broadcast_levels)
+
+
+def _ordered(columns: Sequence[str], rows: Sequence) -> tuple[dict[str, list[str]], dict[str, list[int]]]:
+    labels, sizes = {c: [] for c in columns}, {c: [] for c in columns}
+    for r in sorted(rows, key=lambda r: (-r.n, r.level.encode())):
+        labels[r.column].append(r.level)
+        sizes[r.column].append(r.n)
+    return labels, sizes
 
 
 def _lookup(df: DataFrame, levels: Levels, column: str, output: str) -> DataFrame:
@@ -124,14 +140,12 @@ def _hashable(df: DataFrame, name: str) -> bool:
 
 
 def indexers(levels: Levels, columns: Sequence[str] | None = None, suffix: str = "_index") -> list[StringIndexerModel]:
-    """The dictionaries as Spark ML stages; unknown levels and nulls fail.
+    """The dictionaries of narrow columns as Spark ML stages; unknown levels and nulls fail.
 
     One stage per column: PySpark pads label lists of unequal length to a rectangle when several
     share a stage, which would add levels that do not exist.
     """
-    columns = list(columns or levels.columns)
-    if levels.labels is None:
-        raise ValueError(f"over {MAX_LOCAL_LEVELS} levels: too many for a model stage, use index_apply")
+    columns = [c for c in (columns or levels.columns) if not levels.is_wide(c)]
     return [
         StringIndexerModel.from_labels(levels.labels[c], inputCol=c, outputCol=c + suffix, handleInvalid="error")
         for c in columns
@@ -139,21 +153,21 @@ def indexers(levels: Levels, columns: Sequence[str] | None = None, suffix: str =
 
 
 def index_apply(df: DataFrame, levels: Levels, columns: Sequence[str] | None = None, suffix: str = "_index") -> DataFrame:
-    """Add ``<column>_index``, the double index of each level; an unknown level or null fails the query."""
+    """Add ``<column>_index``, the double index of each level; an unknown level or null fails the query.
+
+    Indexes of narrow columns are marked as nominal for learners; those of wide ones are numbers.
+    """
     columns = list(columns or levels.columns)
-    if levels.labels is not None:
-        return PipelineModel(indexers(levels, columns, suffix)).transform(df)
-    for c in columns:
+    for c in filter(levels.is_wide, columns):
         output = c + suffix
-        found = _lookup(df, levels, c, output)
         unknown = F.raise_error(F.concat(F.lit(f"{c}: level not seen in training: "), F.col(c).cast("string")))
-        df = found.withColumn(
+        df = _lookup(df, levels, c, output).withColumn(
             output,
             F.when(F.col(c).isNull(), F.raise_error(F.lit(f"{c}: null has no index")))
             .when(F.col(output).isNull(), unknown)
             .otherwise(F.col(output)),
         )
-    return df
+    return PipelineModel(indexers(levels, columns, suffix)).transform(df)
 
 
 def unseen_to_mode(df: DataFrame, levels: Levels, columns: Sequence[str] | None = None) -> DataFrame:
@@ -163,16 +177,14 @@ def unseen_to_mode(df: DataFrame, levels: Levels, columns: Sequence[str] | None
     target out unless silently moving unknown targets to the majority class is wanted.
     """
     columns = list(columns or levels.columns)
-    modes = {c: levels.mode(c) for c in columns}
-    if levels.labels is not None:
-        replaced = {}
-        for c in columns:
-            value = F.col(c).cast("string")
-            seen = value.isin(levels.labels[c]) if levels.labels[c] else F.lit(False)
-            replaced[c] = F.when(seen, value).otherwise(F.lit(modes[c]).cast("string"))
-        return df.withColumns(replaced)
     names = df.columns
-    for c in columns:
-        value = F.when(F.col(_INDEX).isNotNull(), F.col(c).cast("string")).otherwise(F.lit(modes[c]))
+    for c in filter(levels.is_wide, columns):
+        value = F.when(F.col(_INDEX).isNotNull(), F.col(c).cast("string")).otherwise(F.lit(levels.mode(c)))
         df = _lookup(df, levels, c, _INDEX).withColumn(c, value).select(*names)
-    return df
+    replaced = {}
+    for c in columns:
+        if not levels.is_wide(c):
+            value = F.col(c).cast("string")
+            seen = value.isin(levels.labels[c]) if levels.labels[c] else F.lit(False)
+            replaced[c] = F.when(seen, value).otherwise(F.lit(levels.mode(c)).cast("string"))
+    return df.withColumns(replaced) if replaced else df

@@ -13,7 +13,7 @@ from riskrank.functions.columns import BAD_WEIGHT, GOOD_WEIGHT, checked_label, l
 from riskrank.operators import features
 from riskrank.operators.cleaning import fill_missing
 from riskrank.operators.gains import CUTOFFS, gains_table, rank_layout, tdr_at
-from riskrank.operators.levels import Levels, fit_levels, indexers, unseen_to_mode
+from riskrank.operators.levels import Levels, fit_levels, index_apply, unseen_to_mode
 from riskrank.operators.metrics import auc_roc, error_rate
 from riskrank.operators.models import SEED, classifier, ensemble_score, probability_score, training_label, tree_summary
 from riskrank.sources.roles import Roles
@@ -31,7 +31,7 @@ ROWS_PER_TASK = {"forest": 15_000, "boosted": 15_000, "tree": 15_000, "network":
 
 @dataclass(frozen=True)
 class RiskModel:
-    """A fitted flow: dictionaries, encoders and classifier."""
+    """A fitted flow: dictionaries, and a pipeline of encoder, assembler and classifier."""
 
     kind: str
     roles: Roles
@@ -52,6 +52,7 @@ class RiskModel:
         cleaned = _clean(df, self.roles)
         if self.roles.categorical:
             cleaned = unseen_to_mode(cleaned, self.levels, self.roles.categorical)
+            cleaned = index_apply(cleaned, self.levels, self.roles.categorical)
         return PipelineModel(self.pipeline.stages[:-1]).transform(cleaned)
 
     def predict(self, df: DataFrame) -> DataFrame:
@@ -109,37 +110,38 @@ def fit_risk_model(
     cleaned = _clean(train, roles)
     fitted = categorical + ([roles.target] if roles.positive is None else [])
     levels = fit_levels(cleaned, fitted) if fitted else None
-    if levels is not None and levels.labels is None:
-        raise ValueError("too many levels for a model feature; drop or coarsen the widest categorical column")
 
     positive = roles.positive
     if positive is None:
-        found = levels.labels[roles.target]
-        if len(found) != 2:
-            raise ValueError(f"{roles.target} has {len(found)} levels, a binary target needs 2")
-        positive = found[1]
+        if levels.size(roles.target) != 2:
+            raise ValueError(f"{roles.target} has {levels.size(roles.target)} levels, a binary target needs 2")
+        positive = levels.labels[roles.target][1]
 
-    stages = list(indexers(levels, categorical)) if categorical else []
+    stages = []
     if encode == "onehot" and categorical:
         stages.append(features.one_hot_encoder(categorical))
         inputs = features.onehot_feature_columns(cleaned, roles)
-        width = sum(len(levels.labels[c]) - 1 for c in categorical) + len(inputs) - len(categorical)
+        width = sum(levels.size(c) - 1 for c in categorical) + len(inputs) - len(categorical)
     else:
         inputs = features.feature_columns(cleaned, roles)
         width = len(inputs)
     stages.append(features.assembler(inputs, "unscaled" if scale else "features"))
     if scale:
         stages.append(features.scaler("unscaled", "features"))
-    if model in TREE_MODELS and encode == "index" and categorical:
-        # Trees treat an index as a category and need one bin per level.
-        params.setdefault("maxBins", max(DEFAULT_BINS, *[len(levels.labels[c]) for c in categorical]))
+    nominal = [levels.size(c) for c in categorical if not levels.is_wide(c)]
+    if model in TREE_MODELS and encode == "index" and nominal:
+        # Trees treat the index of a narrow column as a category and need one bin per level.
+        params.setdefault("maxBins", max(DEFAULT_BINS, *nominal))
     stages.append(classifier(model, width=width, encode=encode, seed=seed, **params))
 
-    needed = [*categorical, *features.continuous_columns(cleaned, roles)]
     checked = cleaned.withColumn("label", _label(roles, positive))
+    needed = [*categorical, *features.continuous_columns(cleaned, roles)]
     training = checked.select(*needed, training_label(checked_label("label")))
+    if categorical:
+        training = index_apply(training, levels, categorical).drop(*categorical)
     # Filled columns have no nulls, so the level counts of one of them add up to the table.
-    rows = cleaned.count() if levels is None else sum(levels.counts[fitted[0]])
+    narrow = [c for c in fitted if c in levels.counts] if levels else []
+    rows = sum(levels.counts[narrow[0]]) if narrow else cleaned.count()
     if rows <= SPREAD_ROWS:
         cores = training.sparkSession.sparkContext.defaultParallelism
         training = training.repartition(max(1, min(cores, math.ceil(rows / ROWS_PER_TASK[model]))))

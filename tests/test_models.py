@@ -1,12 +1,16 @@
 """Fitted flows on the literal tables: shapes, ranges and identities, never exact quality."""
 
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
 from riskrank.__main__ import arguments, run
 from riskrank.functions import vector_element
 from riskrank.operators import auc_roc, ensemble_score, error_rate, score_label_pair, tdr_at
+from riskrank.operators.levels import fit_levels
 from riskrank.operators.models import classifier, ensemble_raw, per_tree_score
+from riskrank.plans import scoring
 from riskrank.plans import fit_risk_model, fit_score_rank, ranking_report
 from riskrank.sources import Roles, Workspace
 from tests.fixture_rows import COLUMNS, HOLDOUT, TRAIN, frame
@@ -135,6 +139,22 @@ def test_more_levels_than_default_bins(spark):
     assert all(r.prediction == r.label for r in scored)
 
 
+@pytest.mark.parametrize("encode", ["index", "onehot"])
+def test_wide_column_as_feature(spark, monkeypatch, encode):
+    """A column with too many levels for the driver still trains and scores."""
+    rows = [(i, float(i % 2), f"u{i % 50:02d}", "ab"[i % 3 % 2]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id bigint, TARGET double, user string, kind string")
+    roles = Roles(target="TARGET", id="id", categorical=["user", "kind"], positive=1.0)
+    narrow = fit_risk_model(df, roles, "network", encode=encode, maxIter=5)
+    monkeypatch.setattr(scoring, "fit_levels", partial(fit_levels, max_local=10, broadcast_levels=7, num_buckets=3))
+    wide = fit_risk_model(df, roles, "network", encode=encode, maxIter=5)
+    assert wide.levels.is_wide("user") and not wide.levels.is_wide("kind")
+    assert wide.classifier.getLayers() == narrow.classifier.getLayers()
+    assert wide.score(df).count() == 400
+    unseen = df.limit(3).withColumn("user", F.lit("nobody"))
+    assert wide.score(unseen).count() == 3
+
+
 def test_command_line(spark, tmp_path, capsys):
     for name, rows in (("train.csv", TRAIN), ("holdout.csv", HOLDOUT)):
         lines = [",".join("" if v is None else str(v) for v in r) for r in rows]

@@ -182,7 +182,7 @@ def skewed(spark):
 def test_distributed_dictionary_equals_local(skewed):
     local = fit_levels(skewed, ["level"])
     wide = fit_levels(skewed, ["level"], max_local=5, broadcast_levels=7, num_buckets=4)
-    assert local.labels is not None and wide.labels is None
+    assert not local.is_wide("level") and wide.is_wide("level") and wide.size("level") == 98
     assert sorted(map(tuple, wide.frame.collect())) == sorted(map(tuple, local.frame.collect()))
     assert wide.mode("level") == local.mode("level") == "hot"
     a = {r.id: r.level_index for r in index_apply(skewed, local).collect()}
