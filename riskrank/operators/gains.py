@@ -7,7 +7,9 @@ review traffic a score threshold costs, and the running count of bads what it ca
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +30,6 @@ from riskrank.operators.ordering import (
     bucket_starts,
     plan_layout,
     running_totals,
-    with_bucket,
     within_buckets,
 )
 
@@ -108,7 +109,7 @@ def _near_cutoffs(ranked: DataFrame, layout: Layout, cutoffs: Sequence[float]) -
     their rows are shuffled and sorted.
     """
     names = ["w", "label"]
-    keyed = with_bucket(ranked, layout)
+    keyed = layout.place(ranked)
     ends = F.col("__start_w") + F.col("__own_w")
     holds = F.col("__start_rows") == 0
     for p in cutoffs:
@@ -158,12 +159,11 @@ def tdr_at(
 
     # Whole-number weights make (cum_w - w) / total exactly the share of the previous row.
     reached, passed = _share(F.col("cum_w")), _share(F.col("cum_w") - F.col("w"))
+    bracketed = [(F.col("idx") == 0) | ((reached >= p) & (passed <= p)) for p in cutoffs]
     found = F.struct("idx", "cum_label", "total_label")
-    hits = totals.agg(
-        *[
-            F.max(F.when((F.col("idx") == 0) | ((reached >= p) & (passed <= p)), found)).alias(f"hit_{i}")
-            for i, p in enumerate(cutoffs)
-        ]
+    # The filter leaves the few rows at a cut-off, so the aggregate over structs is small.
+    hits = totals.where(reduce(operator.or_, bracketed)).agg(
+        *[F.max(F.when(holds, found)).alias(f"hit_{i}") for i, holds in enumerate(bracketed)]
     )
     rows = F.array(*[F.struct(F.lit(p).alias("cutoff"), F.col(f"hit_{i}").alias("hit")) for i, p in enumerate(cutoffs)])
     return hits.select(F.explode(rows).alias("r")).select(

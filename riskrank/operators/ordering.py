@@ -17,17 +17,23 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_BUCKET = 1_000_000
+# A table of up to SINGLE_BUCKET_ROWS rows is ranked by one task; beyond that, buckets aim at
+# ROWS_PER_BUCKET rows each until their number reaches MAX_BUCKETS.
+SINGLE_BUCKET_ROWS = 1_000_000
+ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 8192
 SAMPLES_PER_BUCKET = 60
 BUCKET = "__bucket"
 SLOT = "__slot"
+_SCORE, _INTERVAL = "__score", "__interval"
 
 
 @dataclass(frozen=True)
@@ -69,37 +75,88 @@ class Layout:
         cuts = tuple(dict.fromkeys(c[:n] for c in self.cuts))
         return Layout(self.keys[:n], cuts, self.types[:n], self.nullable)
 
-    def bucket(self) -> Column:
-        """Number of cut points at or before the row: a binary search over literal arrays."""
+    def place(self, df: DataFrame) -> DataFrame:
+        """Add the bucket of each row: the number of cut points at or before it in the order."""
         if not self.cuts:
-            return F.lit(0)
+            return df.withColumn(BUCKET, F.lit(0))
+        if self._is_ranking():
+            return self._place_by_score(df)
+        # Never null; saying so keeps joins from adding a second evaluation as a null filter.
+        return df.withColumn(BUCKET, F.coalesce(self._search(), F.lit(0)))
+
+    def _is_ranking(self) -> bool:
+        score, *rest = self.keys
+        return (
+            not self.nullable
+            and score.descending
+            and isinstance(self.types[0], T.DoubleType)
+            and len(rest) <= 1
+            and not any(k.descending for k in rest)
+            and all(math.isfinite(c[0]) for c in self.cuts)
+        )
+
+    def _place_by_score(self, df: DataFrame) -> DataFrame:
+        """Buckets of (score descending, id ascending) by a compiled search of the score.
+
+        Only rows tied with a cut point look at the id, and only a score with several cut points,
+        a hot one, needs a search among ids.
+        """
+        # Adding 0.0 turns -0.0 into 0.0, which sort alike but not in a binary search.
+        ids_at: dict[float, list] = {}
+        for cut in self.cuts:
+            ids_at.setdefault(cut[0] + 0.0, []).append(cut[1] if len(cut) > 1 else None)
+        scores = sorted(ids_at)
+        # Interval 0 lies below all cut scores, interval i from the i-th lowest up to the next one.
+        groups = [[], *[ids_at[s] for s in scores]]
+        sizes = [len(g) for g in groups]
+        above = [len(self.cuts) - n for n in accumulate(sizes)]
+
+        score = F.col(self.keys[0].name) + F.lit(0.0)
+        found = Bucketizer(splits=[-math.inf, *scores, math.inf], inputCol=_SCORE, outputCol=_INTERVAL).transform(
+            df.withColumn(_SCORE, score)
+        )
+        interval = F.col(_INTERVAL).cast("int").alias(_INTERVAL, metadata={})
+        found = found.select(*df.columns, _SCORE, interval)
+
+        def per_interval(values, kind: str) -> Column:
+            return F.get(F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>"), F.col(_INTERVAL))
+
+        tied = per_interval([None, *scores], "double") == F.col(_SCORE)
+        if len(self.keys) == 1:
+            within = F.lit(1)
+        else:
+            name, kind = self.keys[1].name, self.types[1].simpleString()
+            first = per_interval([g[0] if g else None for g in groups], kind)
+            within = (first <= F.col(name)).cast("int")
+            hot = [g if len(g) > 1 else [] for g in groups]
+            if any(hot):
+                ends = list(accumulate(len(g) for g in hot))
+                ids = F.array(*[F.lit(v) for g in hot for v in g]).cast(f"array<{kind}>")
+                start = per_interval([at - len(g) for at, g in zip(ends, hot)], "int")
+                end = per_interval(ends, "int")
+                position = _binary_search(
+                    start, max(map(len, hot)), lambda i: (i < end) & (F.get(ids, i) <= F.col(name))
+                )
+                within = F.when(end > start, position - start).otherwise(within)
+        bucket = per_interval(above, "int") + F.when(tied, within).otherwise(F.lit(0))
+        return found.select(*df.columns, F.coalesce(bucket, F.lit(0)).alias(BUCKET))
+
+    def _search(self) -> Column:
+        """The general case: a binary search over literal arrays, comparing key by key."""
         arrays = [
             F.array(*[F.lit(cut[i]) for cut in self.cuts]).cast(T.ArrayType(kind))
             for i, kind in enumerate(self.types)
         ]
 
         def at_or_before(i: Column) -> Column:
-            last = len(self.keys) - 1
             result = None
-            for n in range(last, -1, -1):
+            for n in reversed(range(len(self.keys))):
                 cut, value = F.get(arrays[n], i), F.col(self.keys[n].name)
                 before, same = self._compare(cut, value, self.keys[n].descending)
-                if result is None:
-                    result = before | same
-                else:
-                    result = before | (same & result)
-            return result
-
-        steps = [1 << k for k in range(len(self.cuts).bit_length() - 1, -1, -1)]
-        found = F.aggregate(
-            F.array(*[F.lit(s) for s in steps]),
-            F.lit(0),
-            lambda at, step: F.when(
-                (at + step <= len(self.cuts)) & at_or_before(at + step - 1), at + step
-            ).otherwise(at),
-        )
-        # Never null; saying so keeps joins from adding a second evaluation as a null filter.
-        return F.coalesce(found, F.lit(0))
+                result = before | same if result is None else before | (same & result)
+            return (i < len(self.cuts)) & result
+
+        return _binary_search(F.lit(0), len(self.cuts), at_or_before)
 
     def _compare(self, cut: Column, value: Column, descending: bool) -> tuple[Column, Column]:
         before = cut > value if descending else cut < value
@@ -109,8 +166,20 @@ class Layout:
         return F.coalesce(before, F.lit(False)) | null_first, cut.eqNullSafe(value)
 
 
-def choose_buckets(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    return max(1, min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket)))
+def _binary_search(start: Column, length: int, holds) -> Column:
+    """``start`` plus the number of leading positions, out of at most ``length``, where ``holds(i)``."""
+    steps = [1 << k for k in reversed(range(length.bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        start,
+        lambda at, step: F.when(holds(at + step - 1), at + step).otherwise(at),
+    )
+
+
+def choose_buckets(rows: int) -> int:
+    if rows <= SINGLE_BUCKET_ROWS:
+        return 1
+    return min(MAX_BUCKETS, math.ceil(rows / ROWS_PER_BUCKET))
 
 
 def plan_layout(
@@ -125,7 +194,7 @@ def plan_layout(
     """Choose cut points for sorting ``df`` by ``keys``.
 
     The row count decides the number of buckets unless ``num_buckets`` is given; up to
-    ``ROWS_PER_BUCKET`` rows need only one. Otherwise one pass draws a sample of bounded size
+    ``SINGLE_BUCKET_ROWS`` rows need only one. Otherwise one pass draws a sample of bounded size
     (about ``SAMPLES_PER_BUCKET`` rows per bucket), Spark sorts it, and only the cut points
     themselves, at most ``MAX_BUCKETS``, reach the driver.
 
@@ -178,10 +247,6 @@ def bucket_starts(keyed: DataFrame, measures: Sequence[str]) -> DataFrame:
     )
 
 
-def with_bucket(df: DataFrame, layout: Layout) -> DataFrame:
-    return df.withColumn(BUCKET, layout.bucket())
-
-
 def within_buckets(keyed: DataFrame, layout: Layout, measures: Sequence[str], by: str = BUCKET) -> DataFrame:
     """Add position and running totals counted from the start of each bucket."""
     local = W.partitionBy(by).orderBy(*layout.ordering())
@@ -208,7 +273,7 @@ def running_totals(df: DataFrame, layout: Layout, measures: Mapping[str, Column]
         totals = [F.sum(m).over(everything).alias(f"total_{m}") for m in names]
         return within_buckets(one, layout, names).select("*", *totals).drop(BUCKET)
 
-    keyed = with_bucket(keyed, layout)
+    keyed = layout.place(keyed)
     placed = keyed.repartitionById(layout.buckets, F.col(BUCKET))
     local = within_buckets(placed, layout, names)
     # A left join: every bucket has its start row, and no null filter is pushed below the shuffle.
