@@ -114,6 +114,24 @@ def test_cuts_divide_a_hot_score(spark):
     assert len(sizes) == 10 and max(sizes) < 2 * 2000
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string", "timestamp_ntz", "decimal(20,2)", "double"])
+def test_hot_scores_with_any_id_type(spark, kind):
+    """Three scores for all rows; ids of every type divide them as one window would."""
+    df = spark.range(3000).select(
+        (F.pmod(F.xxhash64("id"), F.lit(10**15)) * (F.col("id") % 2 * 2 - 1)).alias("n"),
+        F.when(F.col("id") % 3 > 0, F.lit(0.5)).otherwise(F.col("id") % 2 * 1.0).alias("score"),
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)).alias("label"),
+    )
+    id = F.timestamp_seconds(F.col("n") / 1e6).cast(kind) if kind == "timestamp_ntz" else F.col("n").cast(kind)
+    df = df.select(id.alias("id"), "score", "label")
+    expected = {tuple(r) for r in gains_table(df, num_buckets=1).collect()}
+    layout = rank_layout(df, num_buckets=12)
+    assert layout.buckets == 12 and len({c[0] for c in layout.cuts}) < len(layout.cuts)
+    assert {tuple(r) for r in gains_table(df, layout=layout).collect()} == expected
+    sizes = [r["count"] for r in layout.place(df).groupBy(BUCKET).count().collect()]
+    assert max(sizes) < 3 * 3000 / 12
+
+
 def test_string_ids_and_input_order(spark):
     rows = [(f"user-{i:04d}", (i * 37 % 5) / 5, i % 2) for i in range(200)]
     schema = "id string, score double, label int"
