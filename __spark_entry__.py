@@ -290,27 +290,49 @@ def _model_scores(kind: str, **options):
 _STUMP_ROLES = Roles(target="pricey", positive=True, id="o_orderkey", categorical=["o_orderpriority"], continuous=[])
 
 
+def _pricey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "orders").withColumn("pricey", F.col("o_totalprice") > 250000)
+
+
 def _stump_scores(kind: str, **options):
     """Is an order pricey, given its priority? Trained on early orders, all orders scored."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        orders = _table(spark, sf_dir, "orders").withColumn("pricey", F.col("o_totalprice") > 250000)
+        orders = _pricey(spark, sf_dir)
         model = fit_risk_model(_early(orders), _STUMP_ROLES, kind, maxDepth=1, **options)
-        return _round(model.score(orders.drop("o_orderdate")), "score")
+        return _round(model.score(orders), "score")
 
     return query
 
 
-def ensemble_score_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Output of every boosted tree, their weighted sum and its logistic, for all orders."""
-    orders = _table(spark, sf_dir, "orders")
-    model = fit_risk_model(_early(orders), ORDER_ROLES, "boosted")
+def _per_tree(model, orders: DataFrame) -> DataFrame:
+    """Output of every boosted tree, their weighted sum and its logistic."""
     scored = per_tree_score(model.classifier, model.prepare(orders))
     scored = scored.withColumn("raw_score", ensemble_raw(model.classifier)).withColumn("score", logistic("raw_score"))
     trees = [f"tree_{i}" for i in range(len(model.classifier.trees))]
     return scored.select("o_orderkey", *trees, "raw_score", "score")
 
 
+def ensemble_score_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders")
+    return _per_tree(fit_risk_model(_early(orders), ORDER_ROLES, "boosted"), orders)
+
+
+def ensemble_score_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for depth-1 trees, which SQL can fit too."""
+    orders = _pricey(spark, sf_dir)
+    scored = _per_tree(fit_risk_model(_early(orders), _STUMP_ROLES, "boosted", maxDepth=1), orders)
+    return _round(scored, *[c for c in scored.columns if c != "o_orderkey"])
+
+
+def stump_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole flow with depth-1 boosted trees: fit, score, rank, rates, ROC area, error rate."""
+    orders = _pricey(spark, sf_dir)
+    report = fit_score_rank(_early(orders), orders, _STUMP_ROLES, "boosted", maxDepth=1, num_buckets=BUCKETS)
+    whole = report.rates.join(F.broadcast(report.auc)).join(F.broadcast(report.error))
+    return _round(whole, "rate", "auc", "error_rate")
+
+
 def tree_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
     return fit_risk_model(_early(orders), ORDER_ROLES, "forest").summary()
@@ -370,6 +392,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dt_stump": _stump_scores("tree"),
         "rf_stump": _stump_scores("forest", bootstrap=False, featureSubsetStrategy="all"),
         "gbt_stump": _stump_scores("boosted"),
+        "ensemble_score_stump": ensemble_score_stump,
+        "stump_report": stump_report,
         "rf_score": _model_scores("forest"),
         "gbt_score": _model_scores("boosted"),
         "dt_score": _model_scores("tree"),
@@ -470,16 +494,18 @@ def _sql_levels(table: str, *columns: str) -> str:
 def _sql_stump(kind: str) -> str:
     """Depth-1 trees on one categorical feature.
 
-    Levels are ordered by their mean target, every cut of that order is a candidate split, and the
-    best one has the largest sum of squared side totals over side sizes. That criterion is the
-    variance gain, and for 0/1 targets twice over also the gini gain.
+    Levels are put in order, by their mean target for regression trees (boosting) and by their
+    number of positives for classification trees, ties by index. Every cut of that order is a
+    candidate split, and the best one has the largest sum of squared side totals over side sizes:
+    the variance gain and, for 0/1 targets, also the order of the gini gain.
     """
 
     def split(source: str, name: str) -> str:
         # source: level, n, total (sum of the target over the level's rows)
+        key = "total" if kind == "tree" else "total / n"
         return f"""
             {name}_ordered as (
-                select *, row_number() over (order by total / n, level) as k from {source}
+                select *, row_number() over (order by {key}, n desc, level) as k from {source}
             ), {name}_cuts as (
                 select k, sum(n) over (order by k) as nl, sum(total) over (order by k) as tl,
                        sum(n) over () as na, sum(total) over () as ta
@@ -499,10 +525,17 @@ def _sql_stump(kind: str) -> str:
             from orders where o_orderdate < timestamp '2000-01-01' group by 1
         )"""
     tail = """
-        select o_orderkey as id, round(s.score, 6) as score, cast(o_totalprice > 250000 as bigint) as label,
+        select o_orderkey as id, s.score as score, cast(o_totalprice > 250000 as bigint) as label,
                cast(s.score > 0.5 as bigint) as prediction
         from orders join scores s on o_orderpriority = s.level
     """
+    if kind == "per tree":
+        tail = """
+            select o_orderkey, round(t0.leaf, 6) as tree_0, round(t1.leaf, 6) as tree_1, round(t2.leaf, 6) as tree_2,
+                   round(f2.margin, 6) as raw_score, round(s.score, 6) as score
+            from orders join scores s on o_orderpriority = s.level
+                 join t0 using (level) join t1 using (level) join t2 using (level) join f2 using (level)
+        """
     if kind == "tree":
         # Two leaves that predict the same class are merged into one.
         return f"""
@@ -530,6 +563,19 @@ def _sql_stump(kind: str) -> str:
     return f"with {', '.join(parts)} {tail}"
 
 
+def _sql_rounded(scores: str) -> str:
+    return f"select id, round(score, 6) as score, label, prediction from ({scores})"
+
+
+def _sql_report(scores: str) -> str:
+    return f"""
+        select cutoff, idx, rate, auc, error_rate
+        from ({_sql_tdr(scores)}) cross join ({_sql_auc(scores)}) cross join (
+            select round(1 - avg(cast(prediction = label as double)), 6) as error_rate from ({scores})
+        )
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     event_ranks = """
         select level, n, row_number() over (order by n desc, level) - 1 as rank
@@ -620,7 +666,9 @@ def oracle_sql() -> dict[str, str]:
         "auc_roc_events": _sql_auc(_EVENT_SCORES),
         "error_rate": "select round(1 - avg(cast(quality = toxic as double)), 6) as error_rate from labels",
         "label_vs_prediction": "select doc_id, toxic, quality from labels",
-        "dt_stump": _sql_stump("tree"),
-        "rf_stump": _sql_stump("tree"),
-        "gbt_stump": _sql_stump("boosted"),
+        "dt_stump": _sql_rounded(_sql_stump("tree")),
+        "rf_stump": _sql_rounded(_sql_stump("tree")),
+        "gbt_stump": _sql_rounded(_sql_stump("boosted")),
+        "ensemble_score_stump": _sql_stump("per tree"),
+        "stump_report": _sql_report(_sql_stump("boosted")),
     }
