@@ -329,8 +329,7 @@ def stump_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole flow with depth-1 boosted trees: fit, score, rank, rates, ROC area, error rate."""
     orders = _pricey(spark, sf_dir)
     report = fit_score_rank(_early(orders), orders, _STUMP_ROLES, "boosted", maxDepth=1, num_buckets=BUCKETS)
-    whole = report.rates.join(F.broadcast(report.auc)).join(F.broadcast(report.error))
-    return _round(whole, "rate", "auc", "error_rate")
+    return _round(report.summary(), "value")
 
 
 def tree_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,13 +338,11 @@ def tree_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _risk_report(kind: str, **options):
-    """Detection rates and ROC area of a model fitted on early orders, over all orders."""
+    """Detection rates, ROC area and error rate of a model fitted on early orders, over all orders."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders = _table(spark, sf_dir, "orders")
-        report = fit_score_rank(_early(orders), orders, ORDER_ROLES, kind, **options)
-        # Two one-row tables beside the seven cut-offs.
-        return report.rates.join(F.broadcast(report.auc)).join(F.broadcast(report.error))
+        return fit_score_rank(_early(orders), orders, ORDER_ROLES, kind, **options).summary()
 
     return query
 
@@ -569,10 +566,9 @@ def _sql_rounded(scores: str) -> str:
 
 def _sql_report(scores: str) -> str:
     return f"""
-        select cutoff, idx, rate, auc, error_rate
-        from ({_sql_tdr(scores)}) cross join ({_sql_auc(scores)}) cross join (
-            select round(1 - avg(cast(prediction = label as double)), 6) as error_rate from ({scores})
-        )
+        select 'rate at ' || cast(cutoff as varchar) as measure, rate as value from ({_sql_tdr(scores)})
+        union all select 'auc', auc from ({_sql_auc(scores)})
+        union all select 'error rate', round(1 - avg(cast(prediction = label as double)), 6) from ({scores})
     """
 
 

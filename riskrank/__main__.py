@@ -1,6 +1,6 @@
 """Command line: fit a model on one CSV table, score another, print how well its ranking works.
 
-    python -m riskrank --train train.csv --holdout holdout.csv --categorical cat_var.list \\
+    python -m riskrank --train train.csv --holdout holdout.csv --categorical categorical.txt \\
         --target TARGET --model forest
 """
 

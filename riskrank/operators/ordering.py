@@ -227,7 +227,7 @@ def plan_layout(
     keys: Sequence[Key | str],
     *,
     num_buckets: int | None = None,
-    nullable: bool = True,
+    nullable: bool | None = None,
     rows: int | None = None,
     seed: int = 17,
 ) -> Layout:
@@ -238,19 +238,24 @@ def plan_layout(
     (about ``SAMPLES_PER_BUCKET`` rows per bucket), Spark sorts it, and only the cut points
     themselves, at most ``MAX_BUCKETS``, reach the driver.
 
-    ``nullable=False`` states that no key holds a null, which makes the bucket search cheaper.
+    ``nullable=False`` states that no key holds a null, which makes the bucket search cheaper; with
+    None the pass that counts the rows finds out.
     """
     keys = tuple(as_key(k) for k in keys)
     types = tuple(df.schema[k.name].dataType for k in keys)
     if num_buckets is not None and not 1 <= num_buckets <= MAX_BUCKETS:
         raise ValueError(f"num_buckets must lie between 1 and {MAX_BUCKETS}")
     if num_buckets == 1:
-        return Layout(keys, (), types, nullable)
+        return Layout(keys, (), types)
     columns = df.select(*[k.name for k in keys])
-    rows = columns.count() if rows is None else rows
+    if nullable is None:
+        filled = columns.agg(F.count(F.lit(1)), *[F.count(k.name) for k in keys]).head()
+        rows, nullable = filled[0], min(filled) < filled[0]
+    elif rows is None:
+        rows = columns.count()
     buckets = num_buckets or choose_buckets(rows)
     if buckets == 1 or rows == 0:
-        return Layout(keys, (), types, nullable)
+        return Layout(keys, (), types)
 
     wanted = buckets * SAMPLES_PER_BUCKET
     sampled = columns if rows <= wanted else columns.sample(wanted / rows, seed=seed)

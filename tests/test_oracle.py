@@ -53,8 +53,8 @@ def test_model_query_gives_rows(spark, name):
     for r in rows:
         if "score" in result.columns:
             assert 0.0 <= r.score <= 1.0
-        if "rate" in result.columns:
-            assert 0.0 <= r.rate <= 1.0
+        if "measure" in result.columns:
+            assert 0.0 <= r.value <= 1.0
 
 
 def test_entry(spark):
