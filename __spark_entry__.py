@@ -468,7 +468,8 @@ def _sql_tdr(scores: str) -> str:
 def _sql_auc(scores: str) -> str:
     return f"""
         with per_score as (
-            select score, sum(label)::double as pos, (count(*) - sum(label))::double as neg from ({scores}) group by score
+            select score, sum(label)::double as pos, (count(*) - sum(label))::double as neg
+            from ({scores}) group by score
         ), above as (
             select *, sum(pos) over (order by score desc) - pos as pos_above from per_score
         )
@@ -623,7 +624,10 @@ def oracle_sql() -> dict[str, str]:
             select event_id, user_id, cast(rank as double) as user_id_index
             from events join ({user_ranks}) on cast(user_id as varchar) = level
         """,
-        "one_hot": f"select event_id, event_type, {one_hot_columns} from events join ({event_ranks}) on event_type = level",
+        "one_hot": f"""
+            select event_id, event_type, {one_hot_columns}
+            from events join ({event_ranks}) on event_type = level
+        """,
         "assemble": f"""
             select event_id, value as f0, cast(user_id as double) as f1, cast(rank as double) as f2
             from events join ({event_ranks}) on event_type = level
@@ -640,7 +644,10 @@ def oracle_sql() -> dict[str, str]:
         """,
         "weighted_logistic": """
             select o_orderkey, round(raw, 6) as raw_score, round(1 / (1 + exp(-raw)), 6) as score
-            from (select o_orderkey, o_totalprice * 0.0000136986301::double + o_custkey * (-0.00213717)::double as raw from orders)
+            from (
+                select o_orderkey, o_totalprice * 0.0000136986301::double + o_custkey * (-0.00213717)::double as raw
+                from orders
+            )
         """,
         "score_rank": _sql_rank(_ORDER_SCORES),
         "score_rank_ties": _sql_rank(_ORDER_TIES),

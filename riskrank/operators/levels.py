@@ -77,7 +77,11 @@ def fit_levels(
     workspace: Workspace | None = None,
     num_buckets: int | None = None,
 ) -> Levels:
-    """Learn the dictionaries of ``columns`` in one pass over ``df``."""
+    """Learn the dictionaries of ``columns`` in one pass over ``df``.
+
+    Over ``max_local`` levels in all, the dictionaries are written as a table to the ``workspace``;
+    pass one to be able to clear it.
+    """
     columns = tuple(columns)
     if not columns:
         raise ValueError("fit_levels needs at least one column")
@@ -152,7 +156,9 @@ def indexers(levels: Levels, columns: Sequence[str] | None = None, suffix: str =
     ]
 
 
-def index_apply(df: DataFrame, levels: Levels, columns: Sequence[str] | None = None, suffix: str = "_index") -> DataFrame:
+def index_apply(
+    df: DataFrame, levels: Levels, columns: Sequence[str] | None = None, suffix: str = "_index"
+) -> DataFrame:
     """Add ``<column>_index``, the double index of each level; an unknown level or null fails the query.
 
     Indexes of narrow columns are marked as nominal for learners; those of wide ones are numbers.

@@ -161,7 +161,8 @@ class RankingReport:
 
     def summary(self) -> DataFrame:
         """The figures of the report as ``(measure, value)`` rows."""
-        rates = self.rates.select(F.format_string("rate at %s", F.col("cutoff").cast("string")).alias("measure"), "rate")
+        name = F.format_string("rate at %s", F.col("cutoff").cast("string"))
+        rates = self.rates.select(name.alias("measure"), "rate")
         auc = self.auc.select(F.lit("auc").alias("measure"), "auc")
         error = self.error.select(F.lit("error rate").alias("measure"), "error_rate")
         return rates.union(auc).union(error).toDF("measure", "value")
