@@ -7,6 +7,7 @@ gives equivalent SQL for all but the fitted models that SQL cannot express.
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -353,7 +354,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return fit_score_rank(_early(orders), orders, ORDER_ROLES, "forest").rates
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; several where an operator has more than one execution path."""
     return {
         "csv_scan": csv_scan,
@@ -573,7 +574,7 @@ def _sql_report(scores: str) -> str:
     """
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_oracle_sql() -> dict[str, str]:
     event_ranks = """
         select level, n, row_number() over (order by n desc, level) - 1 as rank
         from (select event_type as level, count(*) as n from events group by event_type)
@@ -675,3 +676,36 @@ def oracle_sql() -> dict[str, str]:
         "ensemble_score_stump": _sql_stump("per tree"),
         "stump_report": _sql_report(_sql_stump("boosted")),
     }
+
+
+def _has(*modules: str) -> bool:
+    return all(importlib.util.find_spec(m) is not None for m in modules)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """All queries: the library's own, and those of the ``llm`` subpackage and its pipeline where they are present."""
+    found = _own_queries()
+    if _has("riskrank.llm"):
+        from riskrank.llm import queries as llm
+
+        found |= llm.queries()
+    if _has("riskrank.llm", "corpus_pipeline"):
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    """SQL for every query that SQL can express."""
+    found = _own_oracle_sql()
+    if _has("riskrank.llm"):
+        from riskrank.llm import queries as llm
+
+        found |= llm.oracle_sql()
+    if _has("riskrank.llm", "corpus_pipeline"):
+        import corpus_pipeline
+
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
