@@ -7,15 +7,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskrank.llm.common import Workspace, read_table
 from riskrank.llm.packing import pack_documents
+from riskrank.llm.quality import classify, fit_quality
 from riskrank.llm.simhash import near_duplicates
 from riskrank.llm.suffix_dedup import remove_repeats
 from riskrank.llm.token_files import read_token_files, write_token_files
+from riskrank.llm.url_filter import Rule, filter_urls
+from riskrank.llm.warc import read_archives, records, write_archives
+
+URL_RULES = [
+    Rule("block", "net", "/"),
+    Rule("allow", "example.net", "/en/"),
+    Rule("block", "example.com", "/de/"),
+    Rule("allow", "org", "/fr/"),
+]
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents"), Workspace(spark), unit="byte", threshold=50)
 
 
+def op5_link_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(read_table(spark, sf_dir, "pages"), Workspace(spark), URL_RULES)
+
+
 def op6_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(
         read_table(spark, sf_dir, "documents"),
@@ -37,6 +51,18 @@ def op7_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(manifest, counts)
 
 
+def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_archives(read_table(spark, sf_dir, "pages"), Workspace(spark))
+    read = records(read_archives(manifest, with_payload=False))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_quality(docs, read_table(spark, sf_dir, "labels"))
+    return classify(docs, model, Workspace(spark))
+
+
 def op10_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), Workspace(spark), words=3, radius=2)
 

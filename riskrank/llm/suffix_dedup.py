@@ -22,8 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from riskrank.llm.common import MIX_A, MIX_B, MIX_C, U64, Workspace, free_shuffles, mix64, text_bytes
 
@@ -337,19 +339,23 @@ def remove_repeats(
     id: str = "doc_id",
     text: str = "text",
     keep_content: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Remove from every document what is covered by ``threshold`` tokens that also start in a smaller one.
 
     Returns doc_id, n_bytes, n_removed, n_spans (maximal removed runs of bytes), kept_sha256, and, if asked
-    for, ``spans`` (begin, end in bytes) and ``kept`` (the bytes that stay). Windows are judged on the input
+    for, ``spans`` (begin, end in bytes) and ``kept`` (the bytes that stay), and the columns named in ``carry``
+    as the struct ``carried``. Windows are judged on the input
     and never cross documents. With words, a run reaches from its first to its last word.
 
     A null text counts as empty. Rows with a null id are returned whole and remove nothing. An id stands for one text:
     rows that repeat it are never held against each other. Other columns are ignored; an empty table gives
     no rows. Texts of any length are judged whole.
     """
-    rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    spans = repeated_spans(rows.where("id is not null"), ws, unit=unit, threshold=threshold)
+    rows = docs.select(
+        F.col(id).cast("long").alias("id"), F.col(text).alias("text"), *([F.struct(*carry).alias("carried")] if carry else [])
+    )
+    spans = repeated_spans(rows.where("id is not null").select("id", "text"), ws, unit=unit, threshold=threshold)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -381,10 +387,12 @@ def remove_repeats(
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
             columns = [batch.column(0), *(pa.array(c, t) for c, t in zip(out, types, strict=True))]
             n = 7 if keep_content else 5
-            yield pa.RecordBatch.from_arrays(columns[:n], names=names[:n])
+            carried = [batch.column(3)] if carry else []
+            yield pa.RecordBatch.from_arrays([*columns[:n], *carried], names=[*names[:n], *["carried"][: len(carried)]])
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if keep_content:
         schema += ", spans array<struct<begin: long, end: long>>, kept binary"
-    joined = _with_spans(rows, spans, "left").select("id", "text", "spans")
-    return joined.mapInArrow(cut, schema)
+    joined = _with_spans(rows, spans, "left").select("id", "text", "spans", *(["carried"] if carry else []))
+    out = StructType.fromDDL(schema)
+    return joined.mapInArrow(cut, out.add("carried", joined.schema["carried"].dataType) if carry else out)
