@@ -24,7 +24,7 @@ def test_features():
     texts = ["Über ALLES, über!!", None, "", "a b\ta|b 12", "x" * 10]
     f = quality.Features(pa.array(texts))
     assert np.bincount(f.row, minlength=5).tolist() == [3, 0, 0, 2, 1]
-    alone = [quality.Features(pa.array([t])) for t in texts]
+    alone = [quality.Features(pa.array([t], pa.string())) for t in texts]
     for i, a in enumerate(alone):
         assert (a.style[0] == f.style[i]).all() and set(a.slot) == set(f.slot[f.row == i])
 
