@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import re
+import time
 from array import array
 from collections.abc import Iterator
 
@@ -33,8 +34,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner delete shuffle files of frames that no variable refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first round lets go may hold more
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -32,8 +32,8 @@ from riskrank.llm.common import MIX_A, MIX_B, MIX_C, U64, Workspace, free_shuffl
 ANCHOR = 16
 STEP = 1 << 20
 FLUSH_ROWS = 2_000_000
-# Second digits (8 bits; 0: none), length of a region and its start share one number.
-START_BITS, LEN_BITS, DIGIT_BITS = 39, 8, 8
+# Start of a region, its length, the place of its anchor and two second digits (0: none) share one number.
+LEN_BITS, DIGIT_BITS = 6, 8
 SETTLED = np.int64(1 << 62)
 
 
@@ -99,9 +99,8 @@ def span_hash(h: np.ndarray, at: np.ndarray, size: int, times: np.uint64) -> np.
 
 
 def regions(tokens: Tokens, threshold: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(anchor hash, region hash, row, start in its row, last - first window, left digit, right digit)."""
-    bounds, width = tokens.bounds, threshold - ANCHOR + 1
-    side = (threshold - ANCHOR) // 2
+    """(anchor hash, region hash, row, start in its row, last - first window, anchor - start, left digit, right digit)."""
+    bounds, width, side = tokens.bounds, threshold - ANCHOR + 1, side_of(threshold)
     low = U64((1 << 21) - 1)
     for lo in range(0, int(bounds[-1]), STEP):
         hi = min(lo + STEP, int(bounds[-1]))  # windows that start in [lo, hi)
@@ -134,18 +133,24 @@ def regions(tokens: Tokens, threshold: int) -> Iterator[tuple[np.ndarray, ...]]:
             digit = np.zeros(len(first), np.int64)
             digit[full] = span_hash(h, at, side + ANCHOR, MIX_B) % U64((1 << DIGIT_BITS) - 1) + U64(1) if side else 1
             digits.append(digit)
-        yield own[anchor], region, own_row, first + lo - bounds[own_row], last - first, *digits
+        yield own[anchor], region, own_row, first + lo - bounds[own_row], last - first, anchor - first, *digits
 
 
-def packed(start: np.ndarray, size: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return ((start << LEN_BITS | size) << DIGIT_BITS | left) << DIGIT_BITS | right
+def side_of(threshold: int) -> int:
+    """Tokens beside the anchor in a second digit: every window holds those before it or those after it."""
+    return (threshold - ANCHOR) // 2
+
+
+def packed(start: np.ndarray, size: np.ndarray, anchor: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    place = (start << LEN_BITS | size) << LEN_BITS | anchor
+    return (place << DIGIT_BITS | left) << DIGIT_BITS | right
 
 
 def unpacked(place: np.ndarray) -> tuple[np.ndarray, ...]:
     digit, length = (1 << DIGIT_BITS) - 1, (1 << LEN_BITS) - 1
     place = place & ~SETTLED
-    start = place >> (LEN_BITS + 2 * DIGIT_BITS)
-    return start, place >> (2 * DIGIT_BITS) & length, place >> DIGIT_BITS & digit, place & digit
+    right, left, place = place & digit, place >> DIGIT_BITS & digit, place >> (2 * DIGIT_BITS)
+    return place >> (2 * LEN_BITS), place >> LEN_BITS & length, place & length, left, right
 
 
 def _batch(names: list[str], *columns: np.ndarray) -> pa.RecordBatch:
@@ -172,8 +177,8 @@ def first_pass(docs: DataFrame, unit: str, threshold: int) -> DataFrame:
         for batch in batches:
             tokens, ids = Tokens(batch.column(1), unit), batch.column(0).to_numpy()
             held, rows = [], 0
-            for anchor, region, row, start, size, left, right in regions(tokens, threshold):
-                held.append((anchor.view(np.int64), region.view(np.int64), ids[row], packed(start, size, left, right)))
+            for anchor, region, row, start, size, inner, left, right in regions(tokens, threshold):
+                held.append((anchor.view(np.int64), region.view(np.int64), ids[row], packed(start, size, inner, left, right)))
                 rows += len(row)
                 if rows > FLUSH_ROWS:
                     yield _batch(names, *combine(*map(np.concatenate, zip(*held, strict=True))))
@@ -184,11 +189,12 @@ def first_pass(docs: DataFrame, unit: str, threshold: int) -> DataFrame:
     return docs.mapInArrow(run, "k1 long, k2 long, doc long, place long")
 
 
-def settle(k1: np.ndarray, k2: np.ndarray, doc: np.ndarray, place: np.ndarray, head: tuple | None, whole: bool):
+def settle(k1: np.ndarray, k2: np.ndarray, doc: np.ndarray, place: np.ndarray, head: tuple | None, whole: bool, threshold: int):
     """Rows (sorted) of full groups of an anchor, or of a part of a very large one: (doc, start, len, open).
 
     ``head`` is (anchor, region, smallest document) of the part before. Without the whole group, the
-    second digit cannot rule anything out, and all that is not settled stays open.
+    second digit cannot rule anything out, and all that is not settled stays open. With it, the windows
+    that hold a shared second digit stay open.
     """
     new1 = np.concatenate([[True], k1[1:] != k1[:-1]])
     new2 = new1 | np.concatenate([[True], k2[1:] != k2[:-1]])
@@ -196,26 +202,31 @@ def settle(k1: np.ndarray, k2: np.ndarray, doc: np.ndarray, place: np.ndarray, h
     if head and (k1[0], k2[0]) == head[:2]:
         least[np.cumsum(new2) == 1] = head[2]
     done = doc > least
-    start, size, left, right = unpacked(place)
+    start, size, inner, left, right = unpacked(place)
     open_ = ~done
     if whole and not head:
         group = np.cumsum(new1) - 1
         at = np.flatnonzero(new1)
         many = (np.minimum.reduceat(doc, at) < np.maximum.reduceat(doc, at)) & (np.add.reduceat(new2.astype(np.int64), at) > 1)
-        shared = np.zeros(len(k1), bool)
+        shared = []
         region = np.cumsum(new2) - 1
         stands = np.flatnonzero(new2)
         for digit in (left, right):
             key = group[stands] << DIGIT_BITS | digit[stands]
             _, which, n = np.unique(key, return_inverse=True, return_counts=True)
-            shared |= ((n[which] > 1) & (digit[stands] > 0))[region]
-        open_ &= many[group] & shared
+            shared.append(((n[which] > 1) & (digit[stands] > 0))[region])
+        side = side_of(threshold)
+        # Windows 0, ..., size of a region: the first ones hold the left digit, the last ones the right digit.
+        begin = np.where(open_ & ~shared[0], np.maximum(0, inner - (threshold - ANCHOR - side)), 0)
+        end = np.where(open_ & ~shared[1], np.minimum(size, inner - side), size)
+        start, size = start + begin, end - begin
+        open_ &= many[group] & (shared[0] | shared[1]) & (size >= 0)
     last = (k1[-1], k2[-1], least[-1])
     rows = done | open_
     return (doc[rows], start[rows], size[rows], open_[rows]), last
 
 
-def second_pass(rows: DataFrame) -> DataFrame:
+def second_pass(rows: DataFrame, threshold: int) -> DataFrame:
     """(doc, start, len, open) from the rows of the first pass, sorted by anchor, region and document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +235,7 @@ def second_pass(rows: DataFrame) -> DataFrame:
             columns = [batch.column(i).to_numpy() for i in range(4)]
             away = (columns[3] & SETTLED) != 0
             if away.any():
-                start, size, _, _ = unpacked(columns[3][away])
+                start, size, *_ = unpacked(columns[3][away])
                 yield _batch(names, columns[2][away], start, size, np.zeros(away.sum(), bool))
                 columns = [c[~away] for c in columns]
             if not len(columns[0]):
@@ -233,16 +244,16 @@ def second_pass(rows: DataFrame) -> DataFrame:
                 columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
             cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last anchor may go on
             if cut:
-                out, _ = settle(*(c[:cut] for c in columns), head, True)
+                out, _ = settle(*(c[:cut] for c in columns), head, True, threshold)
                 yield _batch(names, *out)
                 head = None
             held = [c[cut:] for c in columns]
             if len(held[0]) > FLUSH_ROWS:
-                out, head = settle(*held, head, False)
+                out, head = settle(*held, head, False, threshold)
                 yield _batch(names, *out)
                 held = None
         if held is not None:
-            yield _batch(names, *settle(*held, head, True)[0])
+            yield _batch(names, *settle(*held, head, True, threshold)[0])
 
     ordered = rows.repartition(_parts(rows), "k1").sortWithinPartitions("k1", "k2", "doc", "place")
     return ordered.mapInArrow(run, "doc long, start long, len long, open boolean")
@@ -320,9 +331,9 @@ def repeated_spans(docs: DataFrame, ws: Workspace, *, unit: str, threshold: int)
     ``docs``: (id long, not null; text).
     """
     if unit not in ("byte", "word") or not ANCHOR + 2 <= threshold < ANCHOR + (1 << LEN_BITS):
-        raise ValueError("unit must be byte or word, and threshold 18 to 271")
+        raise ValueError("unit must be byte or word, and threshold 18 to 79")
     spark = docs.sparkSession
-    found = ws.keep(second_pass(first_pass(docs, unit, threshold)), "regions")
+    found = ws.keep(second_pass(first_pass(docs, unit, threshold), threshold), "regions")
     free_shuffles(spark)
     whole = found.where("not open").select("doc", "start", "len")
     single = ws.keep(third_pass(docs, found.where("open"), unit, threshold), "windows")

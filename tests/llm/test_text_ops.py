@@ -67,10 +67,10 @@ def test_suffix_dedup_small_flushes(spark, monkeypatch):
     assert windows(whole) == windows(steps)
     # a group settled in parts
     k = np.zeros(6, np.int64)
-    place = suffix_dedup.packed(np.arange(6), k, k, k)
-    (doc, *_, open_), head = suffix_dedup.settle(k, k, np.array([3, 3, 4, 5, 5, 6]), place, None, False)
+    place = suffix_dedup.packed(np.arange(6), k, k, k, k)
+    (doc, *_, open_), head = suffix_dedup.settle(k, k, np.array([3, 3, 4, 5, 5, 6]), place, None, False, 50)
     assert open_.tolist() == [True, True, False, False, False, False] and head[2] == 3
-    (doc, *_, open_), _ = suffix_dedup.settle(k, k, np.array([6, 6, 7, 7, 8, 9]), place, head, True)
+    (doc, *_, open_), _ = suffix_dedup.settle(k, k, np.array([6, 6, 7, 7, 8, 9]), place, head, True, 50)
     assert len(doc) == 6 and not open_.any()
 
 
