@@ -5,12 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from riskrank.llm.ann import nearest
 from riskrank.llm.common import Workspace, read_table
 from riskrank.llm.packing import pack_documents
+from riskrank.llm.pieces import encode_pieces
 from riskrank.llm.quality import classify, fit_quality
 from riskrank.llm.simhash import near_duplicates
 from riskrank.llm.suffix_dedup import remove_repeats
 from riskrank.llm.token_files import read_token_files, write_token_files
+from riskrank.llm.topk import top_products
 from riskrank.llm.url_filter import Rule, filter_urls
 from riskrank.llm.warc import read_archives, records, write_archives
 
@@ -22,10 +25,24 @@ URL_RULES = [
 ]
 
 
+def op1_hilbert_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), Workspace(spark), every=50, k=5)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents"), Workspace(spark), unit="byte", threshold=50)
 
 
+def op3_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(read_table(spark, sf_dir, "embeddings"), Workspace(spark), scale=256.0, every=50, k=5)
+
+
+def op4_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_pieces(
+        read_table(spark, sf_dir, "documents"), model=public_tokenizers.path("piece_bpe_32k.model"), dropout=0.1, seed=7, keep_ids=False
+    )
+
+
 def op5_link_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read_table(spark, sf_dir, "pages"), Workspace(spark), URL_RULES)
 
@@ -74,4 +91,20 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Exact inner products in SQL. The others need hashes, tokenizers or files that SQL lacks."""
+    return {
+        "op3_norm_sorted_topk": """
+            with v as (
+                select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e
+                from embeddings
+            ), p as (
+                select q.vec_id as query_id, c.vec_id,
+                       cast(list_sum(list_transform(list_zip(q.e, c.e), lambda t: t[1] * t[2])) as bigint) as score
+                from v q join v c on q.vec_id <> c.vec_id
+                where q.vec_id % 50 = 0
+            )
+            select query_id, cast(rank as integer) as rank, vec_id, score
+            from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from p)
+            where rank <= 5
+        """
+    }
