@@ -10,12 +10,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskrank.sources.workspace import Workspace
 
-__all__ = ["Workspace", "connected_components", "encoder", "free_shuffles", "mix64", "read_table", "text_bytes"]
+__all__ = ["Workspace", "connected_components", "encoder", "free_shuffles", "mix64", "parts_of", "read_table", "text_bytes"]
 
 U64 = np.uint64
 # Odd multipliers of a 64-bit finalizer; any odd constants with mixed bits serve.
@@ -24,7 +25,9 @@ MIX_A, MIX_B, MIX_C = U64(0x9E3779B97F4A7C15), U64(0xBF58476D1CE4E5B9), U64(0x94
 # White space as the tokenizers' patterns see it; chunks begin before a run of it.
 SPACE = r"\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-CACHE_ENTRIES = 500_000
+# Bytes of text handled at once where arrays of their size are made; a longer text is one part.
+PART = 1 << 20
+CACHE_ENTRIES = 300_000
 CACHE_CHARS = 48
 
 
@@ -58,6 +61,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def parts_of(batch: pa.RecordBatch, i: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``PART`` bytes in column ``i``; one row at least."""
+    sizes = np.array([x or 0 for x in pa.compute.binary_length(batch.column(i)).to_pylist()], np.int64)
+    ends, at = np.cumsum(sizes), 0
+    while at < len(batch):
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + PART, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 class CachedEncoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 

@@ -15,11 +15,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskrank.llm.common import MIX_A, MIX_C, U64, Workspace, mix64, text_bytes
+from riskrank.llm.common import MIX_A, MIX_C, U64, Workspace, mix64, parts_of, text_bytes
 
 WORD_BITS = 16
 WORD_PRIOR = 5.0
@@ -28,8 +27,6 @@ MARKS = 14
 SAMPLE_ROWS = 20_000
 # A site may move a document's logit by so much at most.
 MOST_SHIFT = 2.0
-# Bytes handled at once; longer texts are summed over parts.
-PART = 1 << 20
 
 
 class Features:
@@ -102,16 +99,6 @@ class Features:
         return np.concatenate([np.stack([most, np.log1p(strong), mean], axis=1), self.style, np.ones((self.n, 1))], axis=1)
 
 
-def parts_of(batch: pa.RecordBatch, i: int) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of about ``PART`` bytes in column ``i``; one row at least."""
-    sizes = np.array([x or 0 for x in pa.compute.binary_length(batch.column(i)).to_pylist()], np.int64)
-    ends, at = np.cumsum(sizes), 0
-    while at < len(batch):
-        stop = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + PART, "right")))
-        yield batch.slice(at, stop - at)
-        at = stop
-
-
 def word_shifts(bad: np.ndarray, seen: np.ndarray, rate: float) -> np.ndarray:
     """Logit of a word's rate of bad documents, shrunk to the base rate by ``WORD_PRIOR`` documents, against the base."""
     p = (bad + WORD_PRIOR * rate) / (seen + WORD_PRIOR)

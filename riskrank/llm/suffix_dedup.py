@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from riskrank.llm.common import MIX_A, MIX_B, MIX_C, U64, Workspace, free_shuffles, mix64, text_bytes
+from riskrank.llm.common import MIX_A, MIX_B, MIX_C, U64, Workspace, free_shuffles, mix64, parts_of, text_bytes
 
 ANCHOR = 16
 STEP = 1 << 20
@@ -174,17 +174,17 @@ def first_pass(docs: DataFrame, unit: str, threshold: int) -> DataFrame:
     names = ["k1", "k2", "doc", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens, ids = Tokens(batch.column(1), unit), batch.column(0).to_numpy()
-            held, rows = [], 0
+        held, rows = [], 0
+        for part in (p for batch in batches for p in parts_of(batch, 1)):
+            tokens, ids = Tokens(part.column(1), unit), part.column(0).to_numpy()
             for anchor, region, row, start, size, inner, left, right in regions(tokens, threshold):
                 held.append((anchor.view(np.int64), region.view(np.int64), ids[row], packed(start, size, inner, left, right)))
                 rows += len(row)
                 if rows > FLUSH_ROWS:
                     yield _batch(names, *combine(*map(np.concatenate, zip(*held, strict=True))))
                     held, rows = [], 0
-            if rows:
-                yield _batch(names, *combine(*map(np.concatenate, zip(*held, strict=True))))
+        if rows:
+            yield _batch(names, *combine(*map(np.concatenate, zip(*held, strict=True))))
 
     return docs.mapInArrow(run, "k1 long, k2 long, doc long, place long")
 
@@ -369,7 +369,7 @@ def remove_repeats(
     spans = repeated_spans(rows.where("id is not null").select("id", "text"), ws, unit=unit, threshold=threshold)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for whole in batches for p in parts_of(whole, 1)):
             tokens, (at, start, size) = Tokens(batch.column(1), unit), _span_arrays(batch.column(2))
             out: tuple[list, ...] = ([], [], [], [], [], [])
             for i in range(len(batch)):

@@ -61,7 +61,7 @@ def test_nearest_with_full_reach_is_exact(spark):
     expected = brute(rows, cosine, False)
     assert [x[3] for x in got] == [x[3] for x in expected] and got == expected
     assert ann.nearest(vectors_of(spark, []), Workspace(spark)).count() == 0
-    few = [(0, [1.0, 0.0, 0, 0, 0, 0]), (1, [1.0, 1.0, 0, 0, 0, 0])]
+    few = [(0, [1.0, 0.0, 0.0]), (1, [1.0, 1.0, 0.0])]
     assert [tuple(r)[:3] for r in ann.nearest(vectors_of(spark, few), Workspace(spark)).collect()] == [(0, 1, 1)]
 
 
