@@ -157,16 +157,30 @@ def _batch(names: list[str], *columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
-def combine(k1: np.ndarray, k2: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Mark as settled what a smaller document of these rows has too; only the others stand for their key."""
+def combine(k1: np.ndarray, k2: np.ndarray, doc: np.ndarray, place: np.ndarray, spans) -> tuple[np.ndarray, ...]:
+    """Settle what a smaller document of these rows has too; only the other rows stand for their key.
+
+    ``spans`` gives start and last - first window of a place.
+    """
     order = np.lexsort((doc, k2, k1))
     k1, k2, doc, place = k1[order], k2[order], doc[order], place[order]
     new = np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])
     settled = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-    place = np.where(settled, place | SETTLED, place)
-    # Settled rows are dealt by document and place instead of their key, which may be hot.
-    away = mix64(doc.view(np.uint64) * MIX_A + place.view(np.uint64)).view(np.int64)
-    return np.where(settled, away, k1), np.where(settled, 0, k2), doc, place
+    start, size = spans(place[settled])
+    owner = doc[settled]
+    order = np.lexsort((start, owner))
+    owner, start, size = owner[order], start[order], size[order]
+    # Runs that follow on each other are one.
+    turn = np.ones(len(owner), bool)
+    turn[1:] = (owner[1:] != owner[:-1]) | (start[1:] > start[:-1] + size[:-1] + 1)
+    first = np.flatnonzero(turn)
+    owner, begin = owner[first], start[first]
+    size = (np.maximum.reduceat(start + size, first) if len(first) else start) - begin
+    # Settled runs are dealt by document and place instead of their key, which may be hot; the second key has their length.
+    away = mix64(owner.view(np.uint64) * MIX_A + begin.view(np.uint64)).view(np.int64)
+    rest = ~settled
+    pairs = ((k1[rest], away), (k2[rest], size), (doc[rest], owner), (place[rest], begin | SETTLED))
+    return tuple(np.concatenate(x) for x in pairs)
 
 
 def first_pass(docs: DataFrame, unit: str, threshold: int) -> DataFrame:
@@ -181,10 +195,10 @@ def first_pass(docs: DataFrame, unit: str, threshold: int) -> DataFrame:
                 held.append((anchor.view(np.int64), region.view(np.int64), ids[row], packed(start, size, inner, left, right)))
                 rows += len(row)
                 if rows > FLUSH_ROWS:
-                    yield _batch(names, *combine(*map(np.concatenate, zip(*held, strict=True))))
+                    yield _batch(names, *combine(*map(np.concatenate, zip(*held, strict=True)), lambda p: unpacked(p)[:2]))
                     held, rows = [], 0
         if rows:
-            yield _batch(names, *combine(*map(np.concatenate, zip(*held, strict=True))))
+            yield _batch(names, *combine(*map(np.concatenate, zip(*held, strict=True)), lambda p: unpacked(p)[:2]))
 
     return docs.mapInArrow(run, "k1 long, k2 long, doc long, place long")
 
@@ -235,8 +249,7 @@ def second_pass(rows: DataFrame, threshold: int) -> DataFrame:
             columns = [batch.column(i).to_numpy() for i in range(4)]
             away = (columns[3] & SETTLED) != 0
             if away.any():
-                start, size, *_ = unpacked(columns[3][away])
-                yield _batch(names, columns[2][away], start, size, np.zeros(away.sum(), bool))
+                yield _batch(names, columns[2][away], columns[3][away] & ~SETTLED, columns[1][away], np.zeros(away.sum(), bool))
                 columns = [c[~away] for c in columns]
             if not len(columns[0]):
                 continue
@@ -296,17 +309,17 @@ def third_pass(docs: DataFrame, open_: DataFrame, unit: str, threshold: int) ->
                 held.append((k1, k2, np.full(len(where), ids[i]), where.astype(np.int64)))
                 rows += len(where)
                 if rows > FLUSH_ROWS:
-                    yield _batch(names, *combine(*map(np.concatenate, zip(*held, strict=True))))
+                    yield _batch(names, *combine(*map(np.concatenate, zip(*held, strict=True)), lambda p: (p, np.zeros_like(p))))
                     held, rows = [], 0
             if rows:
-                yield _batch(names, *combine(*map(np.concatenate, zip(*held, strict=True))))
+                yield _batch(names, *combine(*map(np.concatenate, zip(*held, strict=True)), lambda p: (p, np.zeros_like(p))))
 
     def equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = None
         for batch in batches:
             k1, k2, doc, place = (batch.column(i).to_numpy() for i in range(4))
             away = (place & SETTLED) != 0
-            found = [(doc[away], place[away] & ~SETTLED)]
+            found = [(doc[away], place[away] & ~SETTLED, k2[away])]
             k1, k2, doc, place = (c[~away] for c in (k1, k2, doc, place))
             if len(k1):
                 new = np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])
@@ -314,9 +327,9 @@ def third_pass(docs: DataFrame, open_: DataFrame, unit: str, threshold: int) ->
                 if head and (k1[0], k2[0]) == head[:2]:
                     least[np.cumsum(new) == 1] = head[2]
                 head = (k1[-1], k2[-1], least[-1])
-                found.append((doc[doc > least], place[doc > least]))
-            docs_, places = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield _batch(["doc", "start", "len"], docs_, places, np.zeros(len(docs_), np.int64))
+                more = doc > least
+                found.append((doc[more], place[more], np.zeros(int(more.sum()), np.int64)))
+            yield _batch(["doc", "start", "len"], *(np.concatenate(x) for x in zip(*found, strict=True)))
 
     rows = _with_spans(docs, open_, "inner").select("id", "text", "spans").mapInArrow(
         windows, "k1 long, k2 long, doc long, place long"
