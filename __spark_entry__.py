@@ -40,6 +40,8 @@ from riskrank.sources import Roles, Workspace, read_csv
 
 # Orders before this day train a model; all orders are scored.
 TRAIN_UNTIL = "2000-01-01"
+# Training rows are dealt by id, so that a fit does not depend on the number of cores.
+PARTITIONS = 4
 # Bucket count of the queries that force the multi-bucket path on tables too small to choose it.
 BUCKETS = 16
 
@@ -282,7 +284,7 @@ def _model_scores(kind: str, **options):
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders = _table(spark, sf_dir, "orders")
-        return fit_risk_model(_early(orders), ORDER_ROLES, kind, **options).score(orders)
+        return fit_risk_model(_early(orders), ORDER_ROLES, kind, partitions=PARTITIONS, **options).score(orders)
 
     return query
 
@@ -300,7 +302,7 @@ def _stump_scores(kind: str, **options):
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders = _pricey(spark, sf_dir)
-        model = fit_risk_model(_early(orders), _STUMP_ROLES, kind, maxDepth=1, **options)
+        model = fit_risk_model(_early(orders), _STUMP_ROLES, kind, partitions=PARTITIONS, maxDepth=1, **options)
         return _round(model.score(orders), "score")
 
     return query
@@ -316,26 +318,26 @@ def _per_tree(model, orders: DataFrame) -> DataFrame:
 
 def ensemble_score_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
-    return _per_tree(fit_risk_model(_early(orders), ORDER_ROLES, "boosted"), orders)
+    return _per_tree(fit_risk_model(_early(orders), ORDER_ROLES, "boosted", partitions=PARTITIONS), orders)
 
 
 def ensemble_score_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for depth-1 trees, which SQL can fit too."""
     orders = _pricey(spark, sf_dir)
-    scored = _per_tree(fit_risk_model(_early(orders), _STUMP_ROLES, "boosted", maxDepth=1), orders)
+    scored = _per_tree(fit_risk_model(_early(orders), _STUMP_ROLES, "boosted", partitions=PARTITIONS, maxDepth=1), orders)
     return _round(scored, *[c for c in scored.columns if c != "o_orderkey"])
 
 
 def stump_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole flow with depth-1 boosted trees: fit, score, rank, rates, ROC area, error rate."""
     orders = _pricey(spark, sf_dir)
-    report = fit_score_rank(_early(orders), orders, _STUMP_ROLES, "boosted", maxDepth=1, num_buckets=BUCKETS)
+    report = fit_score_rank(_early(orders), orders, _STUMP_ROLES, "boosted", partitions=PARTITIONS, maxDepth=1, num_buckets=BUCKETS)
     return _round(report.summary(), "value")
 
 
 def tree_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
-    return fit_risk_model(_early(orders), ORDER_ROLES, "forest").summary()
+    return fit_risk_model(_early(orders), ORDER_ROLES, "forest", partitions=PARTITIONS).summary()
 
 
 def _risk_report(kind: str, **options):
@@ -343,7 +345,7 @@ def _risk_report(kind: str, **options):
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders = _table(spark, sf_dir, "orders")
-        return fit_score_rank(_early(orders), orders, ORDER_ROLES, kind, **options).summary()
+        return fit_score_rank(_early(orders), orders, ORDER_ROLES, kind, partitions=PARTITIONS, **options).summary()
 
     return query
 
@@ -351,7 +353,7 @@ def _risk_report(kind: str, **options):
 def entry(spark: SparkSession) -> DataFrame:
     """Share of finished orders caught at each share of weighted traffic, ranked by a forest."""
     orders = _table(spark, "/root/testdata/sf0.001", "orders")
-    return fit_score_rank(_early(orders), orders, ORDER_ROLES, "forest").rates
+    return fit_score_rank(_early(orders), orders, ORDER_ROLES, "forest", partitions=PARTITIONS).rates
 
 
 def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -39,6 +39,13 @@ def arguments(argv=None) -> argparse.Namespace:
 
 def run(spark: SparkSession, args: argparse.Namespace):
     workspace = Workspace(spark)
+    try:
+        _run(spark, args, workspace)
+    finally:
+        workspace.clear()
+
+
+def _run(spark: SparkSession, args: argparse.Namespace, workspace: Workspace):
     train = read_csv(spark, args.train)
     holdout = read_csv(spark, args.holdout, schema=train.schema)
     if args.id is None:
@@ -55,7 +62,7 @@ def run(spark: SparkSession, args: argparse.Namespace):
     )
     train.printSchema()
     train.show()
-    model = fit_risk_model(train, roles, args.model, encode=args.encode, scale=args.scale, seed=args.seed)
+    model = fit_risk_model(train, roles, args.model, encode=args.encode, scale=args.scale, seed=args.seed, workspace=workspace)
     print("features:", ", ".join(model.inputs))
     report = ranking_report(model.score(train if args.rank == "train" else holdout), workspace=workspace, model=model)
     report.scored.show()
@@ -64,7 +71,6 @@ def run(spark: SparkSession, args: argparse.Namespace):
     report.error.show()
     if args.trees and args.model != "network":
         model.summary().show(truncate=False)
-    workspace.clear()
 
 
 def main(argv=None) -> None:

@@ -88,9 +88,15 @@ def checked_label(label: str) -> Column:
 
 
 def checked_score(score: str) -> Column:
-    """The score as double; a null or NaN score has no rank and fails the query."""
+    """The score as double; a null or NaN score has no rank and fails the query.
+
+    So does a whole or decimal number that a double cannot hold, as its rank could be wrong.
+    """
     column = F.col(score).cast("double")
-    return _or_fail(column.isNotNull() & ~F.isnan(column), column, f"{score}: scores must not be null or NaN")
+    wide = "decimal(38,9)"
+    exact = F.coalesce(F.col(score).try_cast(wide) == column.try_cast(wide), F.lit(True))
+    ok = column.isNotNull() & ~F.isnan(column)
+    return _or_fail(ok & exact, column, f"{score}: scores must not be null or NaN, nor beyond the precision of a double")
 
 
 def checked_id(name: str) -> Column:

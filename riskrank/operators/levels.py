@@ -79,26 +79,23 @@ def fit_levels(
 ) -> Levels:
     """Learn the dictionaries of ``columns`` in one pass over ``df``.
 
-    Over ``max_local`` levels in all, the dictionaries are written as a table to the ``workspace``;
-    pass one to be able to clear it.
+    The counts are written to the ``workspace`` once; pass one to be able to clear it. A column of up to
+    ``max_local`` levels has its dictionary on the driver, whatever the others have.
     """
     columns = tuple(columns)
     if not columns:
         raise ValueError("fit_levels needs at least one column")
     spark = df.sparkSession
-    counts = level_counts(df, columns)
-    local = counts.limit(max_local + 1).collect()
-    if len(local) <= max_local:
-        labels, sizes = _ordered(columns, local)
+    workspace = workspace or Workspace(spark)
+    counts = workspace.keep(level_counts(df, columns), "level_counts")
+    per_column = {r.column: r["count"] for r in counts.groupBy("column").count().collect()}
+    narrow = [c for c in columns if per_column.get(c, 0) <= max_local]
+    labels, sizes = _ordered(narrow, counts.where(F.col("column").isin(narrow)).collect())
+    if len(narrow) == len(columns):
         rows = [(c, level, n, float(i)) for c in columns for i, (level, n) in enumerate(zip(labels[c], sizes[c]))]
         frame = spark.createDataFrame(rows, "column string, level string, n bigint, index double")
         return Levels(frame, columns, labels, sizes, broadcast_levels)
 
-    workspace = workspace or Workspace(spark)
-    counts = workspace.keep(counts, "level_counts")
-    per_column = {r.column: r["count"] for r in counts.groupBy("column").count().collect()}
-    narrow = [c for c in columns if per_column.get(c, 0) <= max_local // len(columns)]
-    labels, sizes = _ordered(narrow, counts.where(F.col("column").isin(narrow)).collect())
     layout = plan_layout(counts, ["column", "-n", "level"], num_buckets=num_buckets, nullable=False)
     placed = workspace.keep(running_totals(counts, layout), "levels")
     first = placed.groupBy("column").agg(F.min("idx").alias("first"))  # one row per fitted column
@@ -125,22 +122,17 @@ def _lookup(df: DataFrame, levels: Levels, column: str, output: str) -> DataFram
     # Indexes follow frequency, so the first ones are exactly the hot levels.
     frequent = F.broadcast(known.where(F.col(output) < levels.broadcast_levels))
     tail = known.where(F.col(output) >= levels.broadcast_levels)
-    hot = keyed.join(frequent, "__level")
-    # What is left holds rare levels and unknown ones. An unknown level may itself be frequent, so
-    # the rows are salted by content and the tail is repeated once per salt.
-    salted_tail = tail.withColumn("__salt", F.explode(F.array(*[F.lit(s) for s in range(SALTS)])))
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns if _hashable(df, c)]), F.lit(SALTS)).cast("int")
-    cold = (
-        keyed.join(frequent.select("__level"), "__level", "left_anti")
-        .withColumn("__salt", salt)
-        .join(salted_tail, ["__level", "__salt"], "left")
-    )
-    columns = [*df.columns, output]
-    return hot.select(*columns).unionByName(cold.select(*columns))
-
-
-def _hashable(df: DataFrame, name: str) -> bool:
-    return "map<" not in df.schema[name].dataType.simpleString()
+    hot = keyed.join(frequent.withColumnRenamed(output, "__frequent"), "__level", "left")
+    # What is not found holds rare levels and unknown ones. An unknown level may itself be frequent, so
+    # these rows are salted and the tail is repeated once per salt. Rows that are found, and nulls, match
+    # nothing there: they are spread by their number alone.
+    salted_tail = tail.withColumn("__salt", F.explode(F.array(*[F.lit(s).cast("long") for s in range(SALTS)])))
+    open_level = F.when(F.col("__frequent").isNull(), F.col("__level"))
+    number = F.monotonically_increasing_id()
+    salt = F.when(open_level.isNotNull(), F.pmod(number, F.lit(SALTS))).otherwise(number + SALTS)
+    cold = hot.withColumn("__salt", salt).withColumn("__level", open_level)
+    found = cold.join(salted_tail, ["__level", "__salt"], "left")
+    return found.select(*df.columns, F.coalesce("__frequent", output).alias(output))
 
 
 def indexers(levels: Levels, columns: Sequence[str] | None = None, suffix: str = "_index") -> list[StringIndexerModel]:
@@ -157,11 +149,17 @@ def indexers(levels: Levels, columns: Sequence[str] | None = None, suffix: str =
 
 
 def index_apply(
-    df: DataFrame, levels: Levels, columns: Sequence[str] | None = None, suffix: str = "_index"
+    df: DataFrame,
+    levels: Levels,
+    columns: Sequence[str] | None = None,
+    suffix: str = "_index",
+    *,
+    numeric: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``<column>_index``, the double index of each level; an unknown level or null fails the query.
 
-    Indexes of narrow columns are marked as nominal for learners; those of wide ones are numbers.
+    Indexes are marked as nominal for learners, but for those of the columns in ``numeric`` and of columns whose
+    dictionary is a table. Values are compared as strings, whatever the type of the column.
     """
     columns = list(columns or levels.columns)
     for c in filter(levels.is_wide, columns):
@@ -173,7 +171,13 @@ def index_apply(
             .when(F.col(output).isNull(), unknown)
             .otherwise(F.col(output)),
         )
-    return PipelineModel(indexers(levels, columns, suffix)).transform(df)
+    stages = indexers(levels, columns, suffix)
+    text = {s.getInputCol(): F.col(s.getInputCol()).cast("string") for s in stages}
+    kept = [F.col(c).alias(f"__own_{c}") for c in text]
+    out = PipelineModel(stages).transform(df.select("*", *kept).withColumns(text)) if stages else df
+    plain = {c + suffix: F.col(c + suffix).alias(c + suffix, metadata={}) for c in numeric if c in text}
+    out = out.withColumns({c: F.col(f"__own_{c}") for c in text} | plain).drop(*(f"__own_{c}" for c in text))
+    return out
 
 
 def unseen_to_mode(df: DataFrame, levels: Levels, columns: Sequence[str] | None = None) -> DataFrame:

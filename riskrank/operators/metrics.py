@@ -43,6 +43,9 @@ def label_vs_prediction(df: DataFrame, label: str = "label", prediction: str = "
 
 
 def error_rate(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Share of rows whose prediction differs from the label, one row ``(error_rate)``; null if empty."""
-    correct = (F.col(prediction).cast("double") == F.col(label).cast("double")).cast("double")
+    """Share of rows whose prediction differs from the label, one row ``(error_rate)``; null if empty.
+
+    A row whose label is not 0 or 1, or whose prediction is null or NaN, fails the query.
+    """
+    correct = (checked_score(prediction) == checked_label(label).cast("double")).cast("double")
     return df.agg((F.lit(1.0) - F.avg(correct)).alias("error_rate"))

@@ -26,9 +26,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A table of up to SINGLE_BUCKET_ROWS rows is ranked by one task; beyond that, buckets aim at
-# ROWS_PER_BUCKET rows each until their number reaches MAX_BUCKETS.
-SINGLE_BUCKET_ROWS = 1_000_000
+# Buckets aim at ROWS_PER_BUCKET rows each, at every size, until their number reaches MAX_BUCKETS.
+MIN_BUCKETS = 4
 ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 8192
 SAMPLES_PER_BUCKET = 60
@@ -217,9 +216,7 @@ def _search_hot_ids(
 
 
 def choose_buckets(rows: int) -> int:
-    if rows <= SINGLE_BUCKET_ROWS:
-        return 1
-    return min(MAX_BUCKETS, math.ceil(rows / ROWS_PER_BUCKET))
+    return min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(rows / ROWS_PER_BUCKET)))
 
 
 def plan_layout(
@@ -233,8 +230,7 @@ def plan_layout(
 ) -> Layout:
     """Choose cut points for sorting ``df`` by ``keys``.
 
-    The row count decides the number of buckets unless ``num_buckets`` is given; up to
-    ``SINGLE_BUCKET_ROWS`` rows need only one. Otherwise one pass draws a sample of bounded size
+    The row count decides the number of buckets unless ``num_buckets`` is given. One pass draws a sample of bounded size
     (about ``SAMPLES_PER_BUCKET`` rows per bucket), Spark sorts it, and only the cut points
     themselves, at most ``MAX_BUCKETS``, reach the driver.
 
@@ -310,9 +306,12 @@ def running_totals(df: DataFrame, layout: Layout, measures: Mapping[str, Column]
     """
     measures = dict(measures or {})
     names = list(measures)
+    added = {"idx", *(f"{k}_{m}" for m in names for k in ("cum", "total"))}
+    if clash := sorted(c for c in df.columns if c in added or c.startswith("__")):
+        raise ValueError(f"rename the columns {clash}: their names are those of added or inner columns")
     keyed = df.withColumns(measures) if measures else df
     if layout.buckets == 1:
-        # One bucket is chosen only for a checked row count (or asked for): a single window will do.
+        # One bucket is asked for, or there are no two rows to cut between: a single window will do.
         everything = W.orderBy(*layout.ordering()).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
         one = keyed.withColumn(BUCKET, F.lit(0))
         totals = [F.sum(m).over(everything).alias(f"total_{m}") for m in names]

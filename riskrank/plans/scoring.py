@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -21,12 +20,8 @@ from riskrank.sources.workspace import Workspace
 
 TREE_MODELS = ("forest", "boosted", "tree")
 DEFAULT_BINS = 32
-# A training table of up to this many rows may well sit in one file and so in one task; moving its
-# few narrow columns once lets every core take part in every iteration. A larger table has many
-# splits already and is not shuffled.
-SPREAD_ROWS = 5_000_000
-# Rows that keep one task busy: growing trees costs far more per row than a network iteration.
-ROWS_PER_TASK = {"forest": 15_000, "boosted": 15_000, "tree": 15_000, "network": 150_000}
+# Levels that a category of a tree model may have: each is a bin of its own, for every feature.
+MAX_LEVELS = 1_000
 
 
 @dataclass(frozen=True)
@@ -39,6 +34,7 @@ class RiskModel:
     levels: Levels | None
     inputs: tuple[str, ...]
     pipeline: PipelineModel
+    numeric: tuple[str, ...] = ()
 
     @property
     def classifier(self):
@@ -52,7 +48,7 @@ class RiskModel:
         cleaned = _clean(df, self.roles)
         if self.roles.categorical:
             cleaned = unseen_to_mode(cleaned, self.levels, self.roles.categorical)
-            cleaned = index_apply(cleaned, self.levels, self.roles.categorical)
+            cleaned = index_apply(cleaned, self.levels, self.roles.categorical, numeric=self.numeric)
         return PipelineModel(self.pipeline.stages[:-1]).transform(cleaned)
 
     def predict(self, df: DataFrame) -> DataFrame:
@@ -96,10 +92,21 @@ def fit_risk_model(
     encode: str = "index",
     scale: bool = False,
     seed: int = SEED,
+    partitions: int | None = None,
+    numeric: tuple[str, ...] = (),
+    max_levels: int = MAX_LEVELS,
+    workspace: Workspace | None = None,
     **params,
 ) -> RiskModel:
     """Fit dictionaries, encoders and a classifier.
 
+    The rows are trained on as they are read, since learners draw their samples by partition. With
+    ``partitions`` they are dealt to so many by a hash of the id and sorted by it, so that the fit follows
+    from the data and the seed alone, on any number of cores.
+
+    A tree model takes the index of a category as nominal; a category of over ``max_levels`` levels is
+    refused, unless ``numeric`` names it: then its index counts as a number.
+
     ``model`` is forest, boosted, network or tree; ``encode`` is index (category indexes as
     numbers) or onehot. ``scale`` standardises the features, which only a network profits from.
     ``params`` go to the underlying Spark ML classifier.
@@ -109,7 +116,7 @@ def fit_risk_model(
     categorical = list(roles.categorical)
     cleaned = _clean(train, roles)
     fitted = categorical + ([roles.target] if roles.positive is None else [])
-    levels = fit_levels(cleaned, fitted) if fitted else None
+    levels = fit_levels(cleaned, fitted, workspace=workspace) if fitted else None
 
     positive = roles.positive
     if positive is None:
@@ -128,24 +135,24 @@ def fit_risk_model(
     stages.append(features.assembler(inputs, "unscaled" if scale else "features"))
     if scale:
         stages.append(features.scaler("unscaled", "features"))
-    nominal = [levels.size(c) for c in categorical if not levels.is_wide(c)]
-    if model in TREE_MODELS and encode == "index" and nominal:
-        # Trees treat the index of a narrow column as a category and need one bin per level.
-        params.setdefault("maxBins", max(DEFAULT_BINS, *nominal))
+    if model in TREE_MODELS and encode == "index":
+        nominal = {c: levels.size(c) for c in categorical if c not in numeric}
+        for c, n in nominal.items():
+            if n > max_levels:
+                raise ValueError(f"{c} has {n} levels, over max_levels={max_levels}; name it in numeric, or encode it otherwise")
+        # Trees treat the index as a category and need one bin per level.
+        params.setdefault("maxBins", max(DEFAULT_BINS, *nominal.values()) if nominal else DEFAULT_BINS)
     stages.append(classifier(model, width=width, encode=encode, seed=seed, **params))
 
     checked = cleaned.withColumn("label", _label(roles, positive))
     needed = [*categorical, *features.continuous_columns(cleaned, roles)]
-    training = checked.select(*needed, training_label(checked_label("label")))
+    order = [F.col(roles.id).alias("__order")] if partitions else []
+    training = checked.select(*order, *needed, training_label(checked_label("label")))
     if categorical:
-        training = index_apply(training, levels, categorical).drop(*categorical)
-    # Filled columns have no nulls, so the level counts of one of them add up to the table.
-    narrow = [c for c in fitted if c in levels.counts] if levels else []
-    rows = sum(levels.counts[narrow[0]]) if narrow else cleaned.count()
-    if rows <= SPREAD_ROWS:
-        cores = training.sparkSession.sparkContext.defaultParallelism
-        training = training.repartition(max(1, min(cores, math.ceil(rows / ROWS_PER_TASK[model]))))
-    return RiskModel(model, roles, positive, levels, tuple(inputs), Pipeline(stages=stages).fit(training))
+        training = index_apply(training, levels, categorical, numeric=numeric).drop(*categorical)
+    if partitions:
+        training = training.repartition(partitions, "__order").sortWithinPartitions("__order").drop("__order")
+    return RiskModel(model, roles, positive, levels, tuple(inputs), Pipeline(stages=stages).fit(training), tuple(numeric))
 
 
 @dataclass(frozen=True)
@@ -211,5 +218,6 @@ def fit_score_rank(
     **params,
 ) -> RankingReport:
     """Fit on ``train``, score ``holdout``, report the ranking of ``holdout``."""
-    fitted = fit_risk_model(train, roles, model, encode=encode, scale=scale, seed=seed, **params)
+    workspace = workspace or Workspace(train.sparkSession)
+    fitted = fit_risk_model(train, roles, model, encode=encode, scale=scale, seed=seed, workspace=workspace, **params)
     return ranking_report(fitted.score(holdout), num_buckets=num_buckets, workspace=workspace, model=fitted)

@@ -179,15 +179,16 @@ def test_weights_must_be_positive_whole_numbers(spark, weight):
 
 
 def test_bucket_choice():
-    assert choose_buckets(0) == 1
-    assert choose_buckets(1_000_000) == 1
+    assert choose_buckets(0) == 4
+    assert choose_buckets(1_000_000) == 4
     assert choose_buckets(1_000_001) == 5
     assert choose_buckets(10**12) == 8192
 
 
-def test_layout_needs_no_sample_for_one_bucket(spark):
+def test_small_tables_take_the_same_path(spark):
     df = spark.range(10).select("id", F.rand(1).alias("score"))
-    assert plan_layout(df, ["-score", "id"]).buckets == 1
+    assert plan_layout(df, ["-score", "id"]).buckets > 1
+    assert plan_layout(df, ["-score", "id"], num_buckets=1).buckets == 1
 
 
 @pytest.fixture(scope="module")
