@@ -681,7 +681,8 @@ def _own_oracle_sql() -> dict[str, str]:
 
 
 def _has(*modules: str) -> bool:
-    return all(importlib.util.find_spec(m) is not None for m in modules)
+    # A folder without its modules, as caches leave behind, has a spec but no origin.
+    return all((spec := importlib.util.find_spec(m)) is not None and spec.origin is not None for m in modules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
