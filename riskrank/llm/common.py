@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import os
 import re
 import time
 from array import array
@@ -80,6 +81,8 @@ class CachedEncoder:
     """
 
     def __init__(self, path: str):
+        # A task has one core; the library's own threads would only contend with those of other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -87,30 +90,35 @@ class CachedEncoder:
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _fresh(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
-        step = 20_000
-        for i in range(0, len(pieces), step):
-            part = pieces[i : i + step]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                yield piece, array("I", found.ids).tobytes()
+    def _find(self, missing: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that the younger cache lacks; all but long ones are put there."""
+        older, cache, found, step = self.older, self.cache, {}, 20_000
+        unseen = []
+        for p in missing:
+            ids = older.get(p)
+            if ids is None:
+                unseen.append(p)
+            else:
+                found[p] = cache[p] = ids
+        for i in range(0, len(unseen), step):
+            part = unseen[i : i + step]
+            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                found[p] = ids = array("I", e.ids).tobytes()
+                if len(p) <= CACHE_CHARS:
+                    cache[p] = ids
+        return found
 
     def encode(self, text: str | None) -> bytes:
         pieces = CHUNK.findall(text or "")
-        cache, older, once, unseen = self.cache, self.older, {}, []
-        for p in {p for p in pieces if p not in cache}:
-            if p in older:
-                cache[p] = older[p]
-            else:
-                unseen.append(p)
-        for piece, ids in self._fresh(unseen):
-            (once if len(piece) > CACHE_CHARS else cache)[piece] = ids
-        if once:
-            out = b"".join([once[p] if p in once else cache[p] for p in pieces])
-        else:
-            out = b"".join([cache[p] for p in pieces])
-        if len(cache) > CACHE_ENTRIES:
-            self.cache, self.older = {}, cache
-        return out
+        ids = list(map(self.cache.get, pieces))
+        if None in ids:
+            at = [i for i, x in enumerate(ids) if x is None]
+            found = self._find(list({pieces[i] for i in at}))
+            for i in at:
+                ids[i] = found[pieces[i]]
+        if len(self.cache) > CACHE_ENTRIES:
+            self.cache, self.older = {}, self.cache
+        return b"".join(ids)
 
 
 _ENCODERS: dict[str, CachedEncoder] = {}
