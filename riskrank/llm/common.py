@@ -30,6 +30,10 @@ CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 PART = 1 << 20
 CACHE_ENTRIES = 300_000
 CACHE_CHARS = 48
+# A space, Latin letters that stay letters in lower case, and maybe a mark: pieces that can be encoded end to
+# end, since it is known where each begins (byte-level vocabularies) or how many word ends it has (the others).
+PLAIN = re.compile(" [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+[,.]?")
+JOINED = 500
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,10 +93,38 @@ class CachedEncoder:
         self.tokenizer.encode_special_tokens = True
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.by_ends = any(p.endswith("</w>") for p in vocabulary)
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        for p, i in vocabulary.items():
+            self.edge[i] = p.endswith("</w>") if self.by_ends else p.startswith("\u0120")
+
+    def _single(self, pieces: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _joined(self, pieces: list[str]) -> list[bytes]:
+        """Ids of ``PLAIN`` pieces from one text, cut apart where a piece begins or ends."""
+        if not pieces:
+            return []
+        text = "".join(pieces)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        edges = np.flatnonzero(self.edge[ids])
+        if self.by_ends:
+            words = np.cumsum([1 if p[-1].isalpha() else 2 for p in pieces])
+            if len(edges) != words[-1]:
+                return self._single(pieces)
+            cuts = [0, *(4 * (edges[words - 1] + 1)).tolist()]
+        else:
+            if len(edges) != len(pieces):
+                return self._single(pieces)
+            cuts = [*(4 * edges).tolist(), 4 * len(ids)]
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def _find(self, missing: list[str]) -> dict[str, bytes]:
         """Ids of pieces that the younger cache lacks; all but long ones are put there."""
-        older, cache, found, step = self.older, self.cache, {}, 20_000
+        older, cache, found = self.older, self.cache, {}
         unseen = []
         for p in missing:
             ids = older.get(p)
@@ -100,12 +132,15 @@ class CachedEncoder:
                 unseen.append(p)
             else:
                 found[p] = cache[p] = ids
-        for i in range(0, len(unseen), step):
-            part = unseen[i : i + step]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                found[p] = ids = array("I", e.ids).tobytes()
-                if len(p) <= CACHE_CHARS:
-                    cache[p] = ids
+        plain = [p for p in unseen if PLAIN.fullmatch(p)]
+        others = [p for p in unseen if not PLAIN.fullmatch(p)]
+        for pieces, encode, step in ((plain, self._joined, JOINED), (others, self._single, 20_000)):
+            for i in range(0, len(pieces), step):
+                part = pieces[i : i + step]
+                for p, ids in zip(part, encode(part), strict=True):
+                    found[p] = ids
+                    if len(p) <= CACHE_CHARS:
+                        cache[p] = ids
         return found
 
     def encode(self, text: str | None) -> bytes:

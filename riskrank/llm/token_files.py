@@ -147,16 +147,27 @@ def _open(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri.removeprefix('file:')}")
 
 
-def tokenize(docs: DataFrame, tokenizer: str, end_id: int, id: str, text: str) -> DataFrame:
+def id_type(vocabulary: int) -> str:
+    """How ids are kept between the steps: two bytes each where the vocabulary allows it, else four."""
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
+def tokenize(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int, id: str, text: str) -> DataFrame:
+    kind = id_type(vocabulary)
+    width = np.dtype(kind).itemsize
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer).encode, np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             step = 256  # rows held at once
             for i in range(0, len(batch), step):
                 part = batch.slice(i, step)
-                ids = [encode(t.as_py()) + end for t in part.column(1)]
+                wide = [np.frombuffer(encode(t.as_py()) + end, "<u4") for t in part.column(1)]
+                if max(int(x.max()) for x in wide) >= vocabulary:
+                    raise ValueError(f"an id is beyond the vocabulary of {vocabulary}")
+                ids = [x.astype(kind).tobytes() for x in wide]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                    [part.column(0), pa.array([len(x) // width for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "n_tokens", "ids"],
                 )
 
@@ -166,12 +177,13 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, id: str, text: str) -
 
 def symbol_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
     """Occurrences of every id: one row an id and task is shuffled, one an id collected."""
+    kind = id_type(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
             for x in batch.column(0):
-                total += np.bincount(np.frombuffer(x.as_buffer(), "<u4"), minlength=vocabulary)
+                total += np.bincount(np.frombuffer(x.as_buffer(), kind), minlength=vocabulary)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 
@@ -200,10 +212,12 @@ def write_token_files(
     manifest names are read. Null texts count as empty, null ids come first, repeated rows are all written.
     """
     spark = docs.sparkSession
-    tokens = ws.keep(tokenize(docs, tokenizer, end_id, id, text), "tokens")
+    tokens = ws.keep(tokenize(docs, tokenizer, vocabulary, end_id, id, text), "tokens")
     counts = symbol_counts(tokens, vocabulary)
     table = spark.sparkContext.broadcast(counts)  # one number for each id of the vocabulary
     folder = ws.path("token_files")
+    kind = id_type(vocabulary)
+    width = np.dtype(kind).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -213,13 +227,13 @@ def write_token_files(
         shared, part, made = Table(table.value), TaskContext.get().partitionId(), 0
 
         def written(rows: list[tuple[int | None, bytes]]) -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(x for _, x in rows), "<u4")
+            ids = np.frombuffer(b"".join(x for _, x in rows), kind).astype("<u4")
             name = f"part-{part:06d}-{made:05d}-{uuid.uuid4().hex}.rans"
             with fs.open_output_stream(f"{at}/{name}") as stream:
                 write_file(
                     stream,
                     np.array([d or 0 for d, _ in rows], np.int64),
-                    np.array([len(x) // 4 for _, x in rows], np.int64),
+                    np.array([len(x) // width for _, x in rows], np.int64),
                     np.array([d is not None for d, _ in rows], bool),
                     ids,
                     shared,
@@ -233,7 +247,7 @@ def write_token_files(
         for batch in batches:
             for doc, ids in zip(batch.column(0), batch.column(1), strict=True):
                 rows.append((doc.as_py(), ids.as_py()))
-                held += len(rows[-1][1]) // 4
+                held += len(rows[-1][1]) // width
                 if held >= file_tokens:
                     yield written(rows)
                     rows, held, made = [], 0, made + 1

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from riskrank.llm import packing, queries, simhash, suffix_dedup, token_files
-from riskrank.llm.common import Workspace, connected_components, encoder
+from riskrank.llm.common import CachedEncoder, Workspace, connected_components, encoder
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -178,6 +178,19 @@ def test_encoder_equals_whole_texts(path):
         assert encoder(path).encode(t) == expected, repr(t)
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_encoder_of_many_new_words(path):
+    """Words of every Latin letter, in one text, so that they are encoded end to end and cut apart."""
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    r = random.Random(9)
+    letters = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x250))]
+    words = ["".join(r.choices(letters, k=r.randint(1, 12))) + r.choice(["", "", ",", ".", ";", "..", "'s"]) for _ in range(4000)]
+    text = " ".join([*letters, *(x + "," for x in letters), *words])
+    expected = np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert CachedEncoder(path).encode(text) == expected
+
+
 def test_packing(spark):
     rows = mixed_rows(6) + [(500, "word " * 5000)]
     got = packing.pack_documents(docs_of(spark, rows), Workspace(spark), tokenizer=BYTE, capacity=256, keep_ids=True).collect()
