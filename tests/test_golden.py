@@ -23,7 +23,7 @@ from riskrank.operators import (
 from riskrank.sources import Roles, Workspace, inline_rows, read_csv, read_names, read_roles
 from tests.fixture_rows import COLUMNS, HOLDOUT, SCHEMA, SUM_COLUMNS, SUM_ROWS, SUMS, TRAIN, frame
 
-ROLES = Roles(target="TARGET", id="id", categorical=["SATISFACTION", "STYLE", "TARGET"])
+ROLES = Roles(target="LEFT", id="id", categorical=["CONTRACT", "PLAN", "LEFT"])
 
 
 @pytest.fixture(scope="module")
@@ -33,14 +33,14 @@ def train(spark):
 
 @pytest.fixture(scope="module")
 def levels(train):
-    return fit_levels(train, ["STYLE", "SATISFACTION", "TARGET"])
+    return fit_levels(train, ["PLAN", "CONTRACT", "LEFT"])
 
 
 def test_fills(spark):
     rows = {r.id: r for r in fill_missing(frame(spark, TRAIN)).collect()}
-    assert rows[6].SATISFACTION == "missing"
-    assert rows[15].STYLE == "missing"
-    assert rows[9].RATING == -1.0
+    assert rows[7].CONTRACT == "missing"
+    assert rows[10].PLAN == "missing"
+    assert rows[6].MONTHS == -1.0
 
 
 def test_fill_covers_nan_and_ints_but_not_booleans(spark):
@@ -52,9 +52,9 @@ def test_fill_covers_nan_and_ints_but_not_booleans(spark):
 
 
 def test_level_orders(levels):
-    assert levels.labels["TARGET"] == ["0.0", "1.0"]
-    assert levels.labels["STYLE"] == ["PAST", "WINK", "LOCK", "missing"]
-    assert levels.labels["SATISFACTION"] == ["yes", "no", "missing"]
+    assert levels.labels["LEFT"] == ["0.0", "1.0"]
+    assert levels.labels["PLAN"] == ["basic", "family", "student", "missing"]
+    assert levels.labels["CONTRACT"] == ["monthly", "yearly", "missing"]
 
 
 def test_level_ties_are_alphabetical(spark):
@@ -63,52 +63,52 @@ def test_level_ties_are_alphabetical(spark):
 
 
 def test_roles(train):
-    assert ROLES.categorical == ("SATISFACTION", "STYLE")
-    assert columns_by_role(train, ROLES.categorical) == ["STYLE", "SATISFACTION"]
+    assert ROLES.categorical == ("CONTRACT", "PLAN")
+    assert columns_by_role(train, ROLES.categorical) == ["PLAN", "CONTRACT"]
 
 
 def test_feature_order_and_widths(train, levels):
-    indexed = index_apply(train, levels, ["STYLE", "SATISFACTION"])
+    indexed = index_apply(train, levels, ["PLAN", "CONTRACT"])
     inputs = feature_columns(indexed, ROLES)
-    assert inputs == ["RATING", "FAILURE_RATE", "STYLE_index", "SATISFACTION_index"]
+    assert inputs == ["MONTHS", "OVERDUE", "PLAN_index", "CONTRACT_index"]
     assert assemble(indexed, inputs).head().features.size == 4
 
-    encoded = one_hot(indexed, ["STYLE", "SATISFACTION"])
+    encoded = one_hot(indexed, ["PLAN", "CONTRACT"])
     row = encoded.orderBy("id").head()
-    assert (row.STYLE_onehot.size, row.SATISFACTION_onehot.size) == (3, 2)
+    assert (row.PLAN_onehot.size, row.CONTRACT_onehot.size) == (3, 2)
     vector_inputs = onehot_feature_columns(encoded, ROLES)
-    assert vector_inputs == ["SATISFACTION_onehot", "STYLE_onehot", "RATING", "FAILURE_RATE"]
+    assert vector_inputs == ["CONTRACT_onehot", "PLAN_onehot", "MONTHS", "OVERDUE"]
     first = assemble(encoded, vector_inputs).orderBy("id").head().features
-    assert list(first.toArray()) == [1.0, 0.0, 0.0, 1.0, 0.0, 9.1, 0.01]
-    dense = encoded.select(to_dense("STYLE_onehot").alias("v")).head().v
+    assert list(first.toArray()) == [0.0, 1.0, 1.0, 0.0, 0.0, 24.5, 12.0]
+    dense = encoded.select(to_dense("PLAN_onehot").alias("v")).head().v
     assert type(dense).__name__ == "DenseVector"
 
 
 def test_unseen_level_becomes_the_mode(spark, levels):
     holdout = fill_missing(frame(spark, HOLDOUT))
-    rows = {r.id: r for r in unseen_to_mode(holdout, levels, ["STYLE", "SATISFACTION"]).collect()}
-    assert rows[14].STYLE == "PAST"
-    assert rows[15].STYLE == "LOCK"
-    assert rows[0].STYLE == "WINK"
-    assert isinstance(rows[0].TARGET, float)
+    rows = {r.id: r for r in unseen_to_mode(holdout, levels, ["PLAN", "CONTRACT"]).collect()}
+    assert rows[14].PLAN == "basic"
+    assert rows[10].PLAN == "student"
+    assert rows[2].PLAN == "family"
+    assert isinstance(rows[0].LEFT, float)
 
 
 def test_remapped_target_becomes_a_string(spark, levels):
-    df = spark.createDataFrame([(0.0,), (1.0,), (7.0,), (None,)], "TARGET double")
-    mapped = unseen_to_mode(df, levels, ["TARGET"])
-    assert dict(mapped.dtypes)["TARGET"] == "string"
-    assert [r.TARGET for r in mapped.collect()] == ["0.0", "1.0", "0.0", "0.0"]
+    df = spark.createDataFrame([(0.0,), (1.0,), (7.0,), (None,)], "LEFT double")
+    mapped = unseen_to_mode(df, levels, ["LEFT"])
+    assert dict(mapped.dtypes)["LEFT"] == "string"
+    assert [r.LEFT for r in mapped.collect()] == ["0.0", "1.0", "0.0", "0.0"]
 
 
 def test_index_apply_rejects_unknown_levels(spark, levels):
-    df = spark.createDataFrame([("QUIK",)], "STYLE string")
-    with pytest.raises(Exception, match="(?i)unseen|QUIK"):
-        index_apply(df, levels, ["STYLE"]).collect()
+    df = spark.createDataFrame([("senior",)], "PLAN string")
+    with pytest.raises(Exception, match="(?i)unseen|senior"):
+        index_apply(df, levels, ["PLAN"]).collect()
 
 
 def test_row_sums(spark):
     df = inline_rows(spark, SUM_ROWS, SUM_COLUMNS)
-    assert {r.ID: r.sums for r in row_sum(df, SUM_COLUMNS[1:]).collect()} == SUMS
+    assert {r.SHOP: r.sums for r in row_sum(df, SUM_COLUMNS[1:]).collect()} == SUMS
 
 
 def test_row_sum_null_and_int_overflow(spark):
@@ -125,16 +125,16 @@ def test_weighted_sum_and_logistic(spark):
 
 @pytest.mark.parametrize("num_buckets", [None, 1, 2, 5, 64])
 def test_detection_rates(spark, num_buckets):
-    scored = frame(spark, HOLDOUT).withColumn("label", label_of("TARGET", 1.0))
-    got = {r.cutoff: r for r in tdr_at(scored, "RATING", num_buckets=num_buckets).collect()}
-    assert [got[p].idx for p in CUTOFFS] == [0, 0, 0, 0, 2, 6, 10]
-    assert [round(got[p].rate, 6) for p in CUTOFFS] == [0.0, 0.0, 0.0, 0.0, 0.142857, 0.571429, 0.571429]
+    scored = frame(spark, HOLDOUT).withColumn("label", label_of("LEFT", 1.0))
+    got = {r.cutoff: r for r in tdr_at(scored, "MONTHS", num_buckets=num_buckets).collect()}
+    assert [got[p].idx for p in CUTOFFS] == [0, 0, 0, 0, 2, 3, 9]
+    assert [round(got[p].rate, 6) for p in CUTOFFS] == [0.0, 0.0, 0.0, 0.0, 0.2, 0.2, 0.8]
 
 
 @pytest.mark.parametrize("num_buckets", [None, 2, 5, 64])
 def test_area_under_curve(spark, num_buckets):
-    scored = frame(spark, HOLDOUT).withColumn("label", label_of("TARGET", 1.0))
-    assert auc_roc(scored, "RATING", num_buckets=num_buckets).head().auc == pytest.approx(0.532967, abs=1e-6)
+    scored = frame(spark, HOLDOUT).withColumn("label", label_of("LEFT", 1.0))
+    assert auc_roc(scored, "MONTHS", num_buckets=num_buckets).head().auc == pytest.approx(0.609091, abs=1e-6)
 
 
 def test_gains_columns(spark):
@@ -150,10 +150,10 @@ def test_gains_columns(spark):
 
 
 def test_sorting_numbers(spark):
-    df = spark.createDataFrame([(x,) for x in (4, 2, 9, 7, 6, 5, 1, 3, 8)], "x int")
+    df = spark.createDataFrame([(x,) for x in (37, -5, 12, 90, 0, 12, 41, -63)], "x int")
     rows = sort_by_key(df, ["x"], num_buckets=3).orderBy("idx").collect()
-    assert [r.x for r in rows] == list(range(1, 10))
-    assert [r.idx for r in rows] == list(range(9))
+    assert [r.x for r in rows] == [-63, -5, 0, 12, 12, 37, 41, 90]
+    assert [r.idx for r in rows] == list(range(8))
 
 
 def _write(path, header, rows):
@@ -166,21 +166,21 @@ def test_csv_and_roles(spark, tmp_path):
     csv = _write(tmp_path / "train.csv", COLUMNS, TRAIN)
     df = read_csv(spark, csv)
     assert dict(df.dtypes) == {
-        "TARGET": "double",
-        "RATING": "double",
-        "STYLE": "string",
-        "FAILURE_RATE": "double",
-        "SATISFACTION": "string",
+        "LEFT": "double",
+        "MONTHS": "double",
+        "PLAN": "string",
+        "OVERDUE": "double",
+        "CONTRACT": "string",
     }
     assert {tuple(r) for r in df.collect()} == set(TRAIN)
     again = read_csv(spark, csv, schema=SCHEMA)
-    assert again.schema == df.schema and again.count() == 20
+    assert again.schema == df.schema and again.count() == len(TRAIN)
 
-    (tmp_path / "cat.list").write_text("SATISFACTION\nSTYLE\nTARGET\n\n")
-    (tmp_path / "target.list").write_text("TARGET\n")
-    assert read_names(spark, str(tmp_path / "cat.list")) == ["SATISFACTION", "STYLE", "TARGET"]
+    (tmp_path / "cat.list").write_text("CONTRACT\nPLAN\nLEFT\n\n")
+    (tmp_path / "target.list").write_text("LEFT\n")
+    assert read_names(spark, str(tmp_path / "cat.list")) == ["CONTRACT", "PLAN", "LEFT"]
     roles = read_roles(spark, str(tmp_path / "cat.list"), id="id", target=str(tmp_path / "target.list"))
-    assert (roles.target, roles.categorical) == ("TARGET", ("SATISFACTION", "STYLE"))
+    assert (roles.target, roles.categorical) == ("LEFT", ("CONTRACT", "PLAN"))
     with pytest.raises(ValueError, match="exactly one"):
         read_roles(spark, str(tmp_path / "cat.list"), id="id")
 
@@ -188,7 +188,7 @@ def test_csv_and_roles(spark, tmp_path):
 def test_workspace_keeps_and_clears(spark):
     workspace = Workspace(spark)
     kept = workspace.with_row_id(frame(spark, TRAIN).drop("id"), "id")
-    assert sorted(r.id for r in kept.select("id").collect()) == list(range(20))
+    assert sorted(r.id for r in kept.select("id").collect()) == list(range(len(TRAIN)))
     assert workspace.keep(kept.where(F.col("id") < 5)).count() == 5
     workspace.clear()
     with pytest.raises(Exception):

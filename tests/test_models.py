@@ -15,8 +15,8 @@ from riskrank.plans import fit_risk_model, fit_score_rank, ranking_report
 from riskrank.sources import Roles, Workspace
 from tests.fixture_rows import COLUMNS, HOLDOUT, TRAIN, frame
 
-ROLES = Roles(target="TARGET", id="id", categorical=["SATISFACTION", "STYLE"], positive=1.0)
-BY_FREQUENCY = Roles(target="TARGET", id="id", categorical=["SATISFACTION", "STYLE", "TARGET"])
+ROLES = Roles(target="LEFT", id="id", categorical=["CONTRACT", "PLAN"], positive=1.0)
+BY_FREQUENCY = Roles(target="LEFT", id="id", categorical=["CONTRACT", "PLAN", "LEFT"])
 
 
 @pytest.fixture(scope="module")
@@ -40,12 +40,12 @@ def test_flow(splits, model, options):
     workspace = Workspace(train.sparkSession)
     report = fit_score_rank(train, holdout, ROLES, model, workspace=workspace, **options)
     scored = report.scored.collect()
-    assert sorted(r.id for r in scored) == list(range(20))
+    assert sorted(r.id for r in scored) == list(range(len(HOLDOUT)))
     assert all(0.0 <= r.score <= 1.0 and r.prediction in (0, 1) for r in scored)
-    assert sum(r.label for r in scored) == 7
+    assert sum(r.label for r in scored) == sum(r[0] for r in HOLDOUT)
     rates = report.rates.collect()
     assert len(rates) == 7 and all(0.0 <= r.rate <= 1.0 for r in rates)
-    assert report.gains.count() == 20
+    assert report.gains.count() == len(HOLDOUT)
     assert 0.0 <= report.auc.head().auc <= 1.0
     assert 0.0 <= report.error.head().error_rate <= 1.0
     workspace.clear()
@@ -56,7 +56,7 @@ def test_positive_level_defaults_to_the_rarer_one(splits):
     a = fit_risk_model(train, ROLES, "tree")
     b = fit_risk_model(train, BY_FREQUENCY, "tree")
     assert b.positive == "1.0"
-    assert a.inputs == b.inputs == ("RATING", "FAILURE_RATE", "STYLE_index", "SATISFACTION_index")
+    assert a.inputs == b.inputs == ("MONTHS", "OVERDUE", "PLAN_index", "CONTRACT_index")
     assert sorted(map(tuple, a.score(holdout).collect())) == sorted(map(tuple, b.score(holdout).collect()))
 
 
@@ -89,7 +89,7 @@ def test_boosted_score_is_the_weighted_sum_of_trees(splits):
 
     slow = ensemble_score(model.classifier, ready, keep_trees=True).select("id", "score")
     fast = model.score(holdout).select("id", F.col("score").alias("fast"))
-    assert slow.join(fast, "id").where(F.col("score") == F.col("fast")).count() == 20
+    assert slow.join(fast, "id").where(F.col("score") == F.col("fast")).count() == len(HOLDOUT)
 
 
 def test_boosted_training_frame_can_be_ranked(splits):
@@ -123,18 +123,18 @@ def test_tree_summary(splits):
 
 def test_bad_targets(spark, splits):
     train, _ = splits
-    three = train.withColumn("TARGET", F.col("id") % 3)
+    three = train.withColumn("LEFT", F.col("id") % 3)
     with pytest.raises(ValueError, match="needs 2"):
         fit_risk_model(three, BY_FREQUENCY, "tree")
-    holes = train.withColumn("TARGET", F.when(F.col("id") > 3, F.col("TARGET")))
+    holes = train.withColumn("LEFT", F.when(F.col("id") > 3, F.col("LEFT")))
     with pytest.raises(Exception, match="labels must be 0 or 1"):
         fit_risk_model(holes, ROLES, "tree")
 
 
 def test_more_levels_than_default_bins(spark):
     rows = [(i, float(i % 2), f"level-{i % 40}") for i in range(400)]
-    df = spark.createDataFrame(rows, "id bigint, TARGET double, kind string")
-    roles = Roles(target="TARGET", id="id", categorical=["kind"], positive=1.0)
+    df = spark.createDataFrame(rows, "id bigint, LEFT double, kind string")
+    roles = Roles(target="LEFT", id="id", categorical=["kind"], positive=1.0)
     scored = fit_risk_model(df, roles, "tree").score(df).collect()
     assert all(r.prediction == r.label for r in scored)
 
@@ -143,8 +143,8 @@ def test_more_levels_than_default_bins(spark):
 def test_wide_column_as_feature(spark, monkeypatch, encode):
     """A column with too many levels for the driver still trains and scores."""
     rows = [(i, float(i % 2), f"u{i % 50:02d}", "ab"[i % 3 % 2]) for i in range(400)]
-    df = spark.createDataFrame(rows, "id bigint, TARGET double, user string, kind string")
-    roles = Roles(target="TARGET", id="id", categorical=["user", "kind"], positive=1.0)
+    df = spark.createDataFrame(rows, "id bigint, LEFT double, user string, kind string")
+    roles = Roles(target="LEFT", id="id", categorical=["user", "kind"], positive=1.0)
     narrow = fit_risk_model(df, roles, "network", encode=encode, maxIter=5)
     monkeypatch.setattr(scoring, "fit_levels", partial(fit_levels, max_local=10, broadcast_levels=7, num_buckets=3))
     wide = fit_risk_model(df, roles, "network", encode=encode, maxIter=5)
@@ -159,12 +159,12 @@ def test_command_line(spark, tmp_path, capsys):
     for name, rows in (("train.csv", TRAIN), ("holdout.csv", HOLDOUT)):
         lines = [",".join("" if v is None else str(v) for v in r) for r in rows]
         (tmp_path / name).write_text("\n".join([",".join(COLUMNS), *lines]) + "\n")
-    (tmp_path / "cat.list").write_text("SATISFACTION\nSTYLE\nTARGET\n")
+    (tmp_path / "cat.list").write_text("CONTRACT\nPLAN\nLEFT\n")
     common = ["--train", str(tmp_path / "train.csv"), "--holdout", str(tmp_path / "holdout.csv")]
-    common += ["--categorical", str(tmp_path / "cat.list"), "--target", "TARGET"]
+    common += ["--categorical", str(tmp_path / "cat.list"), "--target", "LEFT"]
     run(spark, arguments([*common, "--model", "forest", "--trees"]))
     out = capsys.readouterr().out
-    assert "features: RATING, FAILURE_RATE, STYLE_index, SATISFACTION_index" in out
+    assert "features: MONTHS, OVERDUE, PLAN_index, CONTRACT_index" in out
     assert "0.0025" in out and "error_rate" in out and "num_nodes" in out
     run(spark, arguments([*common, "--model", "boosted", "--rank", "train", "--positive", "1.0"]))
     assert "auc" in capsys.readouterr().out
