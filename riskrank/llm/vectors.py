@@ -117,5 +117,6 @@ def top_of(scores: np.ndarray, keep: int) -> np.ndarray:
     """Columns of the ``keep`` largest of each row and of all that tie with the last of them, as a mask."""
     if scores.shape[1] <= keep:
         return np.ones(scores.shape, bool)
-    last = -np.partition(-scores, keep - 1, axis=1)[:, keep - 1 : keep]
+    # Not by negatives: the smallest integer has none.
+    last = np.partition(scores, -keep, axis=1)[:, -keep, None]
     return scores >= last

@@ -95,6 +95,22 @@ def test_top_products(spark, monkeypatch):
     assert topk.top_products(vectors_of(spark, []), Workspace(spark)).count() == 0
 
 
+def test_search_of_a_full_block_with_few_pruned_rows():
+    r = np.random.default_rng(4)
+    d, n, keep = 32, 2048, 6
+    heads, turn = np.arange(n), np.eye(d)
+    q = np.floor(r.standard_normal((20, d)) * 4) + 200 * np.eye(d)[0]
+    for pruned in range(1, 9):
+        v = np.floor(r.standard_normal((n, d)) * 4) + 200 * np.eye(d)[0]
+        v[r.choice(n, pruned, replace=False), 0] = -1000
+        scores, least = topk.products(q, v), np.ones(len(q))
+        assert ((~topk.candidates(q, v, least, turn)).sum(axis=1) == pruned).all()
+        i, j, score = topk.search(q, v, heads, least, turn, keep)
+        for k in range(len(q)):
+            expected = sorted((-s, h) for h, s in enumerate(scores[k].tolist()))[:keep]
+            assert [(-s, h) for s, h in zip(score[i == k].tolist(), j[i == k].tolist(), strict=True)] == expected
+
+
 def test_top_products_in_sql(spark):
     duck = duckdb.connect()
     duck.execute(f"create view embeddings as select * from '{SF}/embeddings.parquet'")
