@@ -14,10 +14,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskrank.llm.common import MIX_A, U64, Workspace, connected_components, mix64, text_bytes
+from riskrank.llm.common import Workspace, connected_components, text_bytes
 
 SEED = 42
 
@@ -116,54 +116,90 @@ def near_duplicates(
 
 # --- near copies by the similarity of their shingles -------------------------------------------
 
+# Texts (by a hash) whose shingles tell frequent ones from rare ones, and how many are told to all tasks. They set
+# the order of shingles, which bears on speed alone.
+SAMPLE_TEXTS = 5000
+FREQUENT = 200_000
+# Distinct texts that a task remembers, so that copies of one give its prefix once a task.
+REMEMBERED = 100_000
 
-def sketches(docs: DataFrame, *, tables: int, bits: int, id: str, text: str) -> DataFrame:
-    """(doc_id, copy, s0, s1, ...): a hash of the text and ``tables`` SimHashes of ``bits`` over its distinct words."""
-    names = [f"s{i}" for i in range(tables)]
+
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """(node, shingles): the sorted distinct hashes of every run of ``words`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest, shift = xxhash.xxh64_intdigest, U64(64 - bits)
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             raw = data.tobytes()
-            copies, found = [], np.zeros((len(batch), tables), np.int64)
-            for row, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
-                body = raw[a:b]
-                copies.append(xxhash.xxh128_digest(body))
-                distinct = set(words_of(body))
-                h = np.fromiter((digest(w, SEED) for w in distinct), np.uint64, len(distinct))
-                for t in range(tables):
-                    h = mix64(h + MIX_A)
-                    found[row, t] = np.uint64(majority(h) & 0xFFFFFFFFFFFFFFFF) >> shift
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(copies, pa.binary()), *(pa.array(found[:, t]) for t in range(tables))],
-                names=["doc_id", "copy", *names],
-            )
-
-    schema = "doc_id long, copy binary, " + ", ".join(f"{n} long" for n in names)
-    return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+            sets = [
+                np.unique(shingle_hashes(words_of(raw[a:b]), words)).tobytes()
+                for a, b in zip(offsets[:-1], offsets[1:], strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
+    return docs.mapInArrow(run, "node long, shingles binary")
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles): the sorted distinct hashes of every run of ``words`` words."""
+
+def frequent_shingles(texts: DataFrame, total: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (sorted) that two or more of about ``SAMPLE_TEXTS`` texts (node, text) hold, and how many do."""
+    share = min(1.0, SAMPLE_TEXTS / max(1, total))
+    some = texts.where(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < share * 1_000_000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             raw = data.tobytes()
-            sets = [
-                np.unique(shingle_hashes(words_of(raw[a:b]), words)).tobytes()
-                for a, b in zip(offsets[:-1], offsets[1:], strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
+            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+                found = np.unique(shingle_hashes(words_of(raw[a:b]), words))
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["token"])
+
+    counted = some.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    table = counted.orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
+    tokens, n = table.column("token").to_numpy().view(np.uint64), table.column("n").to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], n[order]
+
 
-    return docs.mapInArrow(run, "doc_id long, shingles binary")
+def prefix(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The rarest of the distinct ``shingles``: any set as similar shares one of its own rarest with them."""
+    tokens, counts = frequent
+    weight = np.zeros(len(shingles), np.int64)
+    if len(tokens):
+        at = np.minimum(np.searchsorted(tokens, shingles), len(tokens) - 1)
+        weight = np.where(tokens[at] == shingles, counts[at], 0)
+    least = max(1, int(np.ceil(similarity * len(shingles) - 1e-9)))
+    return shingles[np.lexsort((shingles, weight))[: len(shingles) - least + 1]]
+
+
+def prefixes(texts: DataFrame, held: object, words: int, similarity: float) -> DataFrame:
+    """(token, node, size) for the prefix of every text (node, text); texts without words share the token 0."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(1))
+            raw, found, nodes, sizes, few = data.tobytes(), [], [], [], []
+            for node, a, b in zip(batch.column(0).to_pylist(), offsets[:-1], offsets[1:], strict=True):
+                if node in seen:
+                    continue
+                if len(seen) < REMEMBERED:
+                    seen.add(node)
+                shingles = np.unique(shingle_hashes(words_of(raw[a:b]), words))
+                found.append(prefix(shingles, held.value, similarity) if len(shingles) else np.zeros(1, np.uint64))
+                nodes.append(node)
+                sizes.append(len(shingles))
+                few.append(len(found[-1]))
+            if found:
+                columns = [np.concatenate(found).view(np.int64), np.repeat(np.array(nodes, np.int64), few), np.repeat(np.array(sizes, np.int32), few)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "size"])
+
+    return texts.mapInArrow(run, "token long, node long, size int")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose shingle sets have the Jaccard similarity or more. Two empty sets are equal."""
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b"
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,65 +222,50 @@ def near_copies(
     text: str = "text",
     words: int = 5,
     similarity: float = 0.8,
-    tables: int = 6,
-    bits: int = 40,
-    radius: int = 2,
-    furthest: float = 0.2,
 ) -> DataFrame:
     """(doc_id, component_id) of every document that has a near copy: shingles of ``words`` words alike.
 
-    ``tables`` fingerprints of ``bits`` bits over distinct words are hashed to balls each on their own, so
-    texts that differ in a few words meet in one of them; pairs that differ in over ``furthest`` of all
-    bits are left out, and the others are verified by the Jaccard similarity of their shingles. Within a
-    class of equal fingerprints each text is paired with the smallest of the class: by one table, by two
-    neighbouring tables and by all, so that a large class gives a few pairs a text and not all of them.
+    Exact but for equal 64-bit hashes of unequal texts or shingles: texts of that Jaccard similarity share one of their
+    rarest shingles (a prefix, all but ``similarity`` of a text's shingles). Of the texts that share one, each is first
+    compared with one head; then all those that are not linked yet, whatever linked them to others. A group of near copies
+    is so not expanded into all pairs, but texts that share a rare shingle and are not alike are compared each with each.
 
-    Exact copies are one class, whose smallest id stands for all. Null and empty texts are copies of each other; repeated rows
-    too; rows with a null id take no part. Other columns are ignored; an empty table gives no rows.
+    Exact copies are one text. Null and empty texts are copies of each other; repeated rows too; rows with a null id
+    take no part. Other columns are ignored; an empty table gives no rows.
     """
-    names = [f"s{i}" for i in range(tables)]
-    known = docs.where(F.col(id).isNotNull())
-    rows = ws.keep(sketches(known, tables=tables, bits=bits, id=id, text=text), "sketches")
-    heads = ws.keep(rows.groupBy("copy").agg(F.min("doc_id").alias("head"), *(F.first(n).alias(n) for n in names)), "heads")
-    everyone = heads.select(F.col("head").alias("doc_id"), *names)
-    stacked = ws.keep(
-        everyone.select(
-            "doc_id",
-            F.explode(
-                F.array(
-                    *(F.struct(F.lit(i).alias("t"), F.col(n).alias("fp"), F.lit(0).cast("long").alias("fp2")) for i, n in enumerate(names)),
-                    *(
-                        F.struct(F.lit(tables + i).alias("t"), F.col(n).alias("fp"), F.col(names[(i + 1) % tables]).alias("fp2"))
-                        for i, n in enumerate(names)
-                    ),
-                    F.struct(F.lit(-1).alias("t"), F.xxhash64(*names).alias("fp"), F.lit(0).cast("long").alias("fp2")),
-                )
-            ).alias("c"),
-        ).select("doc_id", "c.*"),
-        "stacked",
-    )
-    classes = ws.keep(stacked.groupBy("t", "fp", "fp2").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")), "fp_classes")
-    inside = (
-        stacked.join(classes.where("n > 1").drop("n"), ["t", "fp", "fp2"])
-        .where("doc_id <> head")
-        .select(F.col("head").alias("a"), F.col("doc_id").alias("b"))
-    )
-    single = classes.where(F.col("t").between(0, tables - 1)).select("t", "fp", "head")
-    met = ball_pairs(single.select("t", "fp"), bits=bits, radius=radius, keys=("t",))
-    left, right = (single.select("t", F.col("fp").alias(x), F.col("head").alias(f"head_{x}")) for x in "ab")
-    across = met.join(left, ["t", "a"]).join(right, ["t", "b"]).select(F.col("head_a").alias("a"), F.col("head_b").alias("b"))
-    met_pairs = inside.unionByName(across).where("a <> b")
-    pairs = ws.keep(met_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "met")
-
-    x, y = (everyone.select(F.col("doc_id").alias(k), *(F.col(n).alias(f"{k}_{n}") for n in names)) for k in "ab")
-    apart = sum((F.bit_count(F.col(f"a_{n}").bitwiseXOR(F.col(f"b_{n}"))) for n in names), F.lit(0))
-    pairs = ws.keep(pairs.join(x, "a").join(y, "b").where(apart <= furthest * tables * bits).select("a", "b"), "candidates")
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sources = known.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(involved, "doc_id", "left_semi")
-    sets = ws.keep(shingle_sets(sources.groupBy("doc_id").agg(F.first("text").alias("text")), words), "shingle_sets")
-    links = ws.keep(similar(pairs, sets, similarity), "links")
-    grouped = connected_components(links, ws).withColumnRenamed("node", "head")
-    copies = rows.select("doc_id", "copy").join(heads.select("copy", "head"), "copy").drop("copy")
-    found = copies.join(grouped, "head", "left").withColumn("component_id", F.coalesce("component", "head"))
-    many = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    return found.join(many, "component_id", "left_semi").select("doc_id", "component_id")
+    known = docs.where(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    texts = known.select(F.xxhash64("text").alias("node"), "text")
+    rows = ws.keep(known.select("doc_id", F.xxhash64("text").alias("node")), "texts")
+    held = ws.spark.sparkContext.broadcast(frequent_shingles(texts, rows.count(), words))
+    of_token = Window.partitionBy("token")
+    ends = [f(F.struct("node", "size")).over(of_token).alias(n) for f, n in ((F.min, "head"), (F.max, "last"))]
+    posted = prefixes(texts, held, words, similarity).select("token", "node", "size", *ends)
+    posted = ws.keep(posted.where("head.node <> last.node").drop("last").distinct(), "shared_tokens")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = ws.keep(pairs.select("a", "b").distinct(), "met")
+        involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        sources = texts.join(involved, "node", "left_semi").dropDuplicates(["node"])
+        return ws.keep(similar(pairs, ws.keep(shingle_sets(sources, words), "shingle_sets"), similarity), "links")
+
+    def fits(a: Column, b: Column) -> Column:
+        return F.least(a, b) >= F.greatest(a, b) * similarity - 1e-6
+
+    with_head = posted.where(F.col("node") != F.col("head.node")).where(fits(F.col("size"), F.col("head.size")))
+    links = verified(with_head.select(F.col("head.node").alias("a"), F.col("node").alias("b")))
+    linked = ws.keep(connected_components(links, ws), "linked")
+    labelled = posted.select("token", "node", "size").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    open_tokens = labelled.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("token")
+    # One row for each component at a token, so that its own members are not paired.
+    members = labelled.join(open_tokens, "token", "left_semi").groupBy("token", "component").agg(F.collect_list(F.struct("node", "size")).alias("m"))
+    members = ws.keep(members, "open_tokens")
+    x, y = (members.select("token", F.col("component").alias(f"c{k}"), F.col("m").alias(k)) for k in "xy")
+    crossed = x.join(y, "token").where("cx < cy").select(F.explode("x").alias("x"), "y").select("x", F.explode("y").alias("y"))
+    crossed = crossed.where(fits(F.col("x.size"), F.col("y.size"))).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    tried = with_head.select(F.col("head.node").alias("a"), F.col("node").alias("b"))
+    links = links.unionByName(verified(crossed.join(tried.distinct(), ["a", "b"], "left_anti")))
+
+    grouped = connected_components(links, ws)
+    found = rows.join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    many = found.groupBy("component").agg(F.count("*").alias("n"), F.min("doc_id").alias("component_id")).where("n > 1").drop("n")
+    return found.join(many, "component").select("doc_id", "component_id")
