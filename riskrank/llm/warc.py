@@ -70,7 +70,7 @@ def member(data: bytes) -> bytes:
 def parse(data: bytes, at: int) -> tuple[dict | None, int, str]:
     """The record that begins at ``at``: (record or none, where it ends, what is wrong with it)."""
     if not FIRST_LINE.match(data, at):
-        return None, at, "no version line"
+        return None, at, "no gzip member or version line"
     end = data.find(b"\r\n\r\n", at)
     if end < 0:
         return None, at, "headers do not end"
@@ -118,14 +118,17 @@ def _inflate(data: bytes, at: int) -> tuple[bytes | None, int]:
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
-    """("record", begin, end, fields) and ("gap", begin, end, reason) of a file, in order and without holes."""
-    packed = GZIP in data[:4096] and not FIRST_LINE.match(data)
+    """("record", begin, end, fields) and ("gap", begin, end, reason) of a file, in order and without holes.
+
+    After damage both the next gzip member and the next version line are tried, whatever the file began with.
+    """
     at, bad, why = 0, None, ""
+    packed = line = -1  # the next member and the next version line, looked for again once they are passed
     while at < len(data):
-        found, end, reason = None, at, "no gzip member"
-        if not packed:
+        if not data.startswith(GZIP, at):
             found, end, reason = parse(data, at)
-        elif data.startswith(GZIP, at):
+        else:
+            found = None
             content, end = _inflate(data[at : at + _reach(data, at)], 0)
             end += at
             reason = "gzip member fails its checks"
@@ -142,13 +145,13 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
             continue
         if bad is None:
             bad, why = at, reason
-        if packed:
-            at = data.find(GZIP, at + 1)
-        else:
+        if packed <= at:
+            packed = data.find(GZIP, at + 1)
+            packed = len(data) if packed < 0 else packed
+        if line <= at:
             later = FIRST_LINE.search(data, at + 1)
-            at = later.start() if later else -1
-        if at < 0:
-            at = len(data)
+            line = later.start() if later else len(data)
+        at = min(packed, line)
     if bad is not None:
         yield "gap", bad, len(data), why
 

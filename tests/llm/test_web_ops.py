@@ -182,3 +182,16 @@ def test_salvage():
         junk = list(warc.salvage(whole[: ends[2]] + b"\x1f\x8b\x08junk" + whole[ends[2] :]))
         assert len([x for x in junk if x[0] == "record"]) == 30 and len([x for x in junk if x[0] == "gap"]) == 1
     assert list(warc.salvage(b"")) == []
+
+
+def test_salvage_of_a_damaged_beginning():
+    r = random.Random(6)
+    pages = ["".join(map(chr, r.choices(range(32, 1000), k=9000))) for _ in range(6)]
+    plain = [warc.record(i, f"http://x/{i}", h.encode(), None) for i, h in enumerate(pages)]
+    for blocks in ([warc.member(x) for x in plain], plain):
+        whole = b"".join(blocks)
+        assert len(blocks[0]) > 8192
+        for damaged in (b"\x00" + whole[1:], whole[:2] + b"\xff" + whole[3:], bytes(4096) + whole[4096:], b"\x1f\x8b\x08" + whole[3:100] + bytes(5000) + whole[5100:]):
+            found = list(warc.salvage(damaged))
+            assert [x[3]["page_id"] for x in found if x[0] == "record"] == [1, 2, 3, 4, 5]
+            assert [x[:3] for x in found if x[0] == "gap"] == [("gap", 0, len(blocks[0]))]
