@@ -7,6 +7,7 @@ A host whose distrust outweighs its trust is blocked.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -17,8 +18,9 @@ from riskrank.llm.common import Workspace, free_shuffles
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DAMPING = 0.85
+# Scores may be off by this in all, and by this share of the mean score of a host.
 TOLERANCE = 1e-6
-ITERATIONS = 30
+SHARE = 1e-3
 # Distrust may be this many times trust before a host is blocked.
 THRESHOLD = 1.0
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*([^\s"'<>]+)"""
@@ -74,11 +76,12 @@ def host_edges(pages: DataFrame, url: str, html: str) -> DataFrame:
     return edges.groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, ws: Workspace) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, ws: Workspace, mean: float = 1.0) -> DataFrame:
     """(host, score): personalised PageRank from ``seeds`` (host, seed; summing to one) along ``edges``.
 
-    Stops when scores change by ``TOLERANCE`` in all, or after ``ITERATIONS``. What leaves hosts without
-    links goes back to the seeds. Shares are summed before they are shuffled by host, so a host that very
+    Stops when scores are within ``TOLERANCE`` and ``SHARE`` of ``mean`` of their limits, all in all. Each round leaves at
+    most ``DAMPING`` of the change before, so the number of rounds is bounded (about 140 for a million hosts);
+    not to get there in time is an error. What leaves hosts without links goes back to the seeds. Shares are summed before they are shuffled by host, so a host that very
     many link to is no burden, and scores are written after each round.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
@@ -87,7 +90,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, ws: Workspace) -> DataFrame:
     scores = seeds.select("host", F.col("seed").alias("score"))
     if shares.isEmpty():
         return scores
-    for _ in range(ITERATIONS):
+    # A change of x leaves at most x * DAMPING / (1 - DAMPING) to come; the first change is 2 at most.
+    small = min(TOLERANCE, SHARE * mean) * (1 - DAMPING) / DAMPING
+    for _ in range(math.ceil(math.log(small / 2, DAMPING)) + 10):
         sent = shares.join(scores, shares.src == scores.host).groupBy("dst").agg(F.sum(F.col("share") * F.col("score")).alias("got"))
         moved = sent.select(F.col("dst").alias("host"), (F.col("got") * DAMPING).alias("got"))
         kept = ws.keep(
@@ -100,9 +105,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, ws: Workspace) -> DataFrame:
         scores = kept.select("host", (F.col("got") + back * F.col("seed")).alias("score"), "old")
         change = scores.agg(F.sum(F.abs(F.col("score") - F.col("old")))).first()[0] or 0.0
         scores = scores.select("host", "score")
-        if change < TOLERANCE:
-            break
-    return scores
+        if change < small:
+            return scores
+    raise RuntimeError(f"scores still change by {change}, over {small}")
 
 
 def filter_urls(
@@ -140,8 +145,8 @@ def filter_urls(
         return seed_hosts.where(F.col("rule_verdict") == verdict).select("host", (F.col("n") / totals.get(verdict, 1)).alias("seed"))
 
     reverse = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    trust = propagate(edges, seeds("allow"), ws).withColumnRenamed("score", "trust")
-    distrust = propagate(reverse, seeds("block"), ws).withColumnRenamed("score", "distrust")
+    trust = propagate(edges, seeds("allow"), ws, mean).withColumnRenamed("score", "trust")
+    distrust = propagate(reverse, seeds("block"), ws, mean).withColumnRenamed("score", "distrust")
     scores = trust.join(distrust, "host", "full")
     judged = (
         places.drop("n")

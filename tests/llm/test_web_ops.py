@@ -111,6 +111,20 @@ def test_propagation(spark):
     assert verdicts == {"allow", "block"}
 
 
+def test_propagation_reaches_hosts_far_from_the_seed(spark):
+    chain = [f"c{i}.com" for i in range(41)]
+    rows = [(i, f"http://{chain[i + 1]}/", f'<a href="http://{chain[i]}/">') for i in range(40)]
+    rows += [(100, f"http://{chain[0]}/", ""), *((1000 + i, f"http://n{i}.org/", "") for i in range(3000))]
+    got = url_filter.filter_urls(pages_of(spark, rows), Workspace(spark), [Rule("block", chain[0], "/")]).where("page_id < 1000").collect()
+    distrust = power({(a, b): 1 for a, b in zip(chain[:-1], chain[1:], strict=True)}, {chain[0]: 1.0})
+    assert len(got) == 41
+    for row in got:
+        assert abs(row.distrust - distrust[row.host]) < 0.01 / 3041
+        if row.rule is None:
+            assert row.verdict == ("block" if distrust[row.host] > 1 / 3041 else "allow")
+    assert any(row.page_id >= 31 and row.page_id < 100 and row.verdict == "block" for row in got)
+
+
 def archive_rows():
     r = random.Random(3)
     long = ["".join(r.choices("abé<>\r\n WARC/1.1", k=r.randint(990, 3000))) for _ in range(6)]
