@@ -1,7 +1,7 @@
 """SentencePiece BPE encoding with seeded merge-dropout, and decoding without loss.
 
 Merges are taken from an agenda, best score first and leftmost of equals; each candidate is skipped if a keyed
-hash of its place says so. The key comes from the seed, the document and the place of the word, so the same
+hash says so. The key is of the seed, the document, the place of the word and the merge, so the same
 text is segmented in varied ways, yet every run gives the same pieces. Whatever is skipped, the pieces spell the text.
 """
 
@@ -23,7 +23,8 @@ from riskrank.llm.common import MIX_A, MIX_C, U64, mix64
 SPACE = "▁"
 # No piece of such a vocabulary reaches from a word into the spaces after it, so chunks are encoded alone.
 CHUNK = re.compile(" *[^ ]+| +")
-VARIANTS = 8
+# Places of a text handled at once.
+PLACES = 1 << 14
 CACHE_ENTRIES = 300_000
 CACHE_CHARS = 32
 MASK = (1 << 64) - 1
@@ -46,14 +47,18 @@ class PieceCodec:
         for b, i in enumerate(self.byte_ids):
             self.spelled[i] = bytes([b])
         self.limit, self.seed = int(dropout * 2**64), seed
-        self.young: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
-        self.old: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
-        self.held = 0
-
-    def segment(self, chunk: str, variant: int) -> list[str]:
-        """Pieces of a chunk (spaces as written in the vocabulary)."""
-        score, limit = self.score, self.limit
-        key = zlib.crc32(chunk.encode()) * 0x9E3779B97F4A7C15 + (self.seed << 8) + variant + 1
+        # Chunks with no merge skipped: (ids, what their candidate merges add to the key, as 64-bit numbers).
+        self.young: dict[str, tuple[bytes, bytes]] = {}
+        self.old: dict[str, tuple[bytes, bytes]] = {}
+
+    def key(self, chunk: str, place: int) -> int:
+        return zlib.crc32(chunk.encode()) * 0x9E3779B97F4A7C15 + (self.seed << 8) + place + 1
+
+    def segment(self, chunk: str, place: int, limit: int | None = None, offers: list[int] | None = None) -> list[str]:
+        """Pieces of a chunk (spaces as written in the vocabulary) at a place (a hash of it); ``offers`` takes what
+        each candidate merge adds to ``place`` in its hash."""
+        score, limit = self.score, self.limit if limit is None else limit
+        key = self.key(chunk, place)
         n = len(chunk)
         after = list(range(1, n + 1))  # where the symbol that begins here ends
         before = list(range(-1, n - 1))  # where the symbol before begins
@@ -64,6 +69,8 @@ class PieceCodec:
             s = score.get(chunk[a:c])
             if s is None:
                 return
+            if offers is not None:
+                offers.append((key - place + a * 0xBF58476D1CE4E5B9 + b * 0x94D049BB133111EB + c * 0xD6E8FEB86659FD93) & MASK)
             if limit:
                 h = (key + a * 0xBF58476D1CE4E5B9 + b * 0x94D049BB133111EB + c * 0xD6E8FEB86659FD93) & MASK
                 h = ((h ^ h >> 32) * 0xD6E8FEB86659FD93) & MASK
@@ -91,13 +98,13 @@ class PieceCodec:
             a = after[a]
         return out
 
-    def chunk_ids(self, chunk: str, variant: int) -> bytes:
+    def chunk_ids(self, chunk: str, place: int, limit: int | None = None, offers: list[int] | None = None) -> bytes:
         out = array("I")
         # A character that looks like the mark for spaces is spelled in bytes.
         for i, part in enumerate(chunk.split(SPACE)):
             if i:
                 out.extend(self.byte_ids[b] for b in SPACE.encode())
-            for piece in self.segment(part.replace(" ", SPACE), variant):
+            for piece in self.segment(part.replace(" ", SPACE), place, limit, offers):
                 found = self.ids.get(piece)
                 if found is None:
                     out.extend(self.byte_ids[b] for b in piece.encode())
@@ -110,23 +117,40 @@ class PieceCodec:
         if not text:
             return b""
         chunks = CHUNK.findall(" " + text)
-        place = np.arange(len(chunks), dtype=np.uint64) * MIX_A + U64(doc & MASK) * MIX_C + U64(self.seed & MASK)
-        variants = (mix64(place) % U64(VARIANTS)).tolist() if self.limit else [0] * len(chunks)
-        out, young, old = [], self.young, self.old
-        for chunk, v in zip(chunks, variants, strict=True):
-            ids = young[v].get(chunk)
-            if ids is None:
-                ids = old[v].get(chunk)
-                if ids is None:
-                    ids = self.chunk_ids(chunk, v)
-                if len(chunk) <= CACHE_CHARS:
-                    young[v][chunk] = ids
-                    self.held += 1
-            out.append(ids)
-        if self.held > CACHE_ENTRIES:
-            self.young, self.old, self.held = [{} for _ in range(VARIANTS)], young, 0
+        out: list[bytes] = []
+        base = U64((doc * int(MIX_C) + self.seed) & MASK)
+        for begin in range(0, len(chunks), PLACES):
+            part = chunks[begin : begin + PLACES]
+            whole = [self.whole(chunk) for chunk in part]
+            ids = [x for x, _ in whole]
+            if self.limit:
+                place = mix64(np.arange(begin, begin + len(part), dtype=np.uint64) * MIX_A + base)
+                of = np.repeat(np.arange(len(part)), [len(offers) // 8 for _, offers in whole])
+                h = place[of] + np.frombuffer(b"".join([offers for _, offers in whole]), "<u8", len(of))
+                h = (h ^ h >> U64(32)) * U64(0xD6E8FEB86659FD93)
+                h = (h ^ h >> U64(29)) * U64(0xBF58476D1CE4E5B9)
+                skipped = (h ^ h >> U64(32)) < U64(min(self.limit, MASK))
+                # Where no candidate is skipped, the pieces are the model's own.
+                for i in np.unique(of[skipped]).tolist():
+                    ids[i] = self.chunk_ids(part[i], int(place[i]))
+            out += ids
+        if len(self.young) > CACHE_ENTRIES:
+            self.young, self.old = {}, self.young
         return b"".join(out)
 
+    def whole(self, chunk: str) -> tuple[bytes, bytes]:
+        """Ids of a chunk with no merge skipped, and its candidate merges."""
+        found = self.young.get(chunk)
+        if found is None:
+            found = self.old.get(chunk)
+            if found is None:
+                offers: list[int] = []
+                ids = self.chunk_ids(chunk, 0, 0, offers)
+                found = ids, array("Q", offers).tobytes()
+            if len(chunk) <= CACHE_CHARS:
+                self.young[chunk] = found
+        return found
+
     def decode(self, ids: bytes) -> str:
         spelled = self.spelled
         return b"".join([spelled[i] for i in array("I", ids)])[1:].decode()

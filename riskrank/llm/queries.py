@@ -39,7 +39,7 @@ def op3_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(
-        read_table(spark, sf_dir, "documents"), model=public_tokenizers.path("piece_bpe_32k.model"), dropout=0.1, seed=7, keep_ids=False
+        read_table(spark, sf_dir, "documents"), model=public_tokenizers.path("piece_bpe_32k.model"), dropout=0.1, seed=7
     )
 
 

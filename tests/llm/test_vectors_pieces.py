@@ -156,6 +156,22 @@ def test_dropout_varies_and_decodes(spark):
     assert len(np.frombuffer(plain.encode("abc", 0), "<u4")) == 4
 
 
+def test_dropout_of_every_occurrence(spark):
+    c = pieces.PieceCodec(MODEL, 0.1, 5)
+    word, places = "internationalization", 4000
+    ids = [c.encode(word, d) for d in range(places)]
+    assert len(set(ids)) > 20 and all(c.decode(x) == word for x in ids)
+    # Of two characters that only one merge can join, a tenth stay apart.
+    pair = next(p for p in c.score if len(p) == 2 and p[0] == pieces.SPACE and p[1].isalpha())
+    apart = np.mean([len(x) > 4 for x in (c.encode(pair[1], d) for d in range(places))])
+    assert 0.08 < apart < 0.12
+    text = " ".join(["the", "of", word] * 20)
+    chunks = pieces.CHUNK.findall(" " + text)
+    place = pieces.mix64(np.arange(len(chunks), dtype=np.uint64) * pieces.MIX_A + pieces.U64((3 * int(pieces.MIX_C) + 5) & pieces.MASK))
+    assert c.encode(text, 3) == b"".join(c.chunk_ids(x, int(p)) for x, p in zip(chunks, place, strict=True))
+    assert "ids" in queries.op4_merge_dropout(spark, SF).columns
+
+
 def test_dropout_by_plain_agenda():
     c = pieces.PieceCodec(MODEL, 0.0, 0)
     plain = pieces.PieceCodec(MODEL, 0.25, 9)
