@@ -77,16 +77,16 @@ def masks(bits: int, radius: int) -> list[int]:
     return out
 
 
-def ball_pairs(fps: DataFrame, *, bits: int = 64, radius: int = 2, keys: tuple[str, ...] = ()) -> DataFrame:
+def ball_pairs(fps: DataFrame, *, radius: int = 2) -> DataFrame:
     """Pairs (a, b) of distinct ``fp`` at distance ``radius`` or less, enough to connect all such pairs.
 
-    ``fps`` holds distinct (keys, fp). Classes that meet at a variant are linked in order, each to the next
+    ``fps`` holds distinct fp. Serves where meeting is the link; pairs that are verified need all that meet. Classes that meet at a variant are linked in order, each to the next
     one there: all of them are within the ball, so within ``radius`` of each other when it is even.
     """
-    near = [F.col("fp").bitwiseXOR(F.lit(m)) for m in masks(bits, radius // 2)]
-    variants = fps.select(*keys, "fp", F.explode(F.array(*near)).alias("variant"))
-    before = F.lag("fp").over(Window.partitionBy(*keys, "variant").orderBy("fp"))
-    pairs = variants.select(*keys, before.alias("a"), F.col("fp").alias("b")).where("a is not null").distinct()
+    near = [F.col("fp").bitwiseXOR(F.lit(m)) for m in masks(64, radius // 2)]
+    variants = fps.select("fp", F.explode(F.array(*near)).alias("variant"))
+    before = F.lag("fp").over(Window.partitionBy("variant").orderBy("fp"))
+    pairs = variants.select(before.alias("a"), F.col("fp").alias("b")).where("a is not null").distinct()
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
