@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskrank.llm.ann import nearest
 from riskrank.llm.common import Workspace, read_table
+from riskrank.llm.merkle import check_claims, document_manifest
 from riskrank.llm.packing import pack_documents
 from riskrank.llm.pieces import encode_pieces
 from riskrank.llm.quality import classify, fit_quality
@@ -84,6 +86,15 @@ def op10_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), Workspace(spark), words=3, radius=2)
 
 
+def op13_veb_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    without_ends = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    manifest = document_manifest(
+        read_table(spark, sf_dir, "documents"), Workspace(spark), claimed={"text": without_ends}
+    )
+    return check_claims(manifest, with_path=False).drop("path")
+
+
 def queries() -> dict:
     return {
         name: globals()[name] for name in sorted(globals()) if name.startswith("op") and callable(globals()[name])
