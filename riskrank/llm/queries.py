@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from riskrank.llm.ann import nearest
 from riskrank.llm.common import Workspace, read_table
+from riskrank.llm.conversations import damage, figures, repair
 from riskrank.llm.merkle import check_claims, document_manifest
 from riskrank.llm.packing import pack_documents
 from riskrank.llm.pieces import encode_pieces
@@ -86,6 +87,10 @@ def op10_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), Workspace(spark), words=3, radius=2)
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return figures(repair(damage(read_table(spark, sf_dir, "conversations")), present="present"))
+
+
 def op13_veb_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
     without_ends = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
