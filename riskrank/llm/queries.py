@@ -11,6 +11,7 @@ from riskrank.llm.common import Workspace, read_table
 from riskrank.llm.conversations import damage, figures, repair
 from riskrank.llm.merkle import check_claims, document_manifest
 from riskrank.llm.packing import pack_documents
+from riskrank.llm.pages import extract
 from riskrank.llm.pieces import encode_pieces
 from riskrank.llm.quality import classify, fit_quality
 from riskrank.llm.simhash import near_duplicates
@@ -91,6 +92,10 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return figures(repair(damage(read_table(spark, sf_dir, "conversations")), present="present"))
 
 
+def op12_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages"), Workspace(spark))
+
+
 def op13_veb_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
     without_ends = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
