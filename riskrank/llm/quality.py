@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskrank.llm.common import MIX_A, MIX_C, U64, Workspace, mix64, parts_of, text_bytes
+from riskrank.llm.simhash import text_hash
 
 WORD_BITS = 16
 WORD_PRIOR = 5.0
@@ -192,18 +193,21 @@ def fit_quality(
 
 
 def evidence(docs: DataFrame, model: QualityModel, *, id: str, text: str, host: Column, path: Column) -> DataFrame:
-    """(doc_id, host, path, low, toxic): logits of both heads for every whole text."""
+    """(doc_id, text_hash, host, path, low, toxic): logits of both heads for every whole text."""
     held = docs.sparkSession.sparkContext.broadcast((model.shifts, model.weights))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in parts_of(batch, 3):
-                f = Features(part.column(3))
+            for part in parts_of(batch, 4):
+                f = Features(part.column(4))
                 low, toxic = (pa.array(f.marks(s[f.slot]) @ w) for s, w in zip(*held.value, strict=True))
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], low, toxic], names=["doc_id", "host", "path", "low", "toxic"])
+                names = ["doc_id", "text_hash", "host", "path", "low", "toxic"]
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], low, toxic], names=names)
 
-    rows = docs.select(F.col(id).cast("long").alias("doc_id"), host.alias("host"), path.alias("path"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, host string, path string, low double, toxic double")
+    rows = docs.select(
+        F.col(id).cast("long").alias("doc_id"), text_hash(text).alias("text_hash"), host.alias("host"), path.alias("path"), F.col(text).alias("text")
+    )
+    return rows.mapInArrow(run, "doc_id long, text_hash long, host string, path string, low double, toxic double")
 
 
 def sigmoid(z: Column) -> Column:
@@ -265,11 +269,11 @@ def classify(
     path: Column | None = None,
     threshold: float = 0.5,
 ) -> DataFrame:
-    """Per row: doc_id, host, path, p_low and p_toxic (posteriors), reject (either over ``threshold``).
+    """Per row: doc_id, text_hash, host, path, p_low and p_toxic (posteriors), reject (either over ``threshold``).
 
     ``host`` and ``path`` name the site and its section (default: ``source`` and ``lang``); null is a site of its
-    own. Null and empty texts have no words and are judged by their marks and their site. Rows with a null id
-    and repeated rows are judged each; other columns are ignored; an empty table gives no rows.
+    own. Null and empty texts have no words and are judged by their marks and their site; long texts are judged whole. Rows
+    with a null id and repeated rows are judged each; other columns are ignored; an empty table gives no rows.
     """
     host = F.col("source") if host is None else host
     path = F.col("lang") if path is None else path
@@ -281,5 +285,5 @@ def classify(
         out = out.join(shifts, on, "left").drop(shifts.host, shifts.path)
     low, toxic = (sigmoid(F.col(h) + F.col(f"shift_{h}")) for h in ("low", "toxic"))
     return out.select(
-        "doc_id", "host", "path", low.alias("p_low"), toxic.alias("p_toxic"), ((low > threshold) | (toxic > threshold)).alias("reject")
+        "doc_id", "text_hash", "host", "path", low.alias("p_low"), toxic.alias("p_toxic"), ((low > threshold) | (toxic > threshold)).alias("reject")
     )

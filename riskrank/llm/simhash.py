@@ -51,7 +51,7 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, *, id: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
-    """(doc_id, fp): the SimHash over all runs of ``words`` words, repeats included, of every whole text."""
+    """(doc_id, text_hash, fp): the SimHash over all runs of ``words`` words, repeats included, of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -60,11 +60,16 @@ def fingerprints(docs: DataFrame, *, id: str = "doc_id", text: str = "text", wor
             fps = [
                 majority(shingle_hashes(words_of(raw[a:b]), words)) for a, b in zip(offsets[:-1], offsets[1:], strict=True)
             ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            columns = [batch.column(0), batch.column(2), pa.array(fps, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "fp"])
+
+    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"), text_hash(text).alias("text_hash"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
-    return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id long, fp long"
-    )
+
+def text_hash(text: str) -> Column:
+    """What tells texts under one id apart; null and empty texts are the same."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 def masks(bits: int, radius: int) -> list[int]:
@@ -80,8 +85,8 @@ def masks(bits: int, radius: int) -> list[int]:
 def ball_pairs(fps: DataFrame, *, radius: int = 2) -> DataFrame:
     """Pairs (a, b) of distinct ``fp`` at distance ``radius`` or less, enough to connect all such pairs.
 
-    ``fps`` holds distinct fp. Serves where meeting is the link; pairs that are verified need all that meet. Classes that meet at a variant are linked in order, each to the next
-    one there: all of them are within the ball, so within ``radius`` of each other when it is even.
+    ``fps`` holds distinct fp. Classes that meet at a variant are linked in order, each to the next one there: all
+    of them are within the ball, so within ``radius`` of each other when it is even.
     """
     near = [F.col("fp").bitwiseXOR(F.lit(m)) for m in masks(64, radius // 2)]
     variants = fps.select("fp", F.explode(F.array(*near)).alias("variant"))
@@ -90,6 +95,16 @@ def ball_pairs(fps: DataFrame, *, radius: int = 2) -> DataFrame:
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
+def _classes(fps: DataFrame, ws: Workspace, radius: int) -> DataFrame:
+    """Per distinct fp: head (smallest doc_id), least (smallest id and text, null ids last), component (smallest fp reachable)."""
+    if radius % 2:
+        raise ValueError("radius must be even")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    classes = ws.keep(fps.groupBy("fp").agg(F.min("doc_id").alias("head"), F.min(order).alias("least")), "classes")
+    linked = connected_components(ball_pairs(classes.select("fp"), radius=radius), ws).withColumnRenamed("node", "fp")
+    return classes.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def near_duplicates(
     docs: DataFrame, ws: Workspace, *, id: str = "doc_id", text: str = "text", words: int = 3, radius: int = 2
 ) -> DataFrame:
@@ -100,13 +115,8 @@ def near_duplicates(
     is returned and links others, but never names a component (null if no id is reachable). Other columns
     are ignored; an empty table gives no rows.
     """
-    if radius % 2:
-        raise ValueError("radius must be even")
     fps = ws.keep(fingerprints(docs, id=id, text=text, words=words), "fingerprints")
-    classes = ws.keep(fps.groupBy("fp").agg(F.min("doc_id").alias("head")), "classes")
-    pairs = ball_pairs(classes.select("fp"), radius=radius)
-    linked = connected_components(pairs, ws).withColumnRenamed("node", "fp")
-    roots = classes.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    roots = _classes(fps, ws, radius)
     smallest = roots.groupBy("component").agg(F.min("head").alias("component_id"))
     by_class = roots.join(smallest, "component").select("fp", "component_id")
     return fps.join(by_class, "fp").select(
@@ -114,158 +124,13 @@ def near_duplicates(
     )
 
 
-# --- near copies by the similarity of their shingles -------------------------------------------
-
-# Texts (by a hash) whose shingles tell frequent ones from rare ones, and how many are told to all tasks. They set
-# the order of shingles, which bears on speed alone.
-SAMPLE_TEXTS = 5000
-FREQUENT = 200_000
-# Distinct texts that a task remembers, so that copies of one give its prefix once a task.
-REMEMBERED = 100_000
-
-
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(node, shingles): the sorted distinct hashes of every run of ``words`` words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            raw = data.tobytes()
-            sets = [
-                np.unique(shingle_hashes(words_of(raw[a:b]), words)).tobytes()
-                for a, b in zip(offsets[:-1], offsets[1:], strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
-
-    return docs.mapInArrow(run, "node long, shingles binary")
-
-
-def frequent_shingles(texts: DataFrame, total: int, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (sorted) that two or more of about ``SAMPLE_TEXTS`` texts (node, text) hold, and how many do."""
-    share = min(1.0, SAMPLE_TEXTS / max(1, total))
-    some = texts.where(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < share * 1_000_000)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            raw = data.tobytes()
-            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-                found = np.unique(shingle_hashes(words_of(raw[a:b]), words))
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["token"])
-
-    counted = some.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    table = counted.orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
-    tokens, n = table.column("token").to_numpy().view(np.uint64), table.column("n").to_numpy()
-    order = np.argsort(tokens)
-    return tokens[order], n[order]
-
-
-def prefix(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
-    """The rarest of the distinct ``shingles``: any set as similar shares one of its own rarest with them."""
-    tokens, counts = frequent
-    weight = np.zeros(len(shingles), np.int64)
-    if len(tokens):
-        at = np.minimum(np.searchsorted(tokens, shingles), len(tokens) - 1)
-        weight = np.where(tokens[at] == shingles, counts[at], 0)
-    least = max(1, int(np.ceil(similarity * len(shingles) - 1e-9)))
-    return shingles[np.lexsort((shingles, weight))[: len(shingles) - least + 1]]
-
-
-def prefixes(texts: DataFrame, held: object, words: int, similarity: float) -> DataFrame:
-    """(token, node, size) for the prefix of every text (node, text); texts without words share the token 0."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            raw, found, nodes, sizes, few = data.tobytes(), [], [], [], []
-            for node, a, b in zip(batch.column(0).to_pylist(), offsets[:-1], offsets[1:], strict=True):
-                if node in seen:
-                    continue
-                if len(seen) < REMEMBERED:
-                    seen.add(node)
-                shingles = np.unique(shingle_hashes(words_of(raw[a:b]), words))
-                found.append(prefix(shingles, held.value, similarity) if len(shingles) else np.zeros(1, np.uint64))
-                nodes.append(node)
-                sizes.append(len(shingles))
-                few.append(len(found[-1]))
-            if found:
-                columns = [np.concatenate(found).view(np.int64), np.repeat(np.array(nodes, np.int64), few), np.repeat(np.array(sizes, np.int32), few)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "size"])
-
-    return texts.mapInArrow(run, "token long, node long, size int")
-
-
-def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have the Jaccard similarity or more. Two empty sets are equal."""
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(common >= similarity * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
-
-
-def near_copies(
-    docs: DataFrame,
-    ws: Workspace,
-    *,
-    id: str = "doc_id",
-    text: str = "text",
-    words: int = 5,
-    similarity: float = 0.8,
+def one_of_each(
+    docs: DataFrame, ws: Workspace, *, id: str = "doc_id", text: str = "text", words: int = 3, radius: int = 2
 ) -> DataFrame:
-    """(doc_id, component_id) of every document that has a near copy: shingles of ``words`` words alike.
+    """(doc_id, text_hash) of the document of each group of ``near_duplicates`` that stays: the smallest, null ids last.
 
-    Exact but for equal 64-bit hashes of unequal texts or shingles: texts of that Jaccard similarity share one of their
-    rarest shingles (a prefix, all but ``similarity`` of a text's shingles). Of the texts that share one, each is first
-    compared with one head; then all those that are not linked yet, whatever linked them to others. A group of near copies
-    is so not expanded into all pairs, but texts that share a rare shingle and are not alike are compared each with each.
-
-    Exact copies are one text. Null and empty texts are copies of each other; repeated rows too; rows with a null id
-    take no part. Other columns are ignored; an empty table gives no rows.
+    A document is an id and a text, so another text under the same id is judged on its own.
     """
-    known = docs.where(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    texts = known.select(F.xxhash64("text").alias("node"), "text")
-    rows = ws.keep(known.select("doc_id", F.xxhash64("text").alias("node")), "texts")
-    held = ws.spark.sparkContext.broadcast(frequent_shingles(texts, rows.count(), words))
-    of_token = Window.partitionBy("token")
-    ends = [f(F.struct("node", "size")).over(of_token).alias(n) for f, n in ((F.min, "head"), (F.max, "last"))]
-    posted = prefixes(texts, held, words, similarity).select("token", "node", "size", *ends)
-    posted = ws.keep(posted.where("head.node <> last.node").drop("last").distinct(), "shared_tokens")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = ws.keep(pairs.select("a", "b").distinct(), "met")
-        involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        sources = texts.join(involved, "node", "left_semi").dropDuplicates(["node"])
-        return ws.keep(similar(pairs, ws.keep(shingle_sets(sources, words), "shingle_sets"), similarity), "links")
-
-    def fits(a: Column, b: Column) -> Column:
-        return F.least(a, b) >= F.greatest(a, b) * similarity - 1e-6
-
-    with_head = posted.where(F.col("node") != F.col("head.node")).where(fits(F.col("size"), F.col("head.size")))
-    links = verified(with_head.select(F.col("head.node").alias("a"), F.col("node").alias("b")))
-    linked = ws.keep(connected_components(links, ws), "linked")
-    labelled = posted.select("token", "node", "size").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_tokens = labelled.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("token")
-    # One row for each component at a token, so that its own members are not paired.
-    members = labelled.join(open_tokens, "token", "left_semi").groupBy("token", "component").agg(F.collect_list(F.struct("node", "size")).alias("m"))
-    members = ws.keep(members, "open_tokens")
-    x, y = (members.select("token", F.col("component").alias(f"c{k}"), F.col("m").alias(k)) for k in "xy")
-    crossed = x.join(y, "token").where("cx < cy").select(F.explode("x").alias("x"), "y").select("x", F.explode("y").alias("y"))
-    crossed = crossed.where(fits(F.col("x.size"), F.col("y.size"))).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-    tried = with_head.select(F.col("head.node").alias("a"), F.col("node").alias("b"))
-    links = links.unionByName(verified(crossed.join(tried.distinct(), ["a", "b"], "left_anti")))
-
-    grouped = connected_components(links, ws)
-    found = rows.join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    many = found.groupBy("component").agg(F.count("*").alias("n"), F.min("doc_id").alias("component_id")).where("n > 1").drop("n")
-    return found.join(many, "component").select("doc_id", "component_id")
+    fps = ws.keep(fingerprints(docs, id=id, text=text, words=words), "fingerprints")
+    least = _classes(fps, ws, radius).groupBy("component").agg(F.min("least").alias("m"))
+    return least.select("m.doc_id", "m.text_hash")

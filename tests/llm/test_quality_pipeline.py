@@ -1,16 +1,20 @@
 """The quality classifier, and the stages of the pipeline on planted cases."""
 
 import random
+import re
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
 from riskrank.llm import quality, queries
 from riskrank.llm.common import Workspace
+from tests.llm import brute
 
 SF = "/root/testdata/sf0.01"
 
@@ -80,38 +84,97 @@ def test_odd_rows(spark):
     assert quality.classify(docs.where("false"), quality.fit_quality(docs, labels), Workspace(spark)).count() == 0
 
 
-def shingles(text, n=5):
-    words = text.encode().lower().split()
-    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))}
-
-
-def test_pipeline_on_planted_cases(spark, tables):
-    r = random.Random(9)
-    bad = {x.doc_id for x in tables["labels"].where("quality = 0 or toxic = 1").collect()}
-    base = [x for x in tables["documents"].orderBy("doc_id").collect() if x.doc_id not in bad and 120 < len(x.text.split()) < 800][:120]
-    vocabulary = sorted({w for x in base for w in x.text.split()})
-    rows, near, passage = [], {}, " ".join(r.choices(vocabulary, k=70))
-    for k, x in enumerate(base):
-        rows.append((10_000 + k, x.text, x.lang, x.source, x.n_chars))
-    for k in range(20):
-        words = base[k].text.split(" ")
-        for _ in range(max(1, len(words) // 150)):
-            words[r.randrange(len(words))] = r.choice(vocabulary)
-        rows.append((20_000 + k, base[k].text if k % 2 else " ".join(words), base[k].lang, base[k].source, 0))
-        near[20_000 + k] = 10_000 + k
-    for k in range(30, 40):
-        rows[k] = (*rows[k][:1], f"{rows[k][1]} {passage} tail{k}", *rows[k][2:])
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    kept = corpus_pipeline.near_duplicates(spark, docs, SF)
-    ids = {x.doc_id for x in kept.collect()}
-    assert not ids & set(near)
-    texts = {x[0]: x[1] for x in rows}
-    for gone in set(texts) - ids:
-        assert any(len(shingles(texts[gone]) & shingles(texts[o])) >= 0.8 * len(shingles(texts[gone]) | shingles(texts[o])) for o in texts if o < gone)
-    cut = {x.doc_id: x for x in corpus_pipeline.repeated_passages(spark, kept, SF).collect()}
-    assert passage in cut[10_030].text and all(passage not in cut[10_000 + k].text for k in range(31, 40))
-    assert all(cut[10_000 + k].text.endswith(f"tail{k}") for k in range(30, 40))
-    assert set(cut) == ids and all(x.n_chars == len(x.text) for x in cut.values())
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def hashes_of(spark, texts):
+    texts = sorted({t or "" for t in texts})
+    return dict(map(tuple, spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.xxhash64("t")).collect()))
+
+
+def near_by_hand(spark, rows):
+    """Of each group of fingerprints within two bits the row with the smallest id, null last, then text hash."""
+    hashes, groups = hashes_of(spark, [r[1] for r in rows]), {}
+    for i, _, c in brute.components([(i, brute.simhash(r[1])) for i, r in enumerate(rows)]):
+        groups.setdefault(c, []).append(rows[i])
+    key = lambda r: (r[0] is None, r[0] or 0, hashes[r[1] or ""], *((v is not None, v or "") for v in (r[2], r[3])), r[4] or 0, r[1] is not None)
+    return [min(g, key=key) for g in groups.values()]
+
+
+def passages_by_hand(spark, rows, n=50):
+    """Words of runs of ``n`` that also start under a smaller id are cut; one text an id, null ids stay whole."""
+    hashes, least = hashes_of(spark, [r[1] for r in rows]), {}
+    for r in rows:
+        if r[0] is not None:
+            least[r[0]] = min(least.get(r[0], (2**63,)), (hashes[r[1] or ""],))
+    found, out = {}, []
+    part = [r[0] is not None and (hashes[r[1] or ""],) == least[r[0]] for r in rows]
+    words = [[(m.start(), m.end()) for m in re.finditer(rb"[^ \t-\r]+", (r[1] or "").encode())] for r in rows]
+
+    def windows(i):
+        data = (rows[i][1] or "").encode()
+        return [tuple(data[a:b] for a, b in words[i][j : j + n]) for j in range(len(words[i]) - n + 1)]
+
+    for i in range(len(rows)):
+        for w in windows(i) if part[i] else ():
+            found[w] = min(found.get(w, rows[i][0]), rows[i][0])
+    for i, r in enumerate(rows):
+        data = (r[1] or "").encode()
+        gone = bytearray(len(data))
+        for j, w in enumerate(windows(i) if part[i] else ()):
+            if found[w] < r[0]:
+                a, b = words[i][j][0], words[i][j + n - 1][1]
+                gone[a:b] = b"\1" * (b - a)
+        text = bytes(c for c, g in zip(data, gone, strict=True) if not g).decode()
+        out.append((r[0], text, r[2], r[3], len(text)))
+    return out
+
+
+def key(rows):
+    return sorted((tuple(map(str, r)) for r in rows))
+
+
+def test_stages_equal_plain_versions(spark, tables):
+    """Each stage on what its predecessor kept, over a whole table with repeated ids and nulls."""
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(*corpus_pipeline.COLUMNS).collect()]
+    passage = " ".join(f"p{i}" for i in range(70))
+    rows += [(90_000 + i, f"own {i} words a{i} b{i} c{i} {passage} tail {i}", "en", "s", 0) for i in range(5)]
+    rows += [(90_000, f"another text of that id {passage}", "en", "s", 1), (None, f"x {passage}", None, None, None), (90_010, None, None, None, None)]
+    rows += [rows[3], (rows[4][0], "a second text under an id that is there already", "de", "t", 7), (rows[5][0], rows[6][1], "de", "t", 7)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+
+    model = quality.fit_quality(docs, tables["labels"])
+    judged = quality.classify(docs, model, Workspace(spark)).select("doc_id", "text_hash", "reject").collect()
+    rejected = {(r.doc_id, r.text_hash) for r in judged if r.reject}
+    hashes = hashes_of(spark, [r[1] for r in rows])
+    kept = [r for r in rows if (r[0], hashes[r[1] or ""]) not in rejected]
+    sf = "/root/testdata/sf0.01"
+    assert key(corpus_pipeline.quality(spark, docs, sf).collect()) == key(kept)
+
+    single = near_by_hand(spark, kept)
+    assert key(corpus_pipeline.near_duplicates(spark, spark.createDataFrame(kept, SCHEMA), sf).collect()) == key(single)
+    cut = passages_by_hand(spark, single)
+    got = corpus_pipeline.repeated_passages(spark, spark.createDataFrame(single, SCHEMA), sf).collect()
+    assert key(got) == key(cut)
+    assert sum(passage in r.text for r in got) < 5
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    packed = corpus_pipeline.packing(spark, spark.createDataFrame(cut, SCHEMA), sf).collect()
+    sizes = [len(tokenizer.encode(r[1], add_special_tokens=False).ids) + 1 for r in cut]
+    assert sum(r.length for r in packed) == sum(sizes) and max(r.length for r in packed) <= 2048
+    assert len(packed) == sum(-(-n // 2048) for n in sizes)
+    assert len({r.sequence_id for r in packed}) <= -(-sum(sizes) // 2048) + 1
+
+
+def test_rows_that_the_pipeline_once_lost(spark):
+    """Another text under an id goes its own way, and rows with a null id do not depend on other rows' ids."""
+    x, y = (" ".join(f"{c}{i}" for i in range(30)) for c in "xy")
+    docs = lambda *rows: spark.createDataFrame([(*r, "en", "s", 0) for r in rows], SCHEMA)
+    stage = lambda d: sorted((str(r.doc_id), r.text) for r in corpus_pipeline.near_duplicates(spark, d, SF).collect())
+    assert stage(docs((1, x), (2, x), (2, y))) == [("1", x), ("2", y)]
+    assert stage(docs((None, x), (None, y))) == sorted([("None", x), ("None", y)])
+    assert stage(docs((None, x), (None, x), (None, y))) == sorted([("None", x), ("None", y)])
+    assert stage(docs((None, x), (None, x), (5, y), (5, y), (6, x))) == [("5", y), ("6", x)]
 
 
 def test_pipeline_runs(spark):

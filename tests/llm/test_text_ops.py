@@ -93,7 +93,7 @@ def test_empty_tables(spark):
     none = docs_of(spark, [])
     assert suffix_dedup.remove_repeats(none, Workspace(spark)).count() == 0
     assert simhash.near_duplicates(none, Workspace(spark)).count() == 0
-    assert simhash.near_copies(none, Workspace(spark)).count() == 0
+    assert simhash.one_of_each(none, Workspace(spark)).count() == 0
     assert packing.pack_documents(none, Workspace(spark), tokenizer=BYTE).count() == 0
     manifest, counts = token_files.write_token_files(none, Workspace(spark), tokenizer=WORD, vocabulary=49_408)
     assert token_files.read_token_files(manifest, counts).count() == 0
@@ -146,86 +146,17 @@ def test_components(spark):
         assert got[start] == min(seen)
 
 
-def test_near_copies(spark):
-    r = random.Random(11)
-    word = lambda: "".join(r.choices("abcdefghij", k=r.randint(2, 9)))
-    rows, truth = [], {}
-    for g in range(40):
-        base = [word() for _ in range(r.randint(60, 300))]
-        for c in range(r.randint(1, 6)):
-            words = list(base)
-            for _ in range(len(words) // 120 * c and 1):
-                words[r.randrange(len(words))] = word()
-            rows.append((len(rows), " ".join(words)))
-            truth[len(rows) - 1] = g
-    rows += [(1000, None), (1001, ""), (None, rows[0][1]), rows[0]]
-    got = {x.doc_id: x.component_id for x in simhash.near_copies(docs_of(spark, rows), Workspace(spark)).collect()}
-    first = {}
-    for d, g in truth.items():
-        first.setdefault(g, d)
-    assert all(got.get(d, d) == first[g] for d, g in truth.items())
-    assert got[1000] == got[1001] == 1000
-
-
-def near_by_hand(rows, similarity=0.8):
-    """doc_id: smallest doc_id of its group, by all pairs."""
-    sets = {}
-    for d, t in rows:
-        w = t.encode().lower().split()
-        sets[d] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-    root = {d: d for d in sets}
-    for a in sorted(sets):
-        for b in sorted(sets):
-            common = len(sets[a] & sets[b])
-            if a < b and common >= similarity * (len(sets[a]) + len(sets[b]) - common):
-                old, new = sorted((root[a], root[b]), reverse=True)
-                root = {d: new if r == old else r for d, r in root.items()}
-    return {d: r for d, r in root.items() if list(root.values()).count(r) > 1}
-
-
-def near_copies_of(spark, rows):
-    return {x.doc_id: x.component_id for x in simhash.near_copies(docs_of(spark, rows), Workspace(spark)).collect()}
-
-
-def test_near_copies_with_block_edits(spark):
-    r = random.Random(12)
-    word = lambda: "".join(r.choices("abcdefghij", k=r.randint(2, 9)))
-    rows = []
-    for k in range(80):
-        base = [word() for _ in range(r.randint(100, 400))]
-        block = [word() for _ in range(len(base) * r.randint(4, 24) // 100)]
-        at = r.choice([0, len(base), r.randrange(len(base))])
-        copy = base[:at] + block + base[at + (len(block) // 3 if k % 3 == 0 else 0) :]
-        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(copy))]
-    expected = near_by_hand(rows)
-    assert len(expected) > 100
-    assert near_copies_of(spark, rows) == expected
-
-
-def test_near_copies_beside_an_unlike_text_of_the_same_words(spark):
-    r = random.Random(13)
-    rows = []
-    for _ in range(10):
-        words = [f"w{r.randrange(10**6)}" for _ in range(120)]
-        x = [*words, "end"]
-        y = [x[-1], *x[:-1]]
-        z = r.sample(x, len(x))
-        rows += [(len(rows) + k, " ".join(t)) for k, t in enumerate((z, x, y))]
-    expected = near_by_hand(rows)
-    assert len(expected) == 20
-    assert near_copies_of(spark, rows) == expected
-
-
-def test_near_copies_among_template_texts(spark):
-    r = random.Random(14)
-    frame = [f"t{k}" for k in range(160)]
-    rows = []
-    for k in range(60):
-        text = list(frame)
-        at = r.randrange(len(text))
-        text[at : at + 20] = [f"v{r.randrange(4)}" for _ in range(r.randint(5, 45))]
-        rows.append((k, " ".join(text)))
-    assert near_copies_of(spark, rows) == near_by_hand(rows)
+def test_one_of_each(spark):
+    rows = mixed_rows(4) + [(2, "another text under the same id, of its own words"), (None, "no id here but words"), (None, "no id here but words")]
+    found = brute.components([(i, brute.simhash(t)) for i, (_, t) in enumerate(rows)])
+    groups = {}
+    for i, _, c in found:
+        groups.setdefault(c, []).append(rows[i])
+    hashes = {t: h for t, h in spark.createDataFrame([(t,) for t in {t or "" for _, t in rows}], "t string").select("t", F.xxhash64("t")).collect()}
+    key = lambda r: (r[0] is None, r[0] or 0, hashes[r[1] or ""])
+    expected = sorted((min(key(r) for r in g) for g in groups.values()))
+    got = simhash.one_of_each(docs_of(spark, rows), Workspace(spark)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text_hash) for r in got) == expected
 
 
 @pytest.mark.parametrize("path", [BYTE, WORD])
