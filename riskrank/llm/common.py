@@ -7,7 +7,7 @@ import os
 import re
 import time
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +28,11 @@ SPACE = r"\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 # Bytes of text handled at once where arrays of their size are made; a longer text is one part.
 PART = 1 << 20
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 400_000
 CACHE_CHARS = 48
-# A space, Latin letters that stay letters in lower case, and maybe a mark: pieces that can be encoded end to
-# end, since it is known where each begins (byte-level vocabularies) or how many word ends it has (the others).
-PLAIN = re.compile(" [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+[,.]?")
+# What most pieces are: maybe a space or a line end, Latin letters that stay letters in lower case, maybe a mark. The
+# letters, the mark and the line end are pre-tokens of their own, so each is encoded once for all pieces that hold it.
+SIMPLE = re.compile("([ \n]?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([,.]?)")
 JOINED = 500
 
 
@@ -81,7 +81,8 @@ class CachedEncoder:
 
     A text is cut before each run of white space. No pre-token of the two vocabularies reaches over such
     a cut, so the ids of the pieces, end to end, are the ids of the text; frequent pieces are encoded once.
-    The cache has two generations of ``CACHE_ENTRIES`` pieces; what the older one holds unused is dropped.
+    The cache has two generations of ``CACHE_ENTRIES`` pieces; what the older one holds unused is dropped. A text
+    that may hold one of the vocabulary's added tokens, such as its end of text, is encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -90,7 +91,6 @@ class CachedEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
@@ -98,62 +98,99 @@ class CachedEncoder:
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
         for p, i in vocabulary.items():
             self.edge[i] = p.endswith("</w>") if self.by_ends else p.startswith("\u0120")
+        added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(a[:1] != "<" for a in added):
+            raise ValueError("added tokens must begin with <")
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
+        self.marks = {m: self._single([m])[0] if m else b"" for m in ("", ",", ".")}
+        # Without its own piece, a line end is white space, which a vocabulary by word ends leaves out.
+        self.line_end = self._single(["\n"])[0]
 
     def _single(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _joined(self, pieces: list[str]) -> list[bytes]:
-        """Ids of ``PLAIN`` pieces from one text, cut apart where a piece begins or ends."""
-        if not pieces:
-            return []
-        text = "".join(pieces)
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        edges = np.flatnonzero(self.edge[ids])
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, maybe after a space, from joined texts, cut apart where a word begins or ends."""
         if self.by_ends:
-            words = np.cumsum([1 if p[-1].isalpha() else 2 for p in pieces])
-            if len(edges) != words[-1]:
-                return self._single(pieces)
-            cuts = [0, *(4 * (edges[words - 1] + 1)).tolist()]
+            text, first = " ".join(words), 0
+        elif words[0][0] == " ":
+            text, first = "".join(words), 0
         else:
-            if len(edges) != len(pieces):
-                return self._single(pieces)
-            cuts = [*(4 * edges).tolist(), 4 * len(ids)]
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-
-    def _find(self, missing: list[str]) -> dict[str, bytes]:
-        """Ids of pieces that the younger cache lacks; all but long ones are put there."""
-        older, cache, found = self.older, self.cache, {}
-        unseen = []
+            text, first = "\n" + "\n".join(words), 1
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        edge = ids == np.frombuffer(self.line_end, "<u4")[0] if first else self.edge[ids]
+        edges = np.flatnonzero(edge)
+        if len(edges) != len(words):
+            return self._single(words)
+        cuts = 4 * (np.append(0, edges + 1) if self.by_ends else np.append(edges, len(ids)))
+        cuts, raw = cuts.tolist(), ids.tobytes()
+        return [raw[a + 4 * first : b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _find(self, missing: set[str]) -> None:
+        """Put the ids of pieces that the younger cache lacks there."""
+        older, cache = self.older, self.cache
+        parts, spaced, bare, others = [], set(), set(), []
         for p in missing:
             ids = older.get(p)
-            if ids is None:
-                unseen.append(p)
+            if ids is not None:
+                cache[p] = ids
+            elif simple := SIMPLE.fullmatch(p):
+                lead, word, mark = simple.groups()
+                if lead == " " and not self.by_ends:
+                    word = p[: len(p) - len(mark)]
+                parts.append((p, lead == "\n", word, mark))
+                if word not in cache:
+                    ids = older.get(word)
+                    if ids is None:
+                        (spaced if word[0] == " " else bare).add(word)
+                    else:
+                        cache[word] = ids
             else:
-                found[p] = cache[p] = ids
-        plain = [p for p in unseen if PLAIN.fullmatch(p)]
-        others = [p for p in unseen if not PLAIN.fullmatch(p)]
-        for pieces, encode, step in ((plain, self._joined, JOINED), (others, self._single, 20_000)):
-            for i in range(0, len(pieces), step):
-                part = pieces[i : i + step]
-                for p, ids in zip(part, encode(part), strict=True):
-                    found[p] = ids
-                    if len(p) <= CACHE_CHARS:
-                        cache[p] = ids
-        return found
+                others.append(p)
+        for words in (list(spaced), list(bare)):
+            for i in range(0, len(words), JOINED):
+                part = words[i : i + JOINED]
+                cache.update(zip(part, self._words(part), strict=True))
+        for i in range(0, len(others), 20_000):
+            part = others[i : i + 20_000]
+            cache.update(zip(part, self._single(part), strict=True))
+        for p, after_line, word, mark in parts:
+            if p != word:
+                ids = cache[word]
+                cache[p] = (self.line_end if after_line else b"") + ids + self.marks[mark]
+
+    def encode_many(self, texts: Sequence[str | None]) -> list[bytes]:
+        """The ids of each text; what no cache holds is encoded for all of them together."""
+        cache, added = self.cache, self.added
+        whole = [bool(t) and "<" in t and added is not None and bool(added.search(t)) for t in texts]
+        pieces = [[] if w else CHUNK.findall(t or "") for t, w in zip(texts, whole, strict=True)]
+        missing = set().union(*pieces).difference(cache)
+        if missing:
+            self._find(missing)
+        out = [
+            self._single([t])[0] if w else b"".join(map(cache.__getitem__, p))
+            for t, w, p in zip(texts, whole, pieces, strict=True)
+        ]
+        for p in missing:
+            if len(p) > CACHE_CHARS:
+                del cache[p]
+        if len(cache) > CACHE_ENTRIES:
+            self.cache, self.older = {}, cache
+        return out
 
     def encode(self, text: str | None) -> bytes:
-        pieces = CHUNK.findall(text or "")
-        ids = list(map(self.cache.get, pieces))
-        if None in ids:
-            at = [i for i, x in enumerate(ids) if x is None]
-            found = self._find(list({pieces[i] for i in at}))
-            for i in at:
-                ids[i] = found[pieces[i]]
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache, self.older = {}, self.cache
-        return b"".join(ids)
+        return self.encode_many([text])[0]
+
+    def encode_column(self, column: pa.Array) -> Iterator[bytes]:
+        """The ids of each text of a column, some texts at a time."""
+        sizes = np.cumsum([x or 0 for x in pa.compute.binary_length(column).to_pylist()])
+        at = 0
+        while at < len(column):
+            before = int(sizes[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(sizes, before + (PART >> 2), "right")))
+            yield from self.encode_many(column.slice(at, stop - at).to_pylist())
+            at = stop
 
 
 _ENCODERS: dict[str, CachedEncoder] = {}

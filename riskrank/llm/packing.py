@@ -100,13 +100,13 @@ def tokenized_pieces(
     """Every document's ids and the end id, cut from the end into pieces of ``capacity``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode_column
         end = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [], [], [])
             held = 0
-            for i, t in enumerate(batch.column(1)):
-                ids, doc, row = encode(t.as_py()) + end, batch.column(0)[i].as_py(), batch.column(2)[i].as_py()
+            for ids, doc, row in zip(encode(batch.column(1)), *(batch.column(i).to_pylist() for i in (0, 2)), strict=True):
+                ids += end
                 n = len(ids) // 4
                 at, piece = 0, 0
                 while at < n:

@@ -157,12 +157,12 @@ def tokenize(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int, id:
     width = np.dtype(kind).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer).encode, np.asarray([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer).encode_column, np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             step = 256  # rows held at once
             for i in range(0, len(batch), step):
                 part = batch.slice(i, step)
-                wide = [np.frombuffer(encode(t.as_py()) + end, "<u4") for t in part.column(1)]
+                wide = [np.frombuffer(ids + end, "<u4") for ids in encode(part.column(1))]
                 if max(int(x.max()) for x in wide) >= vocabulary:
                     raise ValueError(f"an id is beyond the vocabulary of {vocabulary}")
                 ids = [x.astype(kind).tobytes() for x in wide]

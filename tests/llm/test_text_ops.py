@@ -162,7 +162,6 @@ def test_one_of_each(spark):
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_encoder_equals_whole_texts(path):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     r = random.Random(4)
     texts = [*ODD, *("".join(r.choices("ab'sé \t\n\r\x0b\x85\xa0 　​\x1c9!́", k=r.randint(0, 60))) for _ in range(3000))]
     for t in texts:
@@ -174,7 +173,6 @@ def test_encoder_equals_whole_texts(path):
 def test_encoder_of_many_new_words(path):
     """Words of every Latin letter, in one text, so that they are encoded end to end and cut apart."""
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     r = random.Random(9)
     letters = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x250))]
     words = ["".join(r.choices(letters, k=r.randint(1, 12))) + r.choice(["", "", ",", ".", ";", "..", "'s"]) for _ in range(4000)]
@@ -187,7 +185,6 @@ def test_packing(spark):
     rows = mixed_rows(6) + [(500, "word " * 5000)]
     got = packing.pack_documents(docs_of(spark, rows), Workspace(spark), tokenizer=BYTE, capacity=256, keep_ids=True).collect()
     tokenizer = Tokenizer.from_file(BYTE)
-    tokenizer.encode_special_tokens = True
     by_doc = {}
     for p in got:
         by_doc.setdefault(p.doc_id, []).append(p)
@@ -237,7 +234,6 @@ def test_token_files(spark):
     assert manifest.count() > 8
     got = token_files.read_token_files(manifest, counts, with_ids=True).collect()
     tokenizer = Tokenizer.from_file(WORD)
-    tokenizer.encode_special_tokens = True
     expected = sorted(((d is not None, d or 0), brute.ids_of(tokenizer, t, 1)) for d, t in rows)
     got = sorted(got, key=lambda r: r.start)
     assert sorted(((r.doc_id is not None, r.doc_id or 0), np.frombuffer(r.ids, "<u4").tolist()) for r in got) == expected
