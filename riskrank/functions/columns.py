@@ -87,16 +87,25 @@ def checked_label(label: str) -> Column:
     return _or_fail(column.isin(0, 1), column.cast("bigint"), f"{label}: labels must be 0 or 1")
 
 
-def checked_score(score: str) -> Column:
+def checked_score(df: DataFrame, score: str) -> Column:
     """The score as double; a null or NaN score has no rank and fails the query.
 
-    So does a whole or decimal number that a double cannot hold, as its rank could be wrong.
+    So does a whole or decimal number that a double cannot hold, as its rank could be wrong. Fractions and ints
+    always fit, so they are not compared.
     """
-    column = F.col(score).cast("double")
-    wide = "decimal(38,9)"
-    exact = F.coalesce(F.col(score).try_cast(wide) == column.try_cast(wide), F.lit(True))
-    ok = column.isNotNull() & ~F.isnan(column)
-    return _or_fail(ok & exact, column, f"{score}: scores must not be null or NaN, nor beyond the precision of a double")
+    own, kind = F.col(score), df.schema[score].dataType
+    column = own.cast("double")
+    ok = column.isNotNull()
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        ok = ok & ~F.isnan(column)
+    elif isinstance(kind, T.LongType):
+        # The largest bigints become 2^63, which is cast back to the largest one.
+        ok = ok & (column < F.lit(float(2**63))) & (column.cast("bigint") == own)
+    elif isinstance(kind, T.DecimalType):
+        ok = ok & F.coalesce(column.try_cast(kind) == own, F.lit(False))
+    elif not isinstance(kind, T.IntegralType):
+        ok = ok & ~F.isnan(column)
+    return _or_fail(ok, column, f"{score}: scores must not be null or NaN, nor beyond the precision of a double")
 
 
 def checked_id(name: str) -> Column:

@@ -4,12 +4,15 @@ A ``Layout`` holds fixed cut points of a sort order. The bucket of a row is a de
 expression of its sort keys, so separate passes agree on it with nothing materialised in between,
 and a lost executor simply recomputes the same buckets. Running totals then take
 
-1. one pass that adds up every bucket (map-side combined, one small row per bucket), and
-2. one shuffle that sends each bucket to its own task, where a window adds up locally.
+1. one pass that counts the rows and picks one of each of ``SLOTS`` hash slots for the cut points,
+2. one pass that adds up every bucket (map-side combined, one small row per bucket), and
+3. one shuffle that sends each bucket to its own task, headed by a row that holds the totals of all
+   earlier buckets, where a window adds up locally.
 
 Cut points are tuples of *all* sort keys, the unique last one included, so a score shared by a
 third of the rows is divided by id like anything else. Where the cut points fall changes only the
-balance of the tasks, never the result.
+balance of the tasks, never the result. Where one level of cut points would leave buckets too large,
+each bucket is divided again by cut points of its own, which are a table and never on the driver.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import accumulate
 
 from pyspark.ml.feature import Bucketizer
@@ -26,13 +29,21 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Buckets aim at ROWS_PER_BUCKET rows each, at every size, until their number reaches MAX_BUCKETS.
+from riskrank.sources.workspace import Workspace
+
+# Buckets aim at ROWS_PER_BUCKET rows each, at every size.
 MIN_BUCKETS = 4
-ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 8192
-SAMPLES_PER_BUCKET = 60
+ROWS_PER_BUCKET = 1_000_000
+# Rows that one pass over a table picks for cut points, and how many of them stand for a bucket.
+SLOTS = 8192
+SAMPLES_PER_BUCKET = 16
+# Buckets of one level of cut points, those that each of them is divided into, and tasks of a shuffle.
+MAX_COARSE = SLOTS // SAMPLES_PER_BUCKET
+MAX_FINE = 4096
+MAX_TASKS = 8192
 BUCKET = "__bucket"
 SLOT = "__slot"
+TASK = "__task"
 _VALUE, _INTERVAL, _HOT = "__value", "__interval", "__hot"
 
 
@@ -56,33 +67,52 @@ def as_key(key: Key | str) -> Key:
 
 @dataclass(frozen=True)
 class Layout:
-    """Cut points dividing a sort order into contiguous buckets; no cut points mean one bucket."""
+    """Cut points dividing a sort order into contiguous buckets; no cut points mean one bucket.
+
+    ``fine`` divides the buckets of ``cuts`` further: a table with a row for each of them, bucket, base (its
+    first bucket in the finer count) and cuts (an ordered array of structs of the keys); ``total`` finer buckets.
+
+    A faster search may place a row that is tied with a hot score and next to a cut point on the other side of it, always the
+    same one. With ``exact`` it does not, so that a cut point divides the rows alike in all layouts that hold it.
+    """
 
     keys: tuple[Key, ...]
     cuts: tuple[tuple, ...] = ()
     types: tuple[T.DataType, ...] = ()
     nullable: bool = False
+    fine: DataFrame | None = None
+    total: int = 0
+    exact: bool = False
 
     @property
     def buckets(self) -> int:
-        return len(self.cuts) + 1
+        return len(self.cuts) + 1 if self.fine is None else self.total
 
     def ordering(self) -> list[Column]:
         return [k.ordering() for k in self.keys]
 
-    def leading(self, n: int) -> Layout:
-        """The layout of the first ``n`` keys alone; cut points that fall together are merged."""
-        cuts = tuple(dict.fromkeys(c[:n] for c in self.cuts))
-        return Layout(self.keys[:n], cuts, self.types[:n], self.nullable)
-
     def place(self, df: DataFrame) -> DataFrame:
         """Add the bucket of each row: the number of cut points at or before it in the order."""
+        if self.fine is None:
+            return self._place_coarse(df)
+        coarse = self._place_coarse(df)
+        fine = self.fine.select(F.col("bucket").alias(BUCKET), F.col("base").alias("__base"), F.col("cuts").alias("__cuts"))
+        cut = F.col("__cuts")
+        inside = self._search(
+            F.size(cut), MAX_FINE, lambda i, n: F.get(cut, i).getField(f"k{n}")
+        )
+        joined = coarse.join(fine, BUCKET, "left")
+        return joined.select(*df.columns, (F.coalesce("__base", F.lit(0)) + F.coalesce(inside, F.lit(0))).alias(BUCKET))
+
+    def _place_coarse(self, df: DataFrame) -> DataFrame:
         if not self.cuts:
             return df.withColumn(BUCKET, F.lit(0))
         if self._is_ranking():
             return self._place_by_score(df)
+        arrays = [_literal_array([cut[i] for cut in self.cuts], kind) for i, kind in enumerate(self.types)]
+        found = self._search(F.lit(len(self.cuts)), len(self.cuts), lambda i, n: F.get(arrays[n], i))
         # Never null; saying so keeps joins from adding a second evaluation as a null filter.
-        return df.withColumn(BUCKET, F.coalesce(self._search(), F.lit(0)))
+        return df.withColumn(BUCKET, F.coalesce(found, F.lit(0)))
 
     def _is_ranking(self) -> bool:
         score, *rest = self.keys
@@ -118,24 +148,23 @@ class Layout:
             id, kind = F.col(self.keys[1].name), self.types[1]
             within = (_at(_INTERVAL, [g[0] if g else None for g in groups], kind) <= id).cast("int")
             if len(ids_at) < len(self.cuts):
-                placed, hot = _search_hot_ids(placed, groups, tied, id, kind)
+                placed, hot = _search_hot_ids(placed, groups, tied, id, kind, self.exact)
                 within = F.coalesce(hot, within)
         bucket = _at(_INTERVAL, above, T.IntegerType()) + F.when(tied, within).otherwise(F.lit(0))
         return placed.select(*df.columns, F.coalesce(bucket, F.lit(0)).alias(BUCKET))
 
-    def _search(self) -> Column:
-        """The general case: a binary search over literal arrays, comparing key by key."""
-        arrays = [_literal_array([cut[i] for cut in self.cuts], kind) for i, kind in enumerate(self.types)]
+    def _search(self, length: Column, at_most: int, cut_key) -> Column:
+        """Cut points at or before the row, of ``length``; ``cut_key(i, n)`` is the n-th key of the i-th one."""
 
         def at_or_before(i: Column) -> Column:
             result = None
             for n in reversed(range(len(self.keys))):
-                cut, value = F.get(arrays[n], i), F.col(self.keys[n].name)
+                cut, value = cut_key(i, n), F.col(self.keys[n].name)
                 before, same = self._compare(cut, value, self.keys[n].descending)
                 result = before | same if result is None else before | (same & result)
-            return (i < len(self.cuts)) & result
+            return (i < length) & result
 
-        return _binary_search(F.lit(0), len(self.cuts), at_or_before)
+        return _binary_search(F.lit(0), at_most, at_or_before)
 
     def _compare(self, cut: Column, value: Column, descending: bool) -> tuple[Column, Column]:
         before = cut > value if descending else cut < value
@@ -178,7 +207,7 @@ def _count_splits(df: DataFrame, value: Column, splits: Sequence[float], output:
 
 
 def _search_hot_ids(
-    df: DataFrame, groups: Sequence[list], tied: Column, id: Column, kind: T.DataType
+    df: DataFrame, groups: Sequence[list], tied: Column, id: Column, kind: T.DataType, exact: bool
 ) -> tuple[DataFrame, Column]:
     """For rows tied with a hot score: how many of its cut points have an id up to the row's.
 
@@ -186,7 +215,7 @@ def _search_hot_ids(
     """
     hot = [g if len(g) > 1 else [] for g in groups]
     slots = [n - 1 if g else None for g, n in zip(hot, accumulate(1 if g else 0 for g in hot))]
-    if not isinstance(kind, T.NumericType):
+    if exact or not isinstance(kind, T.NumericType):
         ends = list(accumulate(len(g) for g in hot))
         ids = _literal_array([v for g in hot for v in g], kind)
         start = _at(_INTERVAL, [e - len(g) for e, g in zip(ends, hot)], T.IntegerType())
@@ -215,8 +244,40 @@ def _search_hot_ids(
     return placed, _at(_HOT, counts, T.IntegerType())
 
 
-def choose_buckets(rows: int) -> int:
-    return min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(rows / ROWS_PER_BUCKET)))
+def choose_buckets(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    return max(MIN_BUCKETS, math.ceil(rows / rows_per_bucket))
+
+
+def survey(placed: DataFrame, layout: Layout, measures: Sequence[str] = (), slots: int = SLOTS) -> list:
+    """One pass over rows that ``layout`` has placed: for each bucket and slot, rows, sums and a row's keys, in order.
+
+    A slot is a part of the rows by a hash of their keys, and the row with the least hash stands for it, so that
+    the keys are a sample of each bucket. All is combined before it is shuffled; some ``slots`` rows reach the driver.
+    Columns: the bucket, n, ``sum_<measure>``, ``k<i>`` (a key) and ``nulls`` (of keys).
+    """
+    names = [k.name for k in layout.keys]
+    # Keys that differ in their bits only, as zeros do, need not fall in one slot.
+    code = F.xxhash64(*names)
+    each = max(1, slots // layout.buckets)
+    nulls = sum((F.col(n).isNull().cast("int") for n in names), F.lit(0))
+    grouped = placed.withColumn("__code", code).groupBy(BUCKET, F.pmod("__code", F.lit(each)).alias(SLOT))
+    summed = grouped.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(m).alias(f"sum_{m}") for m in measures],
+        *[F.min_by(k, "__code").alias(f"k{i}") for i, k in enumerate(names)],
+        F.sum(nulls).alias("nulls"),
+    )
+    order = [F.desc(f"k{i}") if k.descending else F.asc(f"k{i}") for i, k in enumerate(layout.keys)]
+    return summed.repartition(1).sortWithinPartitions(BUCKET, *order).collect()
+
+
+def keys_of(row, layout: Layout) -> tuple:
+    return tuple(row[f"k{i}"] for i in range(len(layout.keys)))
+
+
+def distinct_cuts(cuts: Sequence[tuple]) -> tuple[tuple, ...]:
+    """Ordered cut points without repeats."""
+    return tuple(c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1])
 
 
 def plan_layout(
@@ -225,84 +286,116 @@ def plan_layout(
     *,
     num_buckets: int | None = None,
     nullable: bool | None = None,
-    rows: int | None = None,
-    seed: int = 17,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    workspace: Workspace | None = None,
 ) -> Layout:
-    """Choose cut points for sorting ``df`` by ``keys``.
+    """Choose cut points for sorting ``df`` by ``keys``, in one pass.
 
-    The row count decides the number of buckets unless ``num_buckets`` is given. One pass draws a sample of bounded size
-    (about ``SAMPLES_PER_BUCKET`` rows per bucket), Spark sorts it, and only the cut points
-    themselves, at most ``MAX_BUCKETS``, reach the driver.
+    The row count decides the number of buckets unless ``num_buckets`` is given. Up to ``MAX_COARSE`` buckets have
+    their cut points on the driver. More are found by a second pass that samples every one of those and writes the cut
+    points that divide it to the ``workspace``.
 
     ``nullable=False`` states that no key holds a null, which makes the bucket search cheaper; with
-    None the pass that counts the rows finds out.
+    None the pass finds out.
     """
     keys = tuple(as_key(k) for k in keys)
     types = tuple(df.schema[k.name].dataType for k in keys)
-    if num_buckets is not None and not 1 <= num_buckets <= MAX_BUCKETS:
-        raise ValueError(f"num_buckets must lie between 1 and {MAX_BUCKETS}")
+    if num_buckets is not None and not 1 <= num_buckets <= MAX_COARSE * MAX_FINE:
+        raise ValueError(f"num_buckets must lie between 1 and {MAX_COARSE * MAX_FINE}")
     if num_buckets == 1:
         return Layout(keys, (), types)
     columns = df.select(*[k.name for k in keys])
-    if nullable is None:
-        filled = columns.agg(F.count(F.lit(1)), *[F.count(k.name) for k in keys]).head()
-        rows, nullable = filled[0], min(filled) < filled[0]
-    elif rows is None:
-        rows = columns.count()
-    buckets = num_buckets or choose_buckets(rows)
-    if buckets == 1 or rows == 0:
+    whole = Layout(keys, (), types)
+    found = survey(whole.place(columns), whole)
+    rows = sum(r.n for r in found)
+    nullable = any(r.nulls for r in found) if nullable is None else nullable
+    if not rows:
         return Layout(keys, (), types)
-
-    wanted = buckets * SAMPLES_PER_BUCKET
-    sampled = columns if rows <= wanted else columns.sample(wanted / rows, seed=seed)
-    stride = max(1, min(rows, wanted) // buckets)
-    ordering = [k.ordering() for k in keys]
-    cuts = (
-        sampled.withColumn("__n", F.row_number().over(W.orderBy(*ordering)))
-        .where(F.col("__n") % stride == 0)
-        .orderBy("__n")
-        .drop("__n")
-        .limit(buckets - 1)
-        .collect()
+    buckets = num_buckets or choose_buckets(rows, rows_per_bucket)
+    coarse = min(buckets, MAX_COARSE)
+    cuts = distinct_cuts([keys_of(found[i * len(found) // coarse], whole) for i in range(1, coarse)])
+    layout = Layout(keys, cuts, types, nullable)
+    if buckets <= MAX_COARSE:
+        return layout
+    return _divided(columns, layout, rows, rows / buckets, workspace or Workspace(df.sparkSession))
+
+
+def _divided(columns: DataFrame, layout: Layout, rows: int, target: float, ws: Workspace) -> Layout:
+    """``layout`` with each bucket divided into as many as bring it to ``target`` rows, by a sample of its own."""
+    share = min(1.0, SAMPLES_PER_BUCKET / target)
+    names = [k.name for k in layout.keys]
+    sampled = columns if share == 1 else columns.where(F.pmod(F.xxhash64(*names), F.lit(1 << 30)) < int(share * (1 << 30)))
+    own = W.partitionBy(BUCKET)
+    numbered = layout.place(sampled).select(
+        BUCKET,
+        F.struct(*[F.col(n).alias(f"k{i}") for i, n in enumerate(names)]).alias("cut"),
+        F.row_number().over(own.orderBy(*layout.ordering())).alias("n"),
+        F.count(F.lit(1)).over(own).alias("rows"),
     )
-    return Layout(keys, tuple(dict.fromkeys(tuple(c) for c in cuts)), types, nullable)
+    parts = F.least(F.lit(MAX_FINE), F.ceil(F.col("rows") / F.lit(share * target))).cast("long")
+    first_of_part = (F.col("n") - 1) * F.col("parts") % F.col("rows") < F.col("parts")
+    cut_points = (
+        numbered.withColumn("parts", parts)
+        .where(first_of_part & (F.col("n") > 1) | (F.col("n") == 1))
+        .groupBy(BUCKET)
+        .agg(
+            F.max("parts").alias("parts"),
+            F.transform(F.sort_array(F.collect_list(F.when(F.col("n") > 1, F.struct("n", "cut")))), lambda x: x["cut"]).alias("cuts"),
+        )
+    )
+    # One row for each coarse bucket, those without a sampled row too: the running count is a small window.
+    every = columns.sparkSession.range(layout.buckets).select(F.col("id").cast("int").alias(BUCKET))
+    parts = F.coalesce("parts", F.lit(1))
+    before = W.orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
+    fine = every.join(cut_points, BUCKET, "left").select(
+        F.col(BUCKET).alias("bucket"), F.coalesce(F.sum(parts).over(before), F.lit(0)).alias("base"), "cuts", parts.alias("parts")
+    )
+    kept = ws.keep(fine, "cut_points")
+    return replace(layout, fine=kept, total=int(kept.agg(F.sum("parts")).first()[0]))
 
 
-def bucket_starts(keyed: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """Per bucket: its own totals, the totals of all earlier buckets and those of the whole table.
+def bucket_starts(keyed: DataFrame, layout: Layout, measures: Sequence[str]) -> DataFrame:
+    """Per bucket: ``__start_rows`` and ``__start_<m>``, the totals of all earlier ones, and ``total_<m>`` of the table.
 
-    At most ``MAX_BUCKETS`` rows whatever the size of ``keyed``, hence safe to broadcast and to
-    pass through one task.
+    Prefix sums in two levels: over groups of ``MAX_TASKS`` buckets, then within each group.
     """
-    sums = keyed.groupBy(BUCKET).agg(
-        F.count(F.lit(1)).alias("__rows"), *[F.sum(m).alias(f"__own_{m}") for m in measures]
+    names = ["rows", *measures]
+    sums = keyed.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("__rows"), *[F.sum(m).alias(f"__{m}") for m in measures])
+    group = F.floor(F.col(BUCKET) / MAX_TASKS)
+
+    def earlier(window, m: str, label: str) -> Column:
+        return F.coalesce(F.sum(f"__{m}").over(window.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias(label)
+
+    if layout.buckets <= MAX_TASKS:
+        in_order, everything = W.orderBy(BUCKET), W.orderBy(BUCKET).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+        return sums.select(
+            BUCKET,
+            *[earlier(in_order, m, f"__start_{m}") for m in names],
+            *[F.sum(f"__{m}").over(everything).alias(f"total_{m}") for m in measures],
+        )
+    sums = sums.withColumn("__group", group)
+    groups = sums.groupBy("__group").agg(*[F.sum(f"__{m}").alias(f"__{m}") for m in names])
+    in_order = W.orderBy("__group")
+    everything = in_order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    heads = groups.select(
+        "__group",
+        *[earlier(in_order, m, f"__head_{m}") for m in names],
+        *[F.sum(f"__{m}").over(everything).alias(f"total_{m}") for m in measures],
     )
-    earlier = W.orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
-    everything = W.orderBy(BUCKET).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    return sums.select(
+    inside = W.partitionBy("__group").orderBy(BUCKET)
+    local = sums.select("__group", BUCKET, *[earlier(inside, m, f"__local_{m}") for m in names])
+    return local.join(heads, "__group").select(
         BUCKET,
-        F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__start_rows"),
-        *[F.col(f"__own_{m}") for m in measures],
-        *[F.coalesce(F.sum(f"__own_{m}").over(earlier), F.lit(0)).alias(f"__start_{m}") for m in measures],
-        *[F.sum(f"__own_{m}").over(everything).alias(f"total_{m}") for m in measures],
-    )
-
-
-def within_buckets(keyed: DataFrame, layout: Layout, measures: Sequence[str], by: str = BUCKET) -> DataFrame:
-    """Add position and running totals counted from the start of each bucket."""
-    local = W.partitionBy(by).orderBy(*layout.ordering())
-    upto = local.rowsBetween(W.unboundedPreceding, W.currentRow)
-    return keyed.select(
-        "*",
-        (F.row_number().over(local) - 1).cast("bigint").alias("idx"),
-        *[F.sum(m).over(upto).alias(f"cum_{m}") for m in measures],
+        *[(F.col(f"__head_{m}") + F.col(f"__local_{m}")).alias(f"__start_{m}") for m in names],
+        *[f"total_{m}" for m in measures],
     )
 
 
 def running_totals(df: DataFrame, layout: Layout, measures: Mapping[str, Column] | None = None) -> DataFrame:
     """Add ``idx`` (0-based position) and, per measure ``m``, columns ``m``, ``cum_m`` and ``total_m``.
 
-    Measures must be whole numbers, so that adding bucket starts to local sums is exact.
+    Measures must be whole numbers. Every bucket is headed by a row that holds the totals of all earlier ones, so
+    that the window adds up from there, and nothing that grows with the table is broadcast.
     """
     measures = dict(measures or {})
     names = list(measures)
@@ -310,25 +403,32 @@ def running_totals(df: DataFrame, layout: Layout, measures: Mapping[str, Column]
     if clash := sorted(c for c in df.columns if c in added or c.startswith("__")):
         raise ValueError(f"rename the columns {clash}: their names are those of added or inner columns")
     keyed = df.withColumns(measures) if measures else df
-    if layout.buckets == 1:
-        # One bucket is asked for, or there are no two rows to cut between: a single window will do.
-        everything = W.orderBy(*layout.ordering()).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-        one = keyed.withColumn(BUCKET, F.lit(0))
-        totals = [F.sum(m).over(everything).alias(f"total_{m}") for m in names]
-        return within_buckets(one, layout, names).select("*", *totals).drop(BUCKET)
-
+    columns = [*df.columns, *[n for n in names if n not in df.columns]]
     keyed = layout.place(keyed)
-    placed = keyed.repartitionById(layout.buckets, F.col(BUCKET))
-    local = within_buckets(placed, layout, names)
-    # A left join: every bucket has its start row, and no null filter is pushed below the shuffle.
-    joined = local.join(F.broadcast(bucket_starts(keyed, names)), BUCKET, "left")
-    return joined.select(
-        *df.columns,
-        *[n for n in names if n not in df.columns],
-        (F.col("__start_rows") + F.col("idx")).alias("idx"),
-        *[(F.col(f"__start_{m}") + F.col(f"cum_{m}")).alias(f"cum_{m}") for m in names],
+    starts = bucket_starts(keyed, layout, names)
+    heads = starts.select(
+        BUCKET,
+        F.lit(False).alias("__is_row"),
+        F.col("__start_rows").alias("__n"),
+        *[F.col(f"__start_{m}").alias(f"__sum_{m}") for m in names],
         *[f"total_{m}" for m in names],
     )
+    rows = keyed.select(
+        *columns, BUCKET, F.lit(True).alias("__is_row"), F.lit(1).cast("long").alias("__n"), *[F.col(m).alias(f"__sum_{m}") for m in names]
+    )
+    # A task has one bucket, or a run of them.
+    tasks = min(layout.buckets, MAX_TASKS)
+    task = F.floor(F.col(BUCKET) / -(-layout.buckets // tasks)).cast("int")
+    both = rows.unionByName(heads, allowMissingColumns=True).withColumn(TASK, task).repartitionById(tasks, F.col(TASK))
+    local = W.partitionBy(TASK, BUCKET).orderBy("__is_row", *layout.ordering()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    summed = both.select(
+        *columns,
+        "__is_row",
+        (F.sum("__n").over(local) - 1).alias("idx"),
+        *[F.sum(f"__sum_{m}").over(local).alias(f"cum_{m}") for m in names],
+        *[F.max(f"total_{m}").over(local).alias(f"total_{m}") for m in names],
+    )
+    return summed.where("__is_row").drop("__is_row")
 
 
 def sort_by_key(

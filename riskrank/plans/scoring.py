@@ -192,13 +192,13 @@ def ranking_report(
     """
     workspace = workspace or Workspace(scored.sparkSession)
     kept = workspace.keep(scored, "scored")
-    layout = rank_layout(kept, num_buckets=num_buckets)
+    layout = rank_layout(kept, num_buckets=num_buckets, workspace=workspace)
     weights = {"bad_weight": bad_weight, "good_weight": good_weight}
     return RankingReport(
         scored=kept,
         gains=gains_table(kept, layout=layout, **weights),
         rates=tdr_at(kept, cutoffs=cutoffs, layout=layout, **weights),
-        auc=auc_roc(kept, layout=layout),
+        auc=auc_roc(kept, workspace=workspace),
         error=error_rate(kept),
         model=model,
     )
