@@ -4,6 +4,7 @@ import random
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskrank.operators import (
@@ -20,6 +21,7 @@ from riskrank.operators import (
     tdr_at,
     unseen_to_mode,
 )
+from riskrank.operators.metrics import roc_pairs
 from riskrank.operators.ordering import BUCKET, choose_buckets
 
 SCHEMA = "id bigint, score double, label int"
@@ -223,3 +225,135 @@ def test_distributed_dictionary_with_unknown_levels(spark, skewed):
         index_apply(other.where("level is not null"), wide).collect()
     with pytest.raises(Exception, match="null has no index"):
         index_apply(other.where("level is null"), wide).collect()
+
+
+# --- sizes beyond one level of cut points -----------------------------------------------------------
+
+
+def test_more_buckets_than_cut_points_on_the_driver(spark):
+    """100,000 rows in buckets of 8: over 8192 of them, none over its target, and the ranking is right."""
+    rows, target = 100_000, 8
+    df = spark.range(rows).select(
+        F.pmod(F.xxhash64("id"), F.lit(10**9)).alias("id"),
+        F.when(F.col("id") % 3 == 0, F.lit(0.5)).otherwise(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(5000)) / 5000.0).alias("score"),
+        F.pmod(F.xxhash64("id", F.lit(2)), F.lit(2)).alias("label"),
+    )
+    layout = plan_layout(df, ["-score", "id"], rows_per_bucket=target, nullable=False)
+    assert layout.buckets > 8192 and layout.fine is not None and len(layout.cuts) < 600
+    sizes = layout.place(df).groupBy(BUCKET).count()
+    most, n = sizes.agg(F.max("count"), F.count("*")).first()
+    assert most <= target and n > 8192
+    order = "row_number() over (order by score desc, id) - 1 as place"
+    ranked = score_rank(df, layout=layout).select("id", "idx", F.expr("row_number() over (order by idx) - 1 as row"))
+    right = df.select("id", F.expr(order)).join(ranked, "id").where("place = idx and idx = row").count()
+    assert right == rows
+    gains = gains_table(df, layout=layout)
+    whole = gains_table(df, num_buckets=1)
+    assert gains.exceptAll(whole).count() == 0 and gains.count() == rows
+
+
+def test_sort_with_nulls_in_many_buckets(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.choice([None, 1, 2, 3]), rng.choice([None, "a", "b", "é"])) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id int, x int, y string").repartition(4)
+    layout = plan_layout(df, ["-x", "y", "id"], rows_per_bucket=5)
+    assert layout.fine is not None and layout.nullable and layout.buckets > 512
+    got = sort_by_key(df, ["-x", "y", "id"], layout=layout).orderBy("idx").collect()
+    expected = df.orderBy(F.desc("x"), F.asc("y"), F.asc("id")).collect()
+    assert [tuple(r) for r in got] == [(*r, i) for i, r in enumerate(expected)]
+
+
+def test_many_buckets_of_a_large_sample(spark):
+    """Where the second level is a sample, buckets are near their target, and every row has its place."""
+    df = spark.range(300_000).select(F.xxhash64("id").alias("x"))
+    layout = plan_layout(df, ["x"], rows_per_bucket=200, nullable=False)
+    assert layout.buckets > 1000 and layout.fine is not None
+    sizes = [r["count"] for r in layout.place(df).groupBy(BUCKET).count().collect()]
+    assert sum(sizes) == 300_000 and max(sizes) < 5 * 200
+    out = sort_by_key(df, ["x"], layout=layout)
+    assert out.select(F.expr("x - lag(x) over (order by idx) <= 0 as wrong"), "idx").where("wrong").count() == 0
+    assert out.agg(F.min("idx"), F.max("idx"), F.count_distinct("idx")).first()[:] == (0, 299_999, 300_000)
+
+
+def test_selection_in_rounds(spark, monkeypatch):
+    """Rounds narrow the ranking down to few rows, by one pass each; the rates are those of the whole table."""
+    from riskrank.operators import gains as module
+
+    df = spark.range(200_000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, F.lit(0.5)).otherwise(F.pmod(F.xxhash64("id"), F.lit(10**6)) / 1e6).alias("score"),
+        (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(10)) == 0).cast("int").alias("label"),
+    )
+    passes = []
+    monkeypatch.setattr(module, "survey", lambda *a, f=module.survey: passes.append(1) or f(*a))
+    want = sorted(map(tuple, tdr_at(df).collect()))
+    assert len(passes) == 1
+    for few in (5000, 100, 1):
+        passes.clear()
+        assert sorted(map(tuple, tdr_at(df, few_rows=few).collect())) == want
+        assert 2 <= len(passes) <= 5
+    # The same rows from the whole gains table.
+    table = gains_table(df).select("idx", "cum_total_norm", "cum_bad", F.lag("cum_total_norm").over(W.orderBy("idx")).alias("before"))
+    bads = df.agg(F.sum("label")).first()[0]
+    for p, idx, rate in want:
+        hit = table.where((F.col("cum_total_norm") >= p) & (F.col("before") <= p)).agg(F.max("idx")).first()[0] or 0
+        assert idx == hit and rate == table.where(F.col("idx") == idx).first().cum_bad / bads
+
+
+def test_scans_of_a_gains_table(spark, tmp_path):
+    """One pass for the cut points, one for the totals, one for the table."""
+    path = str(tmp_path / "scores")
+    spark.range(20_000).select("id", F.rand(5).alias("score"), (F.col("id") % 2).alias("label")).write.parquet(path)
+    df = spark.read.parquet(path)
+    plan = gains_table(df, layout=rank_layout(df))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+
+
+def test_roc_area_on_few_hot_scores(spark):
+    """99 % of the rows on three scores: distinct scores are divided evenly all the same."""
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 100 == 0, F.col("id") / 60_000).otherwise(F.col("id") % 3 / 4.0).alias("score"),
+        (F.pmod(F.xxhash64("id"), F.lit(7)) == 0).cast("int").alias("label"),
+    )
+    per_score = df.groupBy("score").agg(F.sum("label").alias("pos"), (F.count("*") - F.sum("label")).alias("neg"))
+    layout = plan_layout(per_score, ["-score"], num_buckets=8, nullable=False)
+    sizes = [r["count"] for r in layout.place(per_score).groupBy(BUCKET).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+    assert auc_roc(df, num_buckets=8).head().auc == pytest.approx(evaluator.evaluate(df), abs=1e-12)
+
+
+def test_pairs_beyond_a_double(spark):
+    rng = random.Random(8)
+    rows = [(float(s), rng.randrange(10**12), rng.randrange(10**12)) for s in range(200)]
+    wins = below = 0
+    for _, pos, neg in rows:
+        wins += pos * (2 * below + neg)
+        below += neg
+    pairs = 2 * below * sum(r[1] for r in rows)
+    assert pairs > 2**90
+    df = spark.createDataFrame(rows, "score double, pos long, neg long").repartition(3)
+    for n in (None, 1, 9):
+        got = roc_pairs(df, num_buckets=n).head()
+        assert (int(got.pairs), int(got.wins)) == (pairs, wins)
+    none = roc_pairs(df.where("false")).head()
+    assert none.pairs is None and none.wins is None
+
+
+def test_scores_by_type(spark):
+    """Whole and decimal scores rank by their own value, or are refused."""
+
+    def ranked(kind, *values):
+        df = spark.createDataFrame([(i, str(v)) for i, v in enumerate(values)], "id long, v string")
+        return [r.id for r in score_rank(df.select("id", F.col("v").cast(kind).alias("score"))).orderBy("idx").collect()]
+
+    assert ranked("bigint", 2**53, 2**53 - 1, -(2**63), 2**53 + 2) == [3, 0, 1, 2]
+    assert ranked("decimal(38,19)", "0.5", "0.25", "1234567.125") == [2, 0, 1]
+    assert ranked("float", 0.1, 0.2, -0.0) == [1, 0, 2]
+    assert ranked("int", 3, 5, 4) == [1, 2, 0]
+    for kind, value in (
+        ("bigint", 2**53 + 1), ("bigint", 2**63 - 1), ("decimal(38,19)", "0.1234567890123456781"),
+        ("decimal(38,0)", 10**30 + 1), ("decimal(38,0)", 10**37 + 7), ("bigint", None), ("double", "NaN"),
+    ):
+        with pytest.raises(Exception, match="precision|null"):
+            score_rank(spark.createDataFrame([(1, value and str(value))], "id long, v string").select("id", F.col("v").cast(kind).alias("score"))).collect()
