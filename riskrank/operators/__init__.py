@@ -11,8 +11,8 @@ from riskrank.operators.features import (
     unpack,
 )
 from riskrank.operators.gains import CUTOFFS, gains_table, rank_layout, score_rank, tdr_at
-from riskrank.operators.levels import Levels, fit_levels, index_apply, unseen_to_mode
-from riskrank.operators.metrics import auc_roc, error_rate, label_vs_prediction
+from riskrank.operators.levels import Levels, fit_levels, frequent_levels, index_apply, unseen_to_mode
+from riskrank.operators.metrics import auc_roc, error_rate, label_vs_prediction, roc_pairs
 from riskrank.operators.models import (
     classifier,
     ensemble_score,
@@ -40,6 +40,7 @@ __all__ = [
     "fill_numeric",
     "fill_string",
     "fit_levels",
+    "frequent_levels",
     "gains_table",
     "index_apply",
     "label_vs_prediction",
@@ -48,6 +49,7 @@ __all__ = [
     "per_tree_score",
     "plan_layout",
     "rank_layout",
+    "roc_pairs",
     "running_totals",
     "score_label_pair",
     "score_rank",

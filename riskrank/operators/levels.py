@@ -3,17 +3,22 @@
 Levels are ordered by frequency, most frequent first, ties alphabetically, and compared as
 strings. A column of few levels (the number is checked, not assumed) keeps its dictionary on the
 driver and has it applied as a literal lookup. The dictionary of a wider column stays a
-distributed table: its frequent levels are broadcast, and the long tail is joined by shuffle.
+distributed table: its frequent levels are broadcast, and a Bloom filter of the long tail tells which of the
+other rows can have a level there at all. Only those are joined by shuffle.
 """
 
 from __future__ import annotations
 
+import json
+import math
+import operator
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskrank.operators.ordering import plan_layout, running_totals
@@ -21,7 +26,14 @@ from riskrank.sources.workspace import Workspace
 
 MAX_LOCAL_LEVELS = 10_000
 BROADCAST_LEVELS = 10_000
-SALTS = 16
+# A filter has about so many bits a level, up to a size of one megabyte; beyond it more rows take the join in vain.
+BLOOM_BITS_PER_LEVEL = 10
+MAX_BLOOM_BITS = 1 << 23
+BLOOM_SEEDS = (101, 102, 103)
+# Levels that a sketch of heavy hitters holds, for each one that may have the share asked for.
+SKETCH_FACTOR = 8
+# So that a sketch holds 2^19 levels at most, which Spark allows.
+LEAST_SHARE = 1 / (1 << 16)
 _INDEX = "__index"
 
 
@@ -31,7 +43,8 @@ class Levels:
 
     ``frame`` has the columns column, level, n and index (0.0 for the most frequent level).
     ``labels`` maps each narrow column to its levels in index order and ``counts`` to their row
-    counts; wide columns appear in ``frame`` only.
+    counts; wide columns appear in ``frame`` only. ``widths`` maps each wide column to its number of levels and
+    ``blooms`` to the words of a filter of those that are not broadcast.
     """
 
     frame: DataFrame
@@ -39,15 +52,15 @@ class Levels:
     labels: dict[str, list[str]]
     counts: dict[str, list[int]]
     broadcast_levels: int = BROADCAST_LEVELS
+    blooms: dict[str, list[int]] = field(default_factory=dict)
+    widths: dict[str, int] = field(default_factory=dict)
 
     def is_wide(self, column: str) -> bool:
         return column not in self.labels
 
     def size(self, column: str) -> int:
         """Number of levels of a column."""
-        if not self.is_wide(column):
-            return len(self.labels[column])
-        return self.frame.where(F.col("column") == column).count()
+        return self.widths[column] if self.is_wide(column) else len(self.labels[column])
 
     def mode(self, column: str) -> str | None:
         """The most frequent level of a column; None if it had no value at all."""
@@ -58,14 +71,49 @@ class Levels:
 
 def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per level of every column, ``(column, level, n)``, in one pass; nulls are not levels."""
+    return _level_pairs(df, columns).groupBy("column", "level").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _level_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A row ``(column, level)`` for every value."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in columns])
-    return (
-        df.select(F.explode(pairs).alias("p"))
-        .select("p.column", "p.level")
-        .where(F.col("level").isNotNull())
-        .groupBy("column", "level")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return df.select(F.explode(pairs).alias("p")).select("p.column", "p.level").where(F.col("level").isNotNull())
+
+
+def frequent_levels(df: DataFrame, columns: Sequence[str], share: float) -> DataFrame:
+    """The levels that ``share`` of the values of their column have at least: ``(column, level, n)``, exact.
+
+    One pass keeps a mergeable sketch of heavy hitters for each column, of a size that follows from ``share`` alone; its
+    error is below the share, so no such level is missing. A second pass counts its levels, and nothing else is shuffled:
+    the long tail of a column costs nothing. Nulls are not levels and do not count.
+    """
+    if not LEAST_SHARE <= share <= 1:
+        raise ValueError(f"share must lie between {LEAST_SHARE} and 1, got {share}")
+    size = 1 << max(6, math.ceil(math.log2(SKETCH_FACTOR / share)))
+    columns = list(columns)
+    values = df.select(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(columns)])
+    # In two steps, so that no task merges the sketches of all others.
+    values = values.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(64)))
+
+    def sketched(name: str, *arguments) -> Column:
+        return F.call_function(name, *arguments, F.lit(size))
+
+    names = [f"c{i}" for i in range(len(columns))]
+    parts = values.groupBy("part").agg(*[sketched("approx_top_k_accumulate", F.col(c)).alias(c) for c in names])
+    merged = parts.agg(*[sketched("approx_top_k_combine", F.col(c)).alias(c) for c in names])
+    tops = [F.transform(F.call_function("approx_top_k_estimate", F.col(c), F.lit(size)), lambda x: x["item"]).alias(c) for c in names]
+    found = merged.select(*tops)
+    candidates = [F.transform(F.col(f"c{i}"), _named(c)) for i, c in enumerate(columns)]
+    candidates = found.select(F.explode(F.concat(*candidates)).alias("p")).select("p.column", "p.level")
+    pairs = _level_pairs(df, columns)
+    counted = pairs.join(F.broadcast(candidates), ["column", "level"], "left_semi").groupBy("column", "level").agg(F.count(F.lit(1)).alias("n"))
+    totals = pairs.groupBy("column").agg(F.count(F.lit(1)).alias("total"))
+    # One row a fitted column.
+    return counted.join(F.broadcast(totals), "column").where(F.col("n") >= F.col("total") * share).select("column", "level", "n")
+
+
+def _named(column: str):
+    return lambda level: F.struct(F.lit(column).alias("column"), level.alias("level"))
 
 
 def fit_levels(
@@ -74,20 +122,24 @@ def fit_levels(
     *,
     max_local: int = MAX_LOCAL_LEVELS,
     broadcast_levels: int = BROADCAST_LEVELS,
+    min_share: float | None = None,
     workspace: Workspace | None = None,
     num_buckets: int | None = None,
 ) -> Levels:
-    """Learn the dictionaries of ``columns`` in one pass over ``df``.
+    """Learn the dictionaries of ``columns``.
 
-    The counts are written to the ``workspace`` once; pass one to be able to clear it. A column of up to
-    ``max_local`` levels has its dictionary on the driver, whatever the others have.
+    All levels are counted in one pass over ``df`` and the counts written to the ``workspace`` once; pass one to be able to
+    clear it. A column of up to ``max_local`` levels has its dictionary on the driver, whatever the others have.
+    With ``min_share`` only levels that have that share of their column's values are learned, from a sketch and
+    an exact count of what it holds, so that columns of any number of levels have small dictionaries.
     """
     columns = tuple(columns)
     if not columns:
         raise ValueError("fit_levels needs at least one column")
     spark = df.sparkSession
     workspace = workspace or Workspace(spark)
-    counts = workspace.keep(level_counts(df, columns), "level_counts")
+    counted = level_counts(df, columns) if min_share is None else frequent_levels(df, columns, min_share)
+    counts = workspace.keep(counted, "level_counts")
     per_column = {r.column: r["count"] for r in counts.groupBy("column").count().collect()}
     narrow = [c for c in columns if per_column.get(c, 0) <= max_local]
     labels, sizes = _ordered(narrow, counts.where(F.col("column").isin(narrow)).collect())
@@ -96,13 +148,48 @@ def fit_levels(
         frame = spark.createDataFrame(rows, "column string, level string, n bigint, index double")
         return Levels(frame, columns, labels, sizes, broadcast_levels)
 
-    layout = plan_layout(counts, ["column", "-n", "level"], num_buckets=num_buckets, nullable=False)
+    layout = plan_layout(counts, ["column", "-n", "level"], num_buckets=num_buckets, nullable=False, workspace=workspace)
     placed = workspace.keep(running_totals(counts, layout), "levels")
     first = placed.groupBy("column").agg(F.min("idx").alias("first"))  # one row per fitted column
     frame = placed.join(F.broadcast(first), "column").select(
         "column", "level", "n", (F.col("idx") - F.col("first")).cast("double").alias("index")
     )
-    return Levels(frame, columns, labels, sizes, broadcast_levels)
+    wide = {c: per_column[c] for c in columns if c not in narrow}
+    return Levels(frame, columns, labels, sizes, broadcast_levels, _blooms(frame, wide, broadcast_levels), wide)
+
+
+def _bloom_bits(levels: int) -> int:
+    """A power of two that fits the number of levels."""
+    return min(MAX_BLOOM_BITS, 1 << max(6, math.ceil(math.log2(max(1, levels) * BLOOM_BITS_PER_LEVEL))))
+
+
+def _bloom_places(level: Column, bits: int) -> list[Column]:
+    return [F.xxhash64(level, F.lit(seed)).bitwiseAND(F.lit(bits - 1)) for seed in BLOOM_SEEDS]
+
+
+def _blooms(frame: DataFrame, wide: dict[str, int], broadcast_levels: int) -> dict[str, list[int]]:
+    """Words of a Bloom filter for the levels of each wide column that are not broadcast; at most a megabyte each."""
+    tail = frame.where(F.col("index") >= broadcast_levels)
+    out = {}
+    for c, levels in wide.items():
+        bits = _bloom_bits(levels - broadcast_levels)
+        places = tail.where(F.col("column") == c).select(F.explode(F.array(*_bloom_places(F.col("level"), bits))).alias("p"))
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))
+        words = [0] * (bits // 64)
+        for r in places.groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect():
+            words[r.word] = r.bits
+        out[c] = words
+    return out
+
+
+def _may_hold(words: Sequence[int], level: Column) -> Column:
+    """Whether a level may be in the filter: never false for one that is."""
+    held = F.from_json(F.lit(json.dumps(list(words))), "array<bigint>")
+    bits = [
+        F.getbit(F.get(held, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1
+        for p in _bloom_places(level, 64 * len(words))
+    ]
+    return reduce(operator.and_, bits)
 
 
 def _ordered(columns: Sequence[str], rows: Sequence) -> tuple[dict[str, list[str]], dict[str, list[int]]]:
@@ -113,26 +200,33 @@ def _ordered(columns: Sequence[str], rows: Sequence) -> tuple[dict[str, list[str
     return labels, sizes
 
 
-def _lookup(df: DataFrame, levels: Levels, column: str, output: str) -> DataFrame:
-    """Add the index of ``column`` from a distributed dictionary; null where the level is unknown."""
-    known = levels.frame.where(F.col("column") == column).select(
-        F.col("level").alias("__level"), F.col("index").alias(output)
-    )
-    keyed = df.withColumn("__level", F.col(column).cast("string"))
-    # Indexes follow frequency, so the first ones are exactly the hot levels.
-    frequent = F.broadcast(known.where(F.col(output) < levels.broadcast_levels))
-    tail = known.where(F.col(output) >= levels.broadcast_levels)
-    hot = keyed.join(frequent.withColumnRenamed(output, "__frequent"), "__level", "left")
-    # What is not found holds rare levels and unknown ones. An unknown level may itself be frequent, so
-    # these rows are salted and the tail is repeated once per salt. Rows that are found, and nulls, match
-    # nothing there: they are spread by their number alone.
-    salted_tail = tail.withColumn("__salt", F.explode(F.array(*[F.lit(s).cast("long") for s in range(SALTS)])))
-    open_level = F.when(F.col("__frequent").isNull(), F.col("__level"))
-    number = F.monotonically_increasing_id()
-    salt = F.when(open_level.isNotNull(), F.pmod(number, F.lit(SALTS))).otherwise(number + SALTS)
-    cold = hot.withColumn("__salt", salt).withColumn("__level", open_level)
-    found = cold.join(salted_tail, ["__level", "__salt"], "left")
-    return found.select(*df.columns, F.coalesce("__frequent", output).alias(output))
+def _lookup(df: DataFrame, levels: Levels, outputs: dict[str, str]) -> DataFrame:
+    """Add the index of each column (``outputs``: column to new name) from distributed dictionaries; null where unknown.
+
+    Frequent levels are broadcast. Of the other rows, those that a filter says cannot have a level of the tail go by
+    unshuffled, however many share an unknown level; the rest is joined with the tails, and skewed parts of
+    these joins are split at run time. Both parts read ``df``, so it must be the same each time.
+    """
+    keyed, names = df, list(df.columns)
+    for i, c in enumerate(outputs):
+        known = levels.frame.where(F.col("column") == c)
+        # Indexes follow frequency, so the first ones are exactly the hot levels.
+        frequent = known.where(F.col("index") < levels.broadcast_levels)
+        frequent = frequent.select(F.col("level").alias(f"__level_{i}"), F.col("index").alias(f"__frequent_{i}"))
+        keyed = keyed.withColumn(f"__level_{i}", F.col(c).cast("string")).join(F.broadcast(frequent), f"__level_{i}", "left")
+    open_ = [
+        F.when(F.col(f"__frequent_{i}").isNull() & _may_hold(levels.blooms[c], F.col(f"__level_{i}")), F.col(f"__level_{i}"))
+        for i, c in enumerate(outputs)
+    ]
+    some = reduce(operator.or_, [o.isNotNull() for o in open_])
+    direct = keyed.where(~some).select(*names, *[F.col(f"__frequent_{i}").alias(o) for i, o in enumerate(outputs.values())])
+    cold = keyed.where(some).withColumns({f"__open_{i}": o for i, o in enumerate(open_)})
+    for i, c in enumerate(outputs):
+        tail = levels.frame.where((F.col("column") == c) & (F.col("index") >= levels.broadcast_levels))
+        tail = tail.select(F.col("level").alias(f"__open_{i}"), F.col("index").alias(f"__tail_{i}"))
+        cold = cold.join(tail, f"__open_{i}", "left")
+    found = [F.coalesce(f"__frequent_{i}", f"__tail_{i}").alias(o) for i, o in enumerate(outputs.values())]
+    return direct.unionByName(cold.select(*names, *found))
 
 
 def indexers(levels: Levels, columns: Sequence[str] | None = None, suffix: str = "_index") -> list[StringIndexerModel]:
@@ -158,19 +252,25 @@ def index_apply(
 ) -> DataFrame:
     """Add ``<column>_index``, the double index of each level; an unknown level or null fails the query.
 
-    Indexes are marked as nominal for learners, but for those of the columns in ``numeric`` and of columns whose
-    dictionary is a table. Values are compared as strings, whatever the type of the column.
+    Indexes are marked as nominal for learners, but for those of the columns in ``numeric``; those of columns whose
+    dictionary is a table carry the number of levels without their names. Values are compared as strings,
+    whatever the type of the column.
     """
     columns = list(columns or levels.columns)
-    for c in filter(levels.is_wide, columns):
-        output = c + suffix
-        unknown = F.raise_error(F.concat(F.lit(f"{c}: level not seen in training: "), F.col(c).cast("string")))
-        df = _lookup(df, levels, c, output).withColumn(
-            output,
-            F.when(F.col(c).isNull(), F.raise_error(F.lit(f"{c}: null has no index")))
-            .when(F.col(output).isNull(), unknown)
-            .otherwise(F.col(output)),
-        )
+    wide = {c: c + suffix for c in columns if levels.is_wide(c)}
+    if wide:
+        df = _lookup(df, levels, wide)
+        checked = {}
+        for c, output in wide.items():
+            unknown = F.raise_error(F.concat(F.lit(f"{c}: level not seen in training: "), F.col(c).cast("string")))
+            index = (
+                F.when(F.col(c).isNull(), F.raise_error(F.lit(f"{c}: null has no index")))
+                .when(F.col(output).isNull(), unknown)
+                .otherwise(F.col(output))
+            )
+            nominal = {} if c in numeric else {"ml_attr": {"type": "nominal", "name": output, "num_vals": levels.size(c)}}
+            checked[output] = index.alias(output, metadata=nominal)
+        df = df.select(*[checked.get(n, F.col(n)) for n in df.columns])
     stages = indexers(levels, columns, suffix)
     text = {s.getInputCol(): F.col(s.getInputCol()).cast("string") for s in stages}
     kept = [F.col(c).alias(f"__own_{c}") for c in text]
@@ -187,10 +287,13 @@ def unseen_to_mode(df: DataFrame, levels: Levels, columns: Sequence[str] | None
     target out unless silently moving unknown targets to the majority class is wanted.
     """
     columns = list(columns or levels.columns)
-    names = df.columns
-    for c in filter(levels.is_wide, columns):
-        value = F.when(F.col(_INDEX).isNotNull(), F.col(c).cast("string")).otherwise(F.lit(levels.mode(c)))
-        df = _lookup(df, levels, c, _INDEX).withColumn(c, value).select(*names)
+    wide = {c: f"{_INDEX}_{i}" for i, c in enumerate(filter(levels.is_wide, columns))}
+    if wide:
+        values = {
+            c: F.when(F.col(index).isNotNull(), F.col(c).cast("string")).otherwise(F.lit(levels.mode(c)))
+            for c, index in wide.items()
+        }
+        df = _lookup(df, levels, wide).withColumns(values).drop(*wide.values())
     replaced = {}
     for c in columns:
         if not levels.is_wide(c):
