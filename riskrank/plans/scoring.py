@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import operator
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskrank.functions.columns import BAD_WEIGHT, GOOD_WEIGHT, checked_label, label_of
+from riskrank.functions.columns import BAD_WEIGHT, GOOD_WEIGHT, checked_label, label_of, logistic
 from riskrank.operators import features
 from riskrank.operators.cleaning import fill_missing
 from riskrank.operators.gains import CUTOFFS, gains_table, rank_layout, tdr_at
 from riskrank.operators.levels import Levels, fit_levels, index_apply, unseen_to_mode
 from riskrank.operators.metrics import auc_roc, error_rate
 from riskrank.operators.models import SEED, classifier, ensemble_score, probability_score, training_label, tree_summary
+from riskrank.operators.trees import Input, compile_trees, node_table, share_of_ones, tree_nodes
 from riskrank.sources.roles import Roles
 from riskrank.sources.workspace import Workspace
 
@@ -68,6 +72,50 @@ class RiskModel:
             F.col("prediction").cast("bigint").alias("prediction"),
         )
 
+    def compiled_trees(self, workspace: Workspace) -> list[Column]:
+        """The output of every tree as an expression over cleaned raw columns: see ``compiled_score``."""
+        if self.kind not in TREE_MODELS or not all(isinstance(s, VectorAssembler) for s in self.pipeline.stages[:-1]):
+            raise ValueError("only tree models of plain index features can be compiled")
+        inputs = [Input(c) for c in self.inputs]
+        for i, name in enumerate(self.inputs):
+            category = name.removesuffix(features.INDEX)
+            if category in self.roles.categorical and name != category:
+                inputs[i] = Input(category, tuple(self.levels.labels[category]))
+        leaf = (lambda node: node.prediction) if self.kind == "boosted" else share_of_ones
+        return compile_trees(node_table(self.classifier, workspace), inputs, leaf)
+
+    def compiled_score(self, df: DataFrame, workspace: Workspace | None = None, *, keep_trees: bool = False) -> DataFrame:
+        """``score`` by the trees as nested conditions: one projection, whatever the number of trees.
+
+        Rows get the same scores up to the rounding of sums, without index columns and vectors. ``keep_trees`` adds
+        the output of each tree, ``tree_0`` and so on, and ``raw_score``, their weighted sum.
+        """
+        trees = self.compiled_trees(workspace or Workspace(df.sparkSession))
+        outputs = [t.alias(f"tree_{i}") for i, t in enumerate(trees)]
+        cleaned = _clean(df, self.roles).select("*", *outputs)
+        weights = self.classifier.treeWeights if self.kind == "boosted" else [1 / len(trees)] * len(trees)
+        raw = reduce(operator.add, [F.col(f"tree_{i}") * F.lit(w) for i, w in enumerate(weights)])
+        boosted = self.kind == "boosted"
+        return cleaned.withColumn("raw_score", raw).select(
+            F.col(self.roles.id).alias("id"),
+            (logistic("raw_score") if boosted else F.col("raw_score")).alias("score"),
+            self.label().alias("label"),
+            (F.col("raw_score") > (0.0 if boosted else 0.5)).cast("bigint").alias("prediction"),
+            *([f"tree_{i}" for i in range(len(trees))] + ["raw_score"] if keep_trees else []),
+        )
+
+    def nodes(self, workspace: Workspace | None = None) -> DataFrame:
+        """One row per node of a fitted tree model, with the names of features and of the levels that go left."""
+        found = tree_nodes(self.classifier, workspace or Workspace(SparkSession.active()))
+        names = F.array(*[F.lit(n.removesuffix(features.INDEX) if n.removesuffix(features.INDEX) in self.roles.categorical else n) for n in self.inputs])
+        known = {c: self.levels.labels[c] for c in self.roles.categorical if not self.levels.is_wide(c)} if self.levels else {}
+        table = F.create_map(*[v for c, labels in known.items() for v in (F.lit(c), F.array(*[F.lit(x) for x in labels]))]) if known else None
+        named = found.withColumn("feature", F.get(names, F.col("feature")))
+        if table is None:
+            return named.withColumn("levels", F.lit(None).cast("array<string>"))
+        labels = F.try_element_at(table, F.col("feature"))
+        return named.withColumn("levels", F.transform("categories", lambda i: F.get(labels, i.cast("int"))))
+
     def summary(self) -> DataFrame:
         """One row per tree of a fitted tree model."""
         return tree_summary(SparkSession.active(), self.classifier)
