@@ -28,7 +28,7 @@ SPACE = r"\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 # Bytes of text handled at once where arrays of their size are made; a longer text is one part.
 PART = 1 << 20
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 CACHE_CHARS = 48
 # What most pieces are: maybe a space or a line end, Latin letters that stay letters in lower case, maybe a mark. The
 # letters, the mark and the line end are pre-tokens of their own, so each is encoded once for all pieces that hold it.
