@@ -3,6 +3,10 @@
 Merges are taken from an agenda, best score first and leftmost of equals; each candidate is skipped if a keyed
 hash says so. The key is of the seed, the document, the place of the word and the merge, so the same
 text is segmented in varied ways, yet every run gives the same pieces. Whatever is skipped, the pieces spell the text.
+
+The agendas of many words are worked off side by side in arrays: a step takes the best merge of each word. Words
+in which no applied merge is skipped have the pieces of the plain run, which are remembered with its merges; a merge that
+the plain run only offers, and does not apply, changes nothing when it is skipped.
 """
 
 from __future__ import annotations
@@ -11,23 +15,125 @@ import heapq
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskrank.llm.common import MIX_A, MIX_C, U64, mix64
+from riskrank.llm.common import MIX_A, MIX_C, U64, mix64, parts_of
 
 SPACE = "▁"
 # No piece of such a vocabulary reaches from a word into the spaces after it, so chunks are encoded alone.
 CHUNK = re.compile(" *[^ ]+| +")
-# Places of a text handled at once.
-PLACES = 1 << 14
-CACHE_ENTRIES = 300_000
+# Words handled at once; longer words have an agenda of their own.
+WORDS = 1 << 15
+LONG = 48
+CACHE_ENTRIES = 200_000
 CACHE_CHARS = 32
 MASK = (1 << 64) - 1
+# Odd numbers that spread what names a merge: where its two symbols begin and where it ends.
+KEY, BEGIN, MIDDLE, END = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93
+NEVER = np.iinfo(np.int32).max
+
+
+def skips(h: np.ndarray, limit: int) -> np.ndarray:
+    """Whether the merges that these keys name are skipped."""
+    h = (h ^ h >> U64(32)) * U64(END)
+    h = (h ^ h >> U64(29)) * U64(BEGIN)
+    return (h ^ h >> U64(32)) < U64(min(limit, MASK))
+
+
+class Merges:
+    """The merges of a vocabulary as arrays: which two symbols give which, and which is better."""
+
+    def __init__(self, score: dict[str, float], ids: dict[str, int]):
+        symbols = sorted({*score, *(c for p in score for c in p)})
+        number = {p: i for i, p in enumerate(symbols)}
+        self.piece = np.array([ids.get(p, -1) for p in symbols], np.int64)
+        best = {s: i for i, s in enumerate(sorted(set(score.values()), reverse=True))}
+        self.rank = np.array([best[score[p]] if p in score else NEVER for p in symbols], np.int32)
+        pairs = [
+            (number[p[:i]] * len(symbols) + number[p[i:]], number[p])
+            for p in score
+            for i in range(1, len(p))
+            if p[:i] in number and p[i:] in number
+        ]
+        pairs.sort()
+        self.size = len(symbols)
+        self.pairs, self.merged = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
+        self.of_character = np.full(0x110000, -1, np.int64)
+        for p, i in number.items():
+            if len(p) == 1:
+                self.of_character[ord(p)] = i
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The symbol that two neighbours give, -1 for none."""
+        wanted = left * self.size + right
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == wanted) & (left >= 0) & (right >= 0), self.merged[at], -1)
+
+    def run(self, text: str, sizes: np.ndarray, keys: np.ndarray, limit: int) -> tuple[np.ndarray, ...]:
+        """Work off the agendas of all words, which are end to end in ``text``.
+
+        Returns the symbols of all words end to end, the first code point and the word of each, and for every merge that
+        was applied its word and what its place in the word adds to the key.
+        """
+        code = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+        symbol = self.of_character[code]
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        begin = np.arange(len(symbol)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        end = begin + 1
+        rank, merged = np.full(len(symbol), NEVER, np.int32), np.full(len(symbol), -1, np.int64)
+
+        def offer(at: np.ndarray) -> None:
+            """Candidates of the symbols at ``at`` with those after them."""
+            at = at[at + 1 < len(symbol)]
+            at = at[word[at] == word[at + 1]]
+            found = self.find(symbol[at], symbol[at + 1])
+            at, found = at[found >= 0], found[found >= 0]
+            if limit:
+                h = keys[word[at]] + self.place(begin[at], begin[at + 1], end[at + 1])
+                stays = ~skips(h, limit)
+                at, found = at[stays], found[stays]
+            rank[at], merged[at] = self.rank[found], found
+
+        offer(np.arange(len(symbol)))
+        done, applied = [], []
+        while len(symbol):
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            least = np.minimum.reduceat(rank, first)
+            least = np.repeat(least, np.diff(np.append(first, len(symbol))))
+            over = least == NEVER
+            if over.any():
+                done.append((symbol[over], code[over], word[over]))
+                rest = ~over
+                symbol, code, word, begin, end, rank, merged, least = (x[rest] for x in (symbol, code, word, begin, end, rank, merged, least))
+                if not len(symbol):
+                    break
+            at = np.flatnonzero(rank == least)
+            at = at[np.concatenate([[True], word[at][1:] != word[at][:-1]])]
+            applied.append((word[at], self.place(begin[at], begin[at + 1], end[at + 1])))
+            symbol[at], end[at] = merged[at], end[at + 1]
+            keep = np.ones(len(symbol), bool)
+            keep[at + 1] = False
+            at = at - np.arange(len(at))  # one symbol less for each merge before
+            symbol, code, word, begin, end, rank, merged = (x[keep] for x in (symbol, code, word, begin, end, rank, merged))
+            before = at[at > 0] - 1
+            before = before[word[before] == word[before + 1]]
+            near = np.concatenate([at, before])
+            rank[near] = NEVER
+            offer(near)
+        joined = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
+        symbols, codes, of = (joined([d[i] for d in done], np.int64) for i in range(3))
+        order = np.argsort(of, kind="stable")
+        of_merge, adds = joined([a[0] for a in applied], np.int64), joined([a[1] for a in applied], np.uint64)
+        return symbols[order], codes[order], of[order], of_merge, adds
+
+    @staticmethod
+    def place(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+        return a.astype(np.uint64) * U64(BEGIN) + b.astype(np.uint64) * U64(MIDDLE) + c.astype(np.uint64) * U64(END)
 
 
 class PieceCodec:
@@ -43,22 +149,24 @@ class PieceCodec:
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.score):
             raise ValueError("a piece of this vocabulary crosses from a word into spaces")
         self.byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        self.ids_of_bytes = np.array(self.byte_ids, np.int64)
         self.spelled = [p.replace(SPACE, " ").encode() if p in self.score else b"" for p in names]
         for b, i in enumerate(self.byte_ids):
             self.spelled[i] = bytes([b])
         self.limit, self.seed = int(dropout * 2**64), seed
-        # Chunks with no merge skipped: (ids, what their candidate merges add to the key, as 64-bit numbers).
-        self.young: dict[str, tuple[bytes, bytes]] = {}
-        self.old: dict[str, tuple[bytes, bytes]] = {}
-
-    def key(self, chunk: str, place: int) -> int:
-        return zlib.crc32(chunk.encode()) * 0x9E3779B97F4A7C15 + (self.seed << 8) + place + 1
-
-    def segment(self, chunk: str, place: int, limit: int | None = None, offers: list[int] | None = None) -> list[str]:
-        """Pieces of a chunk (spaces as written in the vocabulary) at a place (a hash of it); ``offers`` takes what
-        each candidate merge adds to ``place`` in its hash."""
-        score, limit = self.score, self.limit if limit is None else limit
-        key = self.key(chunk, place)
+        self.merges = Merges(self.score, self.ids)
+        # Chunks with no merge skipped: their ids, the keys of the merges applied but for the place, as 64-bit numbers, and
+        # their own key.
+        self.young: dict[str, tuple[bytes, bytes, int]] = {}
+        self.old: dict[str, tuple[bytes, bytes, int]] = {}
+
+    def key(self, chunk: str) -> int:
+        return (zlib.crc32(chunk.encode()) * KEY + (self.seed << 8) + 1) & MASK
+
+    def segment(self, chunk: str, place: int, limit: int, applied: list[int] | None = None) -> list[str]:
+        """Pieces of one chunk (spaces as written in the vocabulary) at a place (a hash of it), by an agenda; ``applied`` takes
+        the keys of its merges, but for the place."""
+        score, key = self.score, self.key(chunk)
         n = len(chunk)
         after = list(range(1, n + 1))  # where the symbol that begins here ends
         before = list(range(-1, n - 1))  # where the symbol before begins
@@ -69,12 +177,10 @@ class PieceCodec:
             s = score.get(chunk[a:c])
             if s is None:
                 return
-            if offers is not None:
-                offers.append((key - place + a * 0xBF58476D1CE4E5B9 + b * 0x94D049BB133111EB + c * 0xD6E8FEB86659FD93) & MASK)
             if limit:
-                h = (key + a * 0xBF58476D1CE4E5B9 + b * 0x94D049BB133111EB + c * 0xD6E8FEB86659FD93) & MASK
-                h = ((h ^ h >> 32) * 0xD6E8FEB86659FD93) & MASK
-                h = ((h ^ h >> 29) * 0xBF58476D1CE4E5B9) & MASK
+                h = (key + place + a * BEGIN + b * MIDDLE + c * END) & MASK
+                h = ((h ^ h >> 32) * END) & MASK
+                h = ((h ^ h >> 29) * BEGIN) & MASK
                 if h ^ h >> 32 < limit:
                     return
             heapq.heappush(agenda, (-s, a, b, c))
@@ -85,6 +191,8 @@ class PieceCodec:
             _, a, b, c = heapq.heappop(agenda)
             if not alive[a] or b >= n or not alive[b] or after[a] != b or after[b] != c:
                 continue
+            if applied is not None:
+                applied.append((key + a * BEGIN + b * MIDDLE + c * END) & MASK)
             alive[b] = False
             after[a] = c
             if c < n:
@@ -98,58 +206,105 @@ class PieceCodec:
             a = after[a]
         return out
 
-    def chunk_ids(self, chunk: str, place: int, limit: int | None = None, offers: list[int] | None = None) -> bytes:
-        out = array("I")
-        # A character that looks like the mark for spaces is spelled in bytes.
+    def _alone(self, chunk: str, place: int, limit: int) -> tuple[bytes, bytes]:
+        """Ids and merges of a chunk that is long or holds a character that looks like the mark for spaces."""
+        out, applied = array("I"), []
         for i, part in enumerate(chunk.split(SPACE)):
             if i:
                 out.extend(self.byte_ids[b] for b in SPACE.encode())
-            for piece in self.segment(part.replace(" ", SPACE), place, limit, offers):
+            for piece in self.segment(part.replace(" ", SPACE), place, limit, applied):
                 found = self.ids.get(piece)
                 if found is None:
                     out.extend(self.byte_ids[b] for b in piece.encode())
                 else:
                     out.append(found)
-        return out.tobytes()
+        return out.tobytes(), array("Q", applied).tobytes()
+
+    def _spelled(self, symbols: np.ndarray, codes: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of symbols, characters without a piece in bytes, and the word of each."""
+        ids = np.where(symbols >= 0, self.merges.piece[symbols], -1)
+        none = ids < 0
+        if not none.any():
+            return ids, of
+        n = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
+        times = np.where(none, n, 1)
+        at = np.cumsum(times) - times
+        out = np.empty(int(times.sum()), np.int64)
+        out[at[~none]] = ids[~none]
+        lead = np.array([0, 0, 0xC0, 0xE0, 0xF0])
+        for j in range(4):
+            which = none & (n > j)
+            c, k = codes[which], n[which]
+            part = c >> (6 * (k - 1 - j))
+            out[at[which] + j] = self.ids_of_bytes[lead[k] | part if j == 0 else 0x80 | (part & 0x3F)]
+        return out, np.repeat(of, times)
+
+    def _together(self, chunks: list[str], own: list[int], places: np.ndarray, limit: int) -> list[tuple[bytes, bytes, int]]:
+        """Ids, merges and keys of many chunks (``own``: their keys) at their places."""
+        out: list = [None] * len(chunks)
+        plain = [i for i, c in enumerate(chunks) if len(c) <= LONG and SPACE not in c]
+        if len(plain) < len(chunks):
+            for i in set(range(len(chunks))).difference(plain):
+                out[i] = (*self._alone(chunks[i], int(places[i]), limit), own[i])
+        for begin in range(0, len(plain), WORDS):
+            part = plain[begin : begin + WORDS]
+            words = [chunks[i] for i in part]
+            keys = np.array([own[i] for i in part], np.uint64)
+            text, sizes = "".join(words).replace(" ", SPACE), np.fromiter(map(len, words), np.int64, len(words))
+            symbols, codes, of, of_merge, adds = self.merges.run(text, sizes, keys + places[part], limit)
+            ids, of = self._spelled(symbols, codes, of)
+            order = np.argsort(of_merge, kind="stable")
+            merges = (keys[of_merge] + adds)[order].tobytes()
+            cuts = np.append(0, 8 * np.cumsum(np.bincount(of_merge, minlength=len(part)))).tolist()
+            edges = np.append(0, 4 * np.cumsum(np.bincount(of, minlength=len(part)))).tolist()
+            raw = ids.astype("<u4").tobytes()
+            for i, a, b, c, d in zip(part, edges, edges[1:], cuts, cuts[1:]):  # noqa: B905
+                out[i] = raw[a:b], merges[c:d], own[i]
+        return out
+
+    def _plain(self, chunks: set[str]) -> dict[str, tuple[bytes, bytes, int]]:
+        """What ``_together`` gives for each chunk with nothing skipped; remembered, but for long ones."""
+        young, old = self.young, self.old
+        missing = chunks.difference(young)
+        found = {c: young[c] for c in chunks.difference(missing)}
+        for c in missing.intersection(old):
+            found[c] = young[c] = old[c]
+        new = list(missing.difference(old))
+        own = [self.key(c.replace(" ", SPACE)) for c in new]
+        fresh = dict(zip(new, self._together(new, own, np.zeros(len(new), np.uint64), 0), strict=True))
+        young.update((c, x) for c, x in fresh.items() if len(c) <= CACHE_CHARS)
+        if len(young) > CACHE_ENTRIES:
+            self.young, self.old = {}, young
+        return found | fresh
 
     def encode(self, text: str | None, doc: int) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers; an empty text has none."""
-        if not text:
-            return b""
-        chunks = CHUNK.findall(" " + text)
-        out: list[bytes] = []
-        base = U64((doc * int(MIX_C) + self.seed) & MASK)
-        for begin in range(0, len(chunks), PLACES):
-            part = chunks[begin : begin + PLACES]
-            whole = [self.whole(chunk) for chunk in part]
-            ids = [x for x, _ in whole]
-            if self.limit:
-                place = mix64(np.arange(begin, begin + len(part), dtype=np.uint64) * MIX_A + base)
-                of = np.repeat(np.arange(len(part)), [len(offers) // 8 for _, offers in whole])
-                h = place[of] + np.frombuffer(b"".join([offers for _, offers in whole]), "<u8", len(of))
-                h = (h ^ h >> U64(32)) * U64(0xD6E8FEB86659FD93)
-                h = (h ^ h >> U64(29)) * U64(0xBF58476D1CE4E5B9)
-                skipped = (h ^ h >> U64(32)) < U64(min(self.limit, MASK))
-                # Where no candidate is skipped, the pieces are the model's own.
-                for i in np.unique(of[skipped]).tolist():
-                    ids[i] = self.chunk_ids(part[i], int(place[i]))
-            out += ids
-        if len(self.young) > CACHE_ENTRIES:
-            self.young, self.old = {}, self.young
-        return b"".join(out)
-
-    def whole(self, chunk: str) -> tuple[bytes, bytes]:
-        """Ids of a chunk with no merge skipped, and its candidate merges."""
-        found = self.young.get(chunk)
-        if found is None:
-            found = self.old.get(chunk)
-            if found is None:
-                offers: list[int] = []
-                ids = self.chunk_ids(chunk, 0, 0, offers)
-                found = ids, array("Q", offers).tobytes()
-            if len(chunk) <= CACHE_CHARS:
-                self.young[chunk] = found
-        return found
+        return self.encode_many([text], [doc])[0]
+
+    def encode_many(self, texts: Sequence[str | None], docs: Sequence[int]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers; an empty text has none."""
+        cut = [CHUNK.findall(" " + t) if t else [] for t in texts]
+        sizes = [len(c) for c in cut]
+        chunks = [c for part in cut for c in part]
+        plain = self._plain(set(chunks))
+        known = list(map(plain.__getitem__, chunks))
+        ids = [x[0] for x in known]
+        if self.limit and chunks:
+            merged = [x[1] for x in known]
+            bases = np.array([(doc * int(MIX_C) + self.seed) & MASK for doc in docs], np.uint64)
+            ends = np.cumsum(sizes)
+            inside = np.arange(len(chunks)) - np.repeat(ends - sizes, sizes)
+            place = mix64(inside.astype(np.uint64) * MIX_A + np.repeat(bases, sizes))
+            of = np.repeat(np.arange(len(chunks)), np.fromiter(map(len, merged), np.int64, len(merged)) >> 3)
+            merges = np.frombuffer(b"".join(merged), "<u8", len(of))
+            again = np.unique(of[skips(place[of] + merges, self.limit)]).tolist()
+            found = self._together([chunks[i] for i in again], [known[i][2] for i in again], place[again], self.limit)
+            for i, x in zip(again, found, strict=True):
+                ids[i] = x[0]
+        out, at = [], 0
+        for n in sizes:
+            out.append(b"".join(ids[at : at + n]))
+            at += n
+        return out
 
     def decode(self, ids: bytes) -> str:
         spelled = self.spelled
@@ -179,10 +334,9 @@ def encode_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model, dropout, seed)
         for batch in batches:
-            for begin in range(0, len(batch), 256):
-                part = batch.slice(begin, 256)
+            for part in parts_of(batch, 1):
                 docs_, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-                ids = [c.encode(t, d or 0) for d, t in zip(docs_, texts, strict=True)]
+                ids = c.encode_many(texts, [d or 0 for d in docs_])
                 columns = [
                     part.column(0),
                     pa.array([len(x) // 4 for x in ids], pa.int64()),

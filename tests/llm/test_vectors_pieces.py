@@ -168,7 +168,7 @@ def test_dropout_of_every_occurrence(spark):
     text = " ".join(["the", "of", word] * 20)
     chunks = pieces.CHUNK.findall(" " + text)
     place = pieces.mix64(np.arange(len(chunks), dtype=np.uint64) * pieces.MIX_A + pieces.U64((3 * int(pieces.MIX_C) + 5) & pieces.MASK))
-    assert c.encode(text, 3) == b"".join(c.chunk_ids(x, int(p)) for x, p in zip(chunks, place, strict=True))
+    assert c.encode(text, 3) == b"".join(c._alone(x, int(p), c.limit)[0] for x, p in zip(chunks, place, strict=True))
     assert "ids" in queries.op4_merge_dropout(spark, SF).columns
 
 
@@ -196,7 +196,25 @@ def test_dropout_by_plain_agenda():
                 break
             symbols = [x for x in symbols if x[0] not in best[1:3]] + [(best[1], best[3])]
             symbols.sort()
-        assert plain.segment(chunk, v) == [chunk[a:b] for a, b in symbols]
+        assert plain.segment(chunk, v, plain.limit) == [chunk[a:b] for a, b in symbols]
+
+
+def test_words_side_by_side_as_one_by_one():
+    """Arrays of many words give what an agenda for each gives: characters without a piece, long words and marks included."""
+    r = random.Random(6)
+    texts = [t for t in TEXTS if t] + ["".join(r.choices("abcdehilnorst  ,.\nABé日ﬁ🙂▁\u0301", k=r.randint(1, 300))) for _ in range(200)]
+    texts += [r.choice("abc") * r.randint(40, 60) for _ in range(5)]
+    for dropout in (0.0, 0.1, 0.5, 1.0):
+        c = pieces.PieceCodec(MODEL, dropout, 11)
+        for texts_, docs in ((texts, list(range(len(texts)))), (texts[::-1], [7] * len(texts))):
+            got = c.encode_many([None, *texts_, ""], [1, *docs, 2])
+            assert got[0] == got[-1] == b""
+            for t, d, x in zip(texts_, docs, got[1:-1], strict=True):
+                chunks = pieces.CHUNK.findall(" " + t)
+                base = pieces.U64((d * int(pieces.MIX_C) + 11) & pieces.MASK)
+                place = pieces.mix64(np.arange(len(chunks), dtype=np.uint64) * pieces.MIX_A + base)
+                assert x == b"".join(c._alone(y, int(p), c.limit)[0] for y, p in zip(chunks, place, strict=True)), (dropout, t)
+                assert c.decode(x) == t
 
 
 def test_pieces_table(spark):
