@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -125,6 +126,69 @@ def test_propagation_reaches_hosts_far_from_the_seed(spark):
     assert any(row.page_id >= 31 and row.page_id < 100 and row.verdict == "block" for row in got)
 
 
+def other(name, payload, *, algorithm="sha1", form="base32", http=True, kind="response"):
+    """A record as other writers write it."""
+    import base64
+
+    block = (b"HTTP/1.0 200 OK\r\nServer: x\r\n\r\n" if http else b"") + payload
+    digest = hashlib.new(algorithm, block).digest()
+    text = base64.b32encode(digest).decode().rstrip("=") if form == "base32" else digest.hex().upper()
+    lines = [
+        "WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{name}>", f"WARC-Target-URI: http://o/{name}?\\x", "WARC-Date: 2020-01-01T00:00:00Z",
+        f"Content-Type: {'application/http; msgtype=response' if http else 'text/plain'}", f"content-length: {len(block)}", f"WARC-Block-Digest: {algorithm}:{text}",
+    ]
+    return ("\r\n".join(lines) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers():
+    kinds = [
+        {}, {"form": "hex"}, {"algorithm": "sha256"}, {"algorithm": "sha256", "form": "hex"}, {"algorithm": "md5"},
+        {"algorithm": "sha512", "form": "hex"}, {"http": False}, {"kind": "warcinfo", "http": False},
+    ]
+    payloads = [f"payload {i} é".encode() * 20 for i in range(len(kinds))]
+    whole = [other(i, p, **k) for i, (p, k) in enumerate(zip(payloads, kinds, strict=True))]
+    files = [
+        b"".join(whole), b"".join(map(warc.member, whole)), warc.member(b"".join(whole)),
+        warc.member(b"".join(whole[:3])) + b"".join(whole[3:5]) + warc.member(b"".join(whole[5:])),
+    ]
+    for data in files:
+        found = list(warc.salvage(data))
+        assert [x[0] for x in found] == ["record"] * len(kinds)
+        assert [x[3]["payload"] for x in found] == payloads
+        assert [x[3]["payload_digest"] for x in found] == [hashlib.sha1(p).hexdigest() for p in payloads]
+        assert [x[1] for x in found] == [0, *(x[2] for x in found[:-1])] and found[-1][2] == len(data)
+    # A digest that does not fit is damage in either form; the records beside it in a member stay.
+    broken = whole[1].replace(b"payload 1", b"payload X", 1)
+    found = list(warc.salvage(warc.member(whole[0] + broken) + warc.member(whole[2])))
+    assert [(x[0], x[3] if x[0] == "gap" else x[3]["payload"]) for x in found] == [
+        ("record", payloads[0]), ("gap", "block digest differs"), ("record", payloads[2])
+    ]
+    assert [x[1] for x in found] == [0, *(x[2] for x in found[:-1])]
+
+
+def test_a_quoted_record_is_no_record():
+    """The payload of a damaged record holds a whole record: its own length tells where the next one begins."""
+    inner = warc.record(77, "http://inner", b"inner payload", None)
+    outer, after = warc.record(1, "http://outer", b"before " + inner + b" after", None), warc.record(2, "http://after", b"x", None)
+    for damaged in (b"X" + outer[1:], outer.replace(b"sha1:", b"sha1;", 1).replace(b"before", b"beFore", 1)):
+        found = list(warc.salvage(damaged + after))
+        assert [(x[0], x[0] == "record" and (x[3]["page_id"], x[3]["after_gap"])) for x in found] == [("gap", False), ("record", (2, False))]
+    # Where the length is lost too, what is found is marked.
+    lost = (b"X" + outer[1:]).replace(b"\nContent-Length: ", b"\nContent-Lxngth: ", 1)
+    records = [x[3] for x in warc.salvage(lost + after) if x[0] == "record"]
+    assert [(r["page_id"], r["after_gap"]) for r in records] == [(77, True), (2, True)]
+
+
+def test_revisits_name_their_response(spark):
+    rows = [(1, "http://a", "y" * 2000), (2, "http://b", "y" * 2000)]
+    manifest = warc.write_archives(pages_of(spark, rows), Workspace(spark), compressed=False)
+    with open(manifest.first().file.removeprefix("file:"), "rb") as f:
+        text = f.read().decode()
+    ids = {re.search(r"WARC-Type: (\w+)", part)[1]: part for part in text.split("WARC/1.1\r\n")[1:]}
+    name = re.search(r"WARC-Record-ID: (\S+)", ids["response"])[1]
+    assert f"WARC-Refers-To: {name}" in ids["revisit"] and "HTTP/1.1 200 OK" in ids["response"]
+
+
 def archive_rows():
     r = random.Random(3)
     long = ["".join(r.choices("abé<>\r\n WARC/1.1", k=r.randint(990, 3000))) for _ in range(6)]
