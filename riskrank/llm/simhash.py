@@ -8,6 +8,7 @@ and a variant is met by a bounded number of classes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -17,9 +18,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskrank.llm.common import Workspace, connected_components, text_bytes
+from riskrank.llm.common import PART, Workspace, connected_components, text_bytes
 
 SEED = 42
+WHITE = re.compile(rb"[ \t-\r]")
 
 
 def words_of(data: bytes) -> list[bytes]:
@@ -39,15 +41,32 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     return np.fromiter((digest(r, SEED) for r in runs), np.uint64, len(runs))
 
 
-def majority(hashes: np.ndarray) -> int:
-    """Bits that are set in over half of the hashes, as a signed 64-bit number."""
-    if not len(hashes):
-        return 0
+def bits_set(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of the 64 bits, the highest first."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):
         part = hashes[i : i + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big", signed=True)
+    return ones
+
+
+def simhash(data: bytes, size: int) -> int:
+    """The bits that are set in over half of the shingles' hashes, as a signed 64-bit number; 0 without words.
+
+    A long text is taken in parts of about ``PART`` bytes; the last words of a part begin the shingles of the next.
+    """
+    ones, n, carried, at = np.zeros(64, np.int64), 0, [], 0
+    while True:
+        gap = WHITE.search(data, at + PART) if len(data) - at > PART else None
+        stop = gap.start() if gap else len(data)
+        words = carried + words_of(data[at:stop])
+        # Fewer words than a shingle has are a shingle only if the text has no more.
+        if len(words) >= size or (stop == len(data) and not n):
+            hashes = shingle_hashes(words, size)
+            ones, n = ones + bits_set(hashes), n + len(hashes)
+        if stop == len(data):
+            return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big", signed=True)
+        carried, at = words[len(words) - size + 1 :] if len(words) >= size else words, stop
 
 
 def fingerprints(docs: DataFrame, *, id: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
@@ -57,9 +76,7 @@ def fingerprints(docs: DataFrame, *, id: str = "doc_id", text: str = "text", wor
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             raw = data.tobytes()
-            fps = [
-                majority(shingle_hashes(words_of(raw[a:b]), words)) for a, b in zip(offsets[:-1], offsets[1:], strict=True)
-            ]
+            fps = [simhash(raw[a:b], words) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             columns = [batch.column(0), batch.column(2), pa.array(fps, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "fp"])
 

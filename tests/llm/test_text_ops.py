@@ -146,6 +146,19 @@ def test_components(spark):
         assert got[start] == min(seen)
 
 
+def test_long_texts_in_parts(monkeypatch):
+    r = random.Random(8)
+    texts = [" ".join("".join(r.choices("abcAB", k=r.randint(1, 6))) for _ in range(n)) for n in (0, 1, 2, 3, 4, 5, 200)]
+    texts += ["x" * 300, "y" * 50 + "  " + "z" * 80 + "\t\n q", " \n " * 40, " a" * 90 + " "]
+    for size in (1, 3, 5):
+        whole = [simhash.simhash(t.encode(), size) for t in texts]
+        assert [x & (2**64 - 1) for x in whole] == [brute.simhash(t, size) for t in texts]
+        for part in (1, 7, 64):
+            monkeypatch.setattr(simhash, "PART", part)
+            assert [simhash.simhash(t.encode(), size) for t in texts] == whole
+        monkeypatch.undo()
+
+
 def test_one_of_each(spark):
     rows = mixed_rows(4) + [(2, "another text under the same id, of its own words"), (None, "no id here but words"), (None, "no id here but words")]
     found = brute.components([(i, brute.simhash(t)) for i, (_, t) in enumerate(rows)])
