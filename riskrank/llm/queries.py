@@ -111,9 +111,102 @@ def queries() -> dict:
     }
 
 
+def _fields(text: str) -> str:
+    """A record's fields in SQL, each with its length or as a dash."""
+    names = ("doc_id", "source", "lang", "n_chars", text)
+    return " || ".join(f"coalesce(strlen(cast({x} as varchar)) || ':' || {x}, '-')" for x in names)
+
+
+# The article of the given pages, which mark it: paragraphs without tags, decoded, white space as one space.
+_PAGES_SQL = """
+    with article as (
+        select page_id, url, regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<br>', ' ', 'g') as body
+        from pages
+    ), blocks as (
+        select page_id, url, list_filter(
+            list_transform(
+                string_split_regex(body, '</?(?:p|h1)>'),
+                lambda x: trim(regexp_replace(
+                    regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+                        regexp_replace(x, '<[^>]*>', '', 'g'), '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'),
+                    '\\s+', ' ', 'g'))
+            ),
+            lambda x: x <> ''
+        ) as parts
+        from article
+    )
+    select page_id, url, array_to_string(parts, chr(10)) as text, length(array_to_string(parts, chr(10))) as n_chars from blocks
+"""
+
+_ARCHIVE_SQL = """
+    with p as (
+        select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages
+    ), last as (
+        select payload_bytes, payload_digest, max(page_id) as largest from p where payload_bytes >= 1000 group by all
+    )
+    select page_id, payload_bytes, payload_digest, case when largest <> page_id then 'revisit' else 'response' end as record_type,
+           case when largest <> page_id then largest end as refers_to
+    from p left join last using (payload_bytes, payload_digest)
+"""
+
+# The parity of a checksum bit by bit; trees level by level; then every row's way up, and up again over the groups.
+_MANIFEST_SQL = f"""
+    with recursive docs as (
+        select *, sha256({_fields('text')}) as leaf, sha256({_fields("replace(text, chr(10), '')")}) as without_ends,
+               list_reduce(
+                   flatten(list_transform(string_split(cast(doc_id as varchar), ''), lambda d: [ascii(d), -1, -1, -1, -1, -1, -1, -1, -1])),
+                   lambda a, x: case when x >= 0 then xor(a, x) else xor(a // 2, (a % 2) * 3988292384) end,
+                   cast(4294967295 as bigint)
+               ) % 2 = 1 as even
+        from documents
+    ), placed as (
+        select *, row_number() over (partition by source order by doc_id) - 1 as pos, count(*) over (partition by source) as n from docs
+    ), up as (
+        select 0 as level, coalesce('=' || source, '') as tree, pos, n, leaf as h from placed
+        union all
+        select level + 1, tree, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' order by pos)) from up where n > 1
+        group by level, tree, pos // 3, n
+    ), subroots as (
+        select tree, h as subroot, row_number() over (order by tree <> '', encode(tree)) - 1 as pos, count(*) over () as n from up where n = 1
+    ), top as (
+        select 0 as level, pos, n, subroot as h from subroots
+        union all
+        select level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' order by pos)) from top where n > 1
+        group by level, pos // 3, n
+    ), nodes as (
+        select tree, level, pos, n, h from up where n > 1 union all select null, level, pos, n, h from top where n > 1
+    ), steps as (
+        select a.tree, a.level, a.pos, coalesce(string_agg(b.h, '' order by b.pos) filter (b.pos < a.pos), '') as before,
+               coalesce(string_agg(b.h, '' order by b.pos) filter (b.pos > a.pos), '') as after
+        from nodes a join nodes b on a.tree is not distinct from b.tree and a.level = b.level and a.pos // 3 = b.pos // 3
+        group by all
+    ), walk as (
+        select doc_id, coalesce('=' || source, '') as tree, 0 as level, pos, '' as proof, case when even then without_ends else leaf end as folded
+        from placed
+        union all
+        select w.doc_id, w.tree, w.level + 1, w.pos // 3, w.proof || s.before || s.after, sha256(s.before || w.folded || s.after)
+        from walk w join steps s on s.tree = w.tree and s.level = w.level and s.pos = w.pos
+    ), whole as (
+        select doc_id, tree, max_by(proof, level) as proof, max_by(folded, level) as folded from walk group by doc_id, tree
+    ), climb as (
+        select w.doc_id, 0 as level, s.pos, w.proof, w.folded, s.subroot from whole w join subroots s using (tree)
+        union all
+        select c.doc_id, c.level + 1, c.pos // 3, c.proof || s.before || s.after, sha256(s.before || c.folded || s.after), c.subroot
+        from climb c join steps s on s.tree is null and s.level = c.level and s.pos = c.pos
+    ), ends as (
+        select doc_id, max_by(proof, level) as proof, max_by(folded, level) as folded_root, any_value(subroot) as subroot from climb group by doc_id
+    )
+    select d.doc_id, d.leaf, e.subroot, r.h as root, sha256(e.proof) as proof_sha256, e.folded_root, e.folded_root = r.h as verified
+    from docs d join ends e using (doc_id) cross join (select h from top where n = 1) r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """Exact inner products in SQL. The others need hashes, tokenizers or files that SQL lacks."""
+    """Exact inner products, archives, articles and trees in SQL. The others need hashes or tokenizers that SQL lacks."""
     return {
+        "op8_warc_salvage": _ARCHIVE_SQL,
+        "op12_site_templates": _PAGES_SQL,
+        "op13_veb_manifest": _MANIFEST_SQL,
         "op3_norm_sorted_topk": """
             with v as (
                 select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e
