@@ -20,7 +20,7 @@ from pyspark.ml.classification import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskrank.functions.columns import logistic, vector_element
+from riskrank.functions.columns import logistic, to_int, vector_element
 
 # The settings of the models.
 FOREST_TREES = 66
@@ -74,9 +74,12 @@ def probability_score(vector: str = "probability") -> Column:
     return vector_element(vector, 1)
 
 
-def score_label_pair(predicted: DataFrame, label: str = "label", *keep: str) -> DataFrame:
-    """``(score, label)`` with the probability of label 1 as the score."""
-    return predicted.select(*keep, probability_score().alias("score"), F.col(label).cast("bigint").alias("label"))
+def score_label_pair(
+    predicted: DataFrame, label: str = "label", *keep: str | Column, score: Column | None = None
+) -> DataFrame:
+    """``(score, label)``, and what else to keep; the score is the probability of label 1 unless another is given."""
+    score = probability_score() if score is None else score
+    return predicted.select(*keep, score.alias("score"), to_int(label).alias("label"))
 
 
 def per_tree_score(model: GBTClassificationModel, df: DataFrame) -> DataFrame:

@@ -11,13 +11,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskrank.functions.columns import BAD_WEIGHT, GOOD_WEIGHT, checked_label, label_of, logistic
+from riskrank.functions.columns import BAD_WEIGHT, GOOD_WEIGHT, checked_label, label_of, logistic, to_int
 from riskrank.operators import features
 from riskrank.operators.cleaning import fill_missing
 from riskrank.operators.gains import CUTOFFS, gains_table, rank_layout, tdr_at
 from riskrank.operators.levels import Levels, fit_levels, index_apply, unseen_to_mode
 from riskrank.operators.metrics import auc_roc, error_rate
-from riskrank.operators.models import SEED, classifier, ensemble_score, probability_score, training_label, tree_summary
+from riskrank.operators.models import SEED, classifier, ensemble_score, score_label_pair, training_label, tree_summary
 from riskrank.operators.trees import Input, compile_trees, node_table, share_of_ones, tree_nodes
 from riskrank.sources.roles import Roles
 from riskrank.sources.workspace import Workspace
@@ -61,16 +61,16 @@ class RiskModel:
 
     def score(self, df: DataFrame) -> DataFrame:
         """``(id, score, label, prediction)`` for every row of ``df``."""
-        if self.kind == "boosted":
-            predicted, score = ensemble_score(self.classifier, self.prepare(df)), F.col("score")
-        else:
-            predicted, score = self.predict(df), probability_score()
-        return predicted.select(
+        boosted = self.kind == "boosted"
+        predicted = ensemble_score(self.classifier, self.prepare(df)) if boosted else self.predict(df)
+        pairs = score_label_pair(
+            predicted.withColumn("__label", self.label()),
+            "__label",
             F.col(self.roles.id).alias("id"),
-            score.alias("score"),
-            self.label().alias("label"),
-            F.col("prediction").cast("bigint").alias("prediction"),
+            to_int("prediction").alias("prediction"),
+            score=F.col("score") if boosted else None,
         )
+        return pairs.select("id", "score", "label", "prediction")
 
     def compiled_trees(self, workspace: Workspace) -> list[Column]:
         """The output of every tree as an expression over cleaned raw columns: see ``compiled_score``."""
