@@ -95,9 +95,9 @@ class CachedEncoder:
         self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.by_ends = any(p.endswith("</w>") for p in vocabulary)
+        # A vocabulary by word ends has no case here; the other's words begin with their space.
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
-        for p, i in vocabulary.items():
-            self.edge[i] = p.endswith("</w>") if self.by_ends else p.startswith("\u0120")
+        self.edge[[i for p, i in vocabulary.items() if p.startswith("\u0120")]] = True
         added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         if any(a[:1] != "<" for a in added):
             raise ValueError("added tokens must begin with <")
@@ -105,16 +105,28 @@ class CachedEncoder:
         self.marks = {m: self._single([m])[0] if m else b"" for m in ("", ",", ".")}
         # Without its own piece, a line end is white space, which a vocabulary by word ends leaves out.
         self.line_end = self._single(["\n"])[0]
+        # How a vocabulary of bytes writes them: those that print as they are, the rest as characters from 256 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = (b for b in range(256) if b not in shown)
+        self.written = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+        # Whether words by ends are bytes in lower case, so that the model alone gives their ids.
+        probe = ["Zebras", "x", "Àéß", "ǅur", "ŁÓDŹ"]
+        self.direct = self.by_ends and self._single(probe) == self._merged([w.lower() for w in probe])
 
     def _single(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _merged(self, words: list[str]) -> list[bytes]:
+        merge, written = self.tokenizer.model.tokenize, self.written
+        texts = [w if w.isascii() else "".join([written[b] for b in w.encode()]) for w in words]
+        return [array("I", [t.id for t in merge(x)]).tobytes() for x in texts]
+
     def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters, maybe after a space, from joined texts, cut apart where a word begins or ends."""
+        """Ids of words of letters: those in lower case by the model, others, maybe after a space, from joined texts."""
         if self.by_ends:
-            text, first = " ".join(words), 0
-        elif words[0][0] == " ":
+            return self._merged(words) if self.direct else self._single(words)
+        if words[0][0] == " ":
             text, first = "".join(words), 0
         else:
             text, first = "\n" + "\n".join(words), 1
@@ -123,8 +135,7 @@ class CachedEncoder:
         edges = np.flatnonzero(edge)
         if len(edges) != len(words):
             return self._single(words)
-        cuts = 4 * (np.append(0, edges + 1) if self.by_ends else np.append(edges, len(ids)))
-        cuts, raw = cuts.tolist(), ids.tobytes()
+        cuts, raw = (4 * np.append(edges, len(ids))).tolist(), ids.tobytes()
         return [raw[a + 4 * first : b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def _find(self, missing: set[str]) -> None:
@@ -137,7 +148,9 @@ class CachedEncoder:
                 cache[p] = ids
             elif simple := SIMPLE.fullmatch(p):
                 lead, word, mark = simple.groups()
-                if lead == " " and not self.by_ends:
+                if self.direct:
+                    word = word.lower()
+                elif lead == " " and not self.by_ends:
                     word = p[: len(p) - len(mark)]
                 parts.append((p, lead == "\n", word, mark))
                 if word not in cache:
