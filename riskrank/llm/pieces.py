@@ -60,19 +60,47 @@ class Merges:
             for i in range(1, len(p))
             if p[:i] in number and p[i:] in number
         ]
-        pairs.sort()
         self.size = len(symbols)
-        self.pairs, self.merged = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
-        self.of_character = np.full(0x110000, -1, np.int64)
+        keys, merged = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
+        self._hash(keys, merged)
+        self.of_character = np.full(0x110000, -1, np.int32)
         for p, i in number.items():
             if len(p) == 1:
                 self.of_character[ord(p)] = i
 
+    def _hash(self, keys: np.ndarray, merged: np.ndarray) -> None:
+        """A table of pairs that is at most an eighth full: a pair lies in its slot or in one of the next."""
+        bits = max(8, int(np.ceil(np.log2(8 * len(keys)))))
+        self.shift = U64(64 - bits)
+        self.pairs, self.merged = np.full((1 << bits) + 64, -1, np.int64), np.full((1 << bits) + 64, -1, np.int32)
+        left, slot = np.arange(len(keys)), self._slots(keys)
+        while len(left):
+            free = np.flatnonzero(self.pairs[slot] < 0)
+            taken, one = np.unique(slot[free], return_index=True)
+            one = free[one]
+            self.pairs[taken], self.merged[taken] = keys[left[one]], merged[left[one]]
+            rest = np.ones(len(left), bool)
+            rest[one] = False
+            left, slot = left[rest], slot[rest] + 1
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * U64(KEY)) >> self.shift).astype(np.int64)
+
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The symbol that two neighbours give, -1 for none."""
-        wanted = left * self.size + right
-        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
-        return np.where((self.pairs[at] == wanted) & (left >= 0) & (right >= 0), self.merged[at], -1)
+        wanted = left.astype(np.int64) * self.size + right
+        slot = self._slots(wanted)
+        held = self.pairs[slot]
+        out = np.where(held == wanted, self.merged[slot], np.int32(-1))
+        open_ = np.flatnonzero((held != wanted) & (held >= 0))
+        while len(open_):
+            slot[open_] += 1
+            held = self.pairs[slot[open_]]
+            same = held == wanted[open_]
+            out[open_[same]] = self.merged[slot[open_[same]]]
+            open_ = open_[~same & (held >= 0)]
+        out[(left < 0) | (right < 0)] = -1
+        return out
 
     def run(self, text: str, sizes: np.ndarray, keys: np.ndarray, limit: int) -> tuple[np.ndarray, ...]:
         """Work off the agendas of all words, which are end to end in ``text``.
@@ -80,60 +108,63 @@ class Merges:
         Returns the symbols of all words end to end, the first code point and the word of each, and for every merge that
         was applied its word and what its place in the word adds to the key.
         """
-        code = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+        code = np.frombuffer(text.encode("utf-32-le"), "<u4")
         symbol = self.of_character[code]
-        word = np.repeat(np.arange(len(sizes)), sizes)
-        begin = np.arange(len(symbol)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        end = begin + 1
-        rank, merged = np.full(len(symbol), NEVER, np.int32), np.full(len(symbol), -1, np.int64)
-
-        def offer(at: np.ndarray) -> None:
-            """Candidates of the symbols at ``at`` with those after them."""
-            at = at[at + 1 < len(symbol)]
-            at = at[word[at] == word[at + 1]]
-            found = self.find(symbol[at], symbol[at + 1])
-            at, found = at[found >= 0], found[found >= 0]
+        word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        at = np.arange(len(symbol), dtype=np.int32)  # where a symbol begins in the text
+        rank, merged = np.full(len(symbol), NEVER, np.int32), np.full(len(symbol), -1, np.int32)
+
+        def place(i: np.ndarray) -> np.ndarray:
+            """What the merges of the symbols i with those after them add to the keys of their words."""
+            of, after = word[i], np.minimum(i + 2, len(at) - 1)
+            end = np.where((after == i + 2) & (word[after] == of), at[after], ends[of])
+            a, b, c = (x - starts[of] for x in (at[i], at[i + 1], end))
+            return a.astype(np.uint64) * U64(BEGIN) + b.astype(np.uint64) * U64(MIDDLE) + c.astype(np.uint64) * U64(END)
+
+        def offer(i: np.ndarray) -> None:
+            """Candidates of the symbols i with those after them."""
+            i = i[i + 1 < len(at)]
+            i = i[word[i] == word[i + 1]]
+            found = self.find(symbol[i], symbol[i + 1])
+            i, found = i[found >= 0], found[found >= 0]
             if limit:
-                h = keys[word[at]] + self.place(begin[at], begin[at + 1], end[at + 1])
-                stays = ~skips(h, limit)
-                at, found = at[stays], found[stays]
-            rank[at], merged[at] = self.rank[found], found
+                stays = ~skips(keys[word[i]] + place(i), limit)
+                i, found = i[stays], found[stays]
+            rank[i], merged[i] = self.rank[found], found
 
         offer(np.arange(len(symbol)))
         done, applied = [], []
         while len(symbol):
             first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
             least = np.minimum.reduceat(rank, first)
-            least = np.repeat(least, np.diff(np.append(first, len(symbol))))
-            over = least == NEVER
-            if over.any():
-                done.append((symbol[over], code[over], word[over]))
+            if (least == NEVER).any():
+                over = np.repeat(least == NEVER, np.diff(np.append(first, len(symbol))))
+                done.append((symbol[over], at[over], word[over]))
                 rest = ~over
-                symbol, code, word, begin, end, rank, merged, least = (x[rest] for x in (symbol, code, word, begin, end, rank, merged, least))
+                symbol, at, word, rank, merged = (x[rest] for x in (symbol, at, word, rank, merged))
                 if not len(symbol):
                     break
-            at = np.flatnonzero(rank == least)
-            at = at[np.concatenate([[True], word[at][1:] != word[at][:-1]])]
-            applied.append((word[at], self.place(begin[at], begin[at + 1], end[at + 1])))
-            symbol[at], end[at] = merged[at], end[at + 1]
+                first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+                least = least[least != NEVER]
+            i = np.flatnonzero(rank == np.repeat(least, np.diff(np.append(first, len(symbol)))))
+            i = i[np.concatenate([[True], word[i][1:] != word[i][:-1]])]
+            applied.append((word[i], place(i)))
+            symbol[i] = merged[i]
             keep = np.ones(len(symbol), bool)
-            keep[at + 1] = False
-            at = at - np.arange(len(at))  # one symbol less for each merge before
-            symbol, code, word, begin, end, rank, merged = (x[keep] for x in (symbol, code, word, begin, end, rank, merged))
-            before = at[at > 0] - 1
-            before = before[word[before] == word[before + 1]]
-            near = np.concatenate([at, before])
+            keep[i + 1] = False
+            symbol, at, word, rank, merged = (x[keep] for x in (symbol, at, word, rank, merged))
+            i = i - np.arange(len(i))  # one symbol less for each merge before
+            before = i[i > 0] - 1
+            near = np.concatenate([i, before[word[before] == word[before + 1]]])
             rank[near] = NEVER
             offer(near)
         joined = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
-        symbols, codes, of = (joined([d[i] for d in done], np.int64) for i in range(3))
+        symbols, begins, of = (joined([d[k] for d in done], np.int32) for k in range(3))
         order = np.argsort(of, kind="stable")
-        of_merge, adds = joined([a[0] for a in applied], np.int64), joined([a[1] for a in applied], np.uint64)
-        return symbols[order], codes[order], of[order], of_merge, adds
-
-    @staticmethod
-    def place(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
-        return a.astype(np.uint64) * U64(BEGIN) + b.astype(np.uint64) * U64(MIDDLE) + c.astype(np.uint64) * U64(END)
+        of_merge, adds = joined([a[0] for a in applied], np.int32), joined([a[1] for a in applied], np.uint64)
+        return symbols[order], code[begins[order]].astype(np.int64), of[order], of_merge, adds
 
 
 class PieceCodec:
@@ -239,13 +270,14 @@ class PieceCodec:
             out[at[which] + j] = self.ids_of_bytes[lead[k] | part if j == 0 else 0x80 | (part & 0x3F)]
         return out, np.repeat(of, times)
 
-    def _together(self, chunks: list[str], own: list[int], places: np.ndarray, limit: int) -> list[tuple[bytes, bytes, int]]:
-        """Ids, merges and keys of many chunks (``own``: their keys) at their places."""
+    def _together(self, chunks: list[str], own: list[int], places: np.ndarray, limit: int) -> list:
+        """Ids of many chunks (``own``: their keys) at their places; without a limit their merges and keys too."""
         out: list = [None] * len(chunks)
         plain = [i for i, c in enumerate(chunks) if len(c) <= LONG and SPACE not in c]
         if len(plain) < len(chunks):
             for i in set(range(len(chunks))).difference(plain):
-                out[i] = (*self._alone(chunks[i], int(places[i]), limit), own[i])
+                ids, merges = self._alone(chunks[i], int(places[i]), limit)
+                out[i] = ids if limit else (ids, merges, own[i])
         for begin in range(0, len(plain), WORDS):
             part = plain[begin : begin + WORDS]
             words = [chunks[i] for i in part]
@@ -253,11 +285,15 @@ class PieceCodec:
             text, sizes = "".join(words).replace(" ", SPACE), np.fromiter(map(len, words), np.int64, len(words))
             symbols, codes, of, of_merge, adds = self.merges.run(text, sizes, keys + places[part], limit)
             ids, of = self._spelled(symbols, codes, of)
+            edges = np.append(0, 4 * np.cumsum(np.bincount(of, minlength=len(part)))).tolist()
+            raw = ids.astype("<u4").tobytes()
+            if limit:
+                for i, a, b in zip(part, edges, edges[1:]):  # noqa: B905
+                    out[i] = raw[a:b]
+                continue
             order = np.argsort(of_merge, kind="stable")
             merges = (keys[of_merge] + adds)[order].tobytes()
             cuts = np.append(0, 8 * np.cumsum(np.bincount(of_merge, minlength=len(part)))).tolist()
-            edges = np.append(0, 4 * np.cumsum(np.bincount(of, minlength=len(part)))).tolist()
-            raw = ids.astype("<u4").tobytes()
             for i, a, b, c, d in zip(part, edges, edges[1:], cuts, cuts[1:]):  # noqa: B905
                 out[i] = raw[a:b], merges[c:d], own[i]
         return out
@@ -299,7 +335,7 @@ class PieceCodec:
             again = np.unique(of[skips(place[of] + merges, self.limit)]).tolist()
             found = self._together([chunks[i] for i in again], [known[i][2] for i in again], place[again], self.limit)
             for i, x in zip(again, found, strict=True):
-                ids[i] = x[0]
+                ids[i] = x
         out, at = [], 0
         for n in sizes:
             out.append(b"".join(ids[at : at + n]))
