@@ -81,16 +81,17 @@ class CachedEncoder:
 
     A text is cut before each run of white space. No pre-token of the two vocabularies reaches over such
     a cut, so the ids of the pieces, end to end, are the ids of the text; frequent pieces are encoded once.
-    The cache has two generations of ``CACHE_ENTRIES`` pieces; what the older one holds unused is dropped. A text
+    The cache has two generations of ``entries`` pieces; what the older one holds unused is dropped. A text
     that may hold one of the vocabulary's added tokens, such as its end of text, is encoded as a whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         # A task has one core; the library's own threads would only contend with those of other tasks.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.entries = entries
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
@@ -188,7 +189,7 @@ class CachedEncoder:
         for p in missing:
             if len(p) > CACHE_CHARS:
                 del cache[p]
-        if len(cache) > CACHE_ENTRIES:
+        if len(cache) > self.entries:
             self.cache, self.older = {}, cache
         return out
 
@@ -209,10 +210,11 @@ class CachedEncoder:
 _ENCODERS: dict[str, CachedEncoder] = {}
 
 
-def encoder(path: str) -> CachedEncoder:
-    """One encoder for each vocabulary file and Python worker."""
+def encoder(path: str, entries: int = CACHE_ENTRIES) -> CachedEncoder:
+    """One encoder for each vocabulary file and Python worker, with the largest cache asked for."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = CachedEncoder(path)
+        _ENCODERS[path] = CachedEncoder(path, entries)
+    _ENCODERS[path].entries = max(entries, _ENCODERS[path].entries)
     return _ENCODERS[path]
 
 

@@ -272,7 +272,8 @@ def classify(
     """Per row: doc_id, text_hash, host, path, p_low and p_toxic (posteriors), reject (either over ``threshold``).
 
     ``host`` and ``path`` name the site and its section (default: ``source`` and ``lang``); null is a site of its
-    own. Null and empty texts have no words and are judged by their marks and their site; long texts are judged whole. Rows
+    own. A document counts in its site's rate as any other does, so a site of one is moved a little by itself.
+    Null and empty texts have no words and are judged by their marks and their site; long texts are judged whole. Rows
     with a null id and repeated rows are judged each; other columns are ignored; an empty table gives no rows.
     """
     host = F.col("source") if host is None else host

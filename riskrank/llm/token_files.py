@@ -147,6 +147,10 @@ def _open(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri.removeprefix('file:')}")
 
 
+# Pieces that a task remembers, in two generations: some 100 bytes each.
+CACHE_ENTRIES = 600_000
+
+
 def id_type(vocabulary: int) -> str:
     """How ids are kept between the steps: two bytes each where the vocabulary allows it, else four."""
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
@@ -157,7 +161,7 @@ def tokenize(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int, id:
     width = np.dtype(kind).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer).encode_column, np.asarray([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer, CACHE_ENTRIES).encode_column, np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             step = 256  # rows held at once
             for i in range(0, len(batch), step):
