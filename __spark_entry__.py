@@ -46,7 +46,7 @@ TRAIN_UNTIL = "2000-01-01"
 # Training rows are dealt by id, so that a fit does not depend on the number of cores.
 PARTITIONS = 4
 # Rows of a bucket, for the query that forces cut points of two levels.
-TINY_BUCKET = 4
+TINY_BUCKET = 16
 # Bucket count of the queries that force the multi-bucket path on tables too small to choose it.
 BUCKETS = 16
 
