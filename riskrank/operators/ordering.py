@@ -41,6 +41,8 @@ SAMPLES_PER_BUCKET = 16
 MAX_COARSE = SLOTS // SAMPLES_PER_BUCKET
 MAX_FINE = 4096
 MAX_TASKS = 8192
+# Buckets smaller than they need to be share tasks, once there are so many.
+MANY_TASKS = 64
 BUCKET = "__bucket"
 SLOT = "__slot"
 TASK = "__task"
@@ -70,7 +72,8 @@ class Layout:
     """Cut points dividing a sort order into contiguous buckets; no cut points mean one bucket.
 
     ``fine`` divides the buckets of ``cuts`` further: a table with a row for each of them, bucket, base (its
-    first bucket in the finer count) and cuts (an ordered array of structs of the keys); ``total`` finer buckets.
+    first bucket in the finer count) and cuts (an ordered array of structs of the keys); ``total`` finer buckets. ``rows`` is the
+    number of rows that the cut points were chosen for.
 
     A faster search may place a row that is tied with a hot score and next to a cut point on the other side of it, always the
     same one. With ``exact`` it does not, so that a cut point divides the rows alike in all layouts that hold it.
@@ -83,11 +86,17 @@ class Layout:
     fine: DataFrame | None = None
     total: int = 0
     exact: bool = False
+    rows: int = 0
 
     @property
     def buckets(self) -> int:
         return len(self.cuts) + 1 if self.fine is None else self.total
 
+    @property
+    def tasks(self) -> int:
+        """Tasks of a shuffle by bucket: each has one bucket, or a run of them."""
+        return min(self.buckets, MAX_TASKS, max(MANY_TASKS, choose_buckets(self.rows)))
+
     def ordering(self) -> list[Column]:
         return [k.ordering() for k in self.keys]
 
@@ -314,13 +323,13 @@ def plan_layout(
     buckets = num_buckets or choose_buckets(rows, rows_per_bucket)
     coarse = min(buckets, MAX_COARSE)
     cuts = distinct_cuts([keys_of(found[i * len(found) // coarse], whole) for i in range(1, coarse)])
-    layout = Layout(keys, cuts, types, nullable)
+    layout = Layout(keys, cuts, types, nullable, rows=rows)
     if buckets <= MAX_COARSE:
         return layout
-    return _divided(columns, layout, rows, rows / buckets, workspace or Workspace(df.sparkSession))
+    return _divided(columns, layout, rows / buckets, workspace or Workspace(df.sparkSession))
 
 
-def _divided(columns: DataFrame, layout: Layout, rows: int, target: float, ws: Workspace) -> Layout:
+def _divided(columns: DataFrame, layout: Layout, target: float, ws: Workspace) -> Layout:
     """``layout`` with each bucket divided into as many as bring it to ``target`` rows, by a sample of its own."""
     share = min(1.0, SAMPLES_PER_BUCKET / target)
     names = [k.name for k in layout.keys]
@@ -416,10 +425,8 @@ def running_totals(df: DataFrame, layout: Layout, measures: Mapping[str, Column]
     rows = keyed.select(
         *columns, BUCKET, F.lit(True).alias("__is_row"), F.lit(1).cast("long").alias("__n"), *[F.col(m).alias(f"__sum_{m}") for m in names]
     )
-    # A task has one bucket, or a run of them.
-    tasks = min(layout.buckets, MAX_TASKS)
-    task = F.floor(F.col(BUCKET) / -(-layout.buckets // tasks)).cast("int")
-    both = rows.unionByName(heads, allowMissingColumns=True).withColumn(TASK, task).repartitionById(tasks, F.col(TASK))
+    task = F.floor(F.col(BUCKET) / -(-layout.buckets // layout.tasks)).cast("int")
+    both = rows.unionByName(heads, allowMissingColumns=True).withColumn(TASK, task).repartitionById(layout.tasks, F.col(TASK))
     local = W.partitionBy(TASK, BUCKET).orderBy("__is_row", *layout.ordering()).rowsBetween(W.unboundedPreceding, W.currentRow)
     summed = both.select(
         *columns,
