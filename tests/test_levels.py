@@ -48,6 +48,27 @@ def test_a_dictionary_of_frequent_levels_only(spark):
     assert all(got[i] == (c if c in "ab" else "a") for i, c in rows)
 
 
+def test_a_dictionary_without_levels(spark):
+    """No value has the share: nothing to become, and the index of the most frequent level."""
+    df = spark.createDataFrame([(i, f"x{i}" if i else None) for i in range(2000)], "id int, c string")
+    levels = fit_levels(df, ["c"], min_share=0.01)
+    assert levels.labels == {"c": []}
+    got = index_apply(unseen_to_mode(df, levels), levels, unknown=0.0).collect()
+    assert sorted((r.id, r.c, r.c_index) for r in got) == [(i, None, 0.0) for i in range(2000)]
+    with pytest.raises(Exception, match="(?i)null"):
+        index_apply(unseen_to_mode(df, levels), levels).collect()
+
+
+@pytest.mark.parametrize("options", [{}, {"max_local": 2, "broadcast_levels": 2, "num_buckets": 2}])
+def test_an_index_for_unknown_levels(spark, options):
+    train = spark.createDataFrame([(v,) for v in "aaaabbbccd"], "c string")
+    levels = fit_levels(train, ["c"], **options)
+    df = spark.createDataFrame([("a",), ("b",), ("d",), ("z",), (None,)], "c string")
+    got = index_apply(df, levels, unknown=0.0)
+    assert sorted(got.collect(), key=str) == sorted([("a", 0.0), ("b", 1.0), ("d", 3.0), ("z", 0.0), (None, 0.0)], key=lambda r: f"Row(c={r[0]!r}, c_index={r[1]})")
+    assert got.schema["c_index"].metadata == index_apply(df, levels).schema["c_index"].metadata
+
+
 def test_filter_has_no_false_negatives(spark):
     frame = spark.range(3000).select(F.lit("c").alias("column"), F.concat(F.lit("l"), "id").alias("level"), F.col("id").cast("double").alias("index"))
     words = _blooms(frame, {"c": 3000}, 1000)["c"]
