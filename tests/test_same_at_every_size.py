@@ -1,6 +1,7 @@
 """Nothing depends on the number of cores, on other columns' width, or on values that a cast would change."""
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from riskrank.operators import error_rate, fit_levels, index_apply, score_rank, unseen_to_mode
@@ -33,6 +34,32 @@ def test_fits_follow_from_data_and_seed(table, kind):
     assert scores[0] == scores[1] == scores[2]
 
 
+@pytest.mark.parametrize("kind", ["tree", "forest", "boosted", "network"])
+def test_no_task_learns_from_all_rows_of_a_larger_table(table, monkeypatch, kind):
+    """Rows are dealt to as many partitions as their number asks for, and every row to one; a small table to as many as named."""
+    seen = []
+    fit = Pipeline.fit
+
+    def spied(self, training):
+        seen.append([r["count"] for r in training.groupBy(F.spark_partition_id()).count().collect()])
+        return fit(self, training)
+
+    monkeypatch.setattr(Pipeline, "fit", spied)
+    options = {"forest": {"numTrees": 3}, "network": {"maxIter": 2}}.get(kind, {})
+    fit_risk_model(table, ROLES, kind, partitions=4, rows_per_partition=250, **options)
+    fit_risk_model(table, ROLES, kind, partitions=4, **options)
+    assert [len(s) for s in seen] == [16, 4] and [sum(s) for s in seen] == [4000, 4000]
+    assert max(seen[0]) < 2 * 250
+
+
+def test_dealing_to_more_partitions_follows_from_the_data(table):
+    scores = []
+    for n in (1, 5):
+        model = fit_risk_model(table.repartition(n, "x"), ROLES, "forest", partitions=2, rows_per_partition=300, numTrees=5)
+        scores.append(sorted(map(tuple, model.score(table).collect())))
+    assert scores[0] == scores[1]
+
+
 def test_too_many_levels_are_refused_unless_numeric(table):
     with pytest.raises(ValueError, match="kind has 6 levels"):
         fit_risk_model(table, ROLES, "tree", max_levels=5)
