@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from riskrank.operators import error_rate, fit_levels, index_apply, score_rank, unseen_to_mode
 from riskrank.plans import fit_risk_model
+from riskrank.plans.scoring import _deal_blocks, even_block
 from riskrank.sources import Roles, Workspace
 
 ROLES = Roles(target="bad", positive=1, id="id", categorical=["kind", "flag"], continuous=["x", "y"])
@@ -52,6 +53,37 @@ def test_no_task_learns_from_all_rows_of_a_larger_table(table, monkeypatch, kind
     assert max(seen[0]) < 2 * 250
 
 
+def test_even_blocks_weigh_rows_alike(spark, table, monkeypatch):
+    """A network's blocks have one size, whatever the number of rows, and no row is lost, null and repeated ids included."""
+    seen = []
+    fit = Pipeline.fit
+
+    def spied(self, training):
+        sizes = [r["count"] for r in training.groupBy(F.spark_partition_id()).count().collect()]
+        seen.append((self.getStages()[-1].getBlockSize(), sizes))
+        return fit(self, training)
+
+    monkeypatch.setattr(Pipeline, "fit", spied)
+    odd = table.withColumn("id", F.when(F.col("id") % 3 > 0, F.col("id") % 500))
+    for rows, partitions, block in ((table, 4, 125), (odd, 3, 125), (table.where("id < 3989"), 4, 1)):
+        fit_risk_model(rows, ROLES, "network", partitions=partitions, even_blocks=128, maxIter=2)
+        found, sizes = seen.pop()
+        assert found == block and sum(sizes) == rows.count() and all(n % block == 0 for n in sizes)
+    for options in ({"partitions": 4, "blockSize": 2}, {}):
+        with pytest.raises(ValueError, match="even_blocks"):
+            fit_risk_model(table, ROLES, "network", even_blocks=128, **options)
+
+
+def test_left_over_rows_share_one_block(spark):
+    rows = spark.range(1003).select(F.col("id").alias("__order"), (F.col("id") * 2).alias("x"))
+    dealt = _deal_blocks(rows, 4, 32).withColumn("part", F.spark_partition_id()).collect()
+    assert sorted(r.x for r in dealt) == list(range(0, 2006, 2))
+    sizes = {p: sum(r.part == p for r in dealt) for p in {r.part for r in dealt}}
+    assert sorted(n % 32 for n in sizes.values()) == [0, 0, 0, 0, 1003 % 32]
+    assert [even_block(n, 128) for n in (0, 1, 7, 101, 127 * 131, 128 * 10**9 - 5)] == [128, 1, 7, 101, 127, 128]
+    assert all(-n % even_block(n, 128) <= 1e-6 * n for n in range(10**7, 10**7 + 50)) and even_block(10**7 + 19, 128) > 16
+
+
 def test_dealing_to_more_partitions_follows_from_the_data(table):
     scores = []
     for n in (1, 5):
