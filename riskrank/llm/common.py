@@ -23,17 +23,14 @@ U64 = np.uint64
 # Odd multipliers of a 64-bit finalizer; any odd constants with mixed bits serve.
 MIX_A, MIX_B, MIX_C = U64(0x9E3779B97F4A7C15), U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 
-# White space as the tokenizers' patterns see it; chunks begin before a run of it.
-SPACE = r"\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 # Bytes of text handled at once where arrays of their size are made; a longer text is one part.
 PART = 1 << 20
 CACHE_ENTRIES = 250_000
 CACHE_CHARS = 48
-# What most pieces are: maybe a space or a line end, Latin letters that stay letters in lower case, maybe a mark. The
-# letters, the mark and the line end are pre-tokens of their own, so each is encoded once for all pieces that hold it.
-SIMPLE = re.compile("([ \n]?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([,.]?)")
-JOINED = 500
+# Latin letters that stay letters in lower case.
+LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"
+ASCII_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+ASCII_LETTER = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,11 +73,40 @@ def parts_of(batch: pa.RecordBatch, i: int) -> Iterator[pa.RecordBatch]:
         at = stop
 
 
+def white_space(raw: np.ndarray) -> np.ndarray:
+    """Which bytes belong to white space as the tokenizers' patterns see it."""
+    space = ASCII_SPACE[raw]
+    at = np.flatnonzero((raw == 0xC2) | (raw >= 0xE1) & (raw <= 0xE3))
+    if len(at):
+        code = raw[at].astype(np.int32) << 16  # the character's bytes, with a 0 for what a shorter one lacks
+        code |= raw[at + 1].astype(np.int32) << 8
+        three = at[raw[at] != 0xC2]
+        code[raw[at] != 0xC2] |= raw[three + 2]
+        wide = (code >= 0xE28080) & (code <= 0xE2808A)
+        wide |= np.isin(code, [0xC28500, 0xC2A000, 0xE19A80, 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
+        at, n = at[wide], 2 + (raw[at[wide]] != 0xC2)
+        space[at] = space[at + 1] = space[at + n - 1] = True
+    return space
+
+
+def letter_bytes(raw: np.ndarray) -> np.ndarray:
+    """Which bytes belong to letters of ``LETTERS`` up to U+023F."""
+    letter = ASCII_LETTER[raw]
+    at = np.flatnonzero((raw >= 0xC3) & (raw <= 0xC8))
+    if len(at):
+        code = (raw[at].astype(np.int32) << 8) | raw[at + 1]
+        at = at[~np.isin(code, [0xC397, 0xC3B7, 0xC4B0])]
+        letter[at] = letter[at + 1] = True
+    return letter
+
+
 class CachedEncoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 
     A text is cut before each run of white space. No pre-token of the two vocabularies reaches over such
-    a cut, so the ids of the pieces, end to end, are the ids of the text; frequent pieces are encoded once.
+    a cut, so the ids of the pieces, end to end, are the ids of the text. Most pieces are letters with maybe a space or
+    a line end before them and a mark after them; these are cut further, since the letters, the mark and the line end are
+    pre-tokens of their own. Texts are cut as arrays of bytes, and each distinct piece of them is looked up once.
     The cache has two generations of ``entries`` pieces; what the older one holds unused is dropped. A text
     that may hold one of the vocabulary's added tokens, such as its end of text, is encoded as a whole.
     """
@@ -94,25 +120,22 @@ class CachedEncoder:
         self.entries = entries
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.by_ends = any(p.endswith("</w>") for p in vocabulary)
-        # A vocabulary by word ends has no case here; the other's words begin with their space.
-        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.edge[[i for p, i in vocabulary.items() if p.startswith("\u0120")]] = True
+        self.by_ends = any(p.endswith("</w>") for p in self.tokenizer.get_vocab())
         added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         if any(a[:1] != "<" for a in added):
             raise ValueError("added tokens must begin with <")
         self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
-        self.marks = {m: self._single([m])[0] if m else b"" for m in ("", ",", ".")}
-        # Without its own piece, a line end is white space, which a vocabulary by word ends leaves out.
-        self.line_end = self._single(["\n"])[0]
+        # A vocabulary by word ends leaves white space out; the other's words begin with their space.
+        self.word = re.compile(LETTERS if self.by_ends else f" ?{LETTERS}")
         # How a vocabulary of bytes writes them: those that print as they are, the rest as characters from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = (b for b in range(256) if b not in shown)
         self.written = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
-        # Whether words by ends are bytes in lower case, so that the model alone gives their ids.
+        # Whether the model alone gives the ids of words as bytes: by ends in lower case, others as they are.
         probe = ["Zebras", "x", "Àéß", "ǅur", "ŁÓDŹ"]
-        self.direct = self.by_ends and self._single(probe) == self._merged([w.lower() for w in probe])
+        if not self.by_ends:
+            probe += [f" {w}" for w in probe]
+        self.direct = self._single(probe) == self._merged(probe)
 
     def _single(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
@@ -120,72 +143,75 @@ class CachedEncoder:
 
     def _merged(self, words: list[str]) -> list[bytes]:
         merge, written = self.tokenizer.model.tokenize, self.written
-        texts = [w if w.isascii() else "".join([written[b] for b in w.encode()]) for w in words]
+        if self.by_ends:
+            words = [w.lower() for w in words]
+        texts = [w.replace(" ", written[32]) if w.isascii() else "".join([written[b] for b in w.encode()]) for w in words]
         return [array("I", [t.id for t in merge(x)]).tobytes() for x in texts]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters: those in lower case by the model, others, maybe after a space, from joined texts."""
-        if self.by_ends:
-            return self._merged(words) if self.direct else self._single(words)
-        if words[0][0] == " ":
-            text, first = "".join(words), 0
-        else:
-            text, first = "\n" + "\n".join(words), 1
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        edge = ids == np.frombuffer(self.line_end, "<u4")[0] if first else self.edge[ids]
-        edges = np.flatnonzero(edge)
-        if len(edges) != len(words):
-            return self._single(words)
-        cuts, raw = (4 * np.append(edges, len(ids))).tolist(), ids.tobytes()
-        return [raw[a + 4 * first : b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-
-    def _find(self, missing: set[str]) -> None:
+    def _find(self, missing: list[str]) -> None:
         """Put the ids of pieces that the younger cache lacks there."""
-        older, cache = self.older, self.cache
-        parts, spaced, bare, others = [], set(), set(), []
+        older, cache, is_word = self.older, self.cache, self.word.fullmatch
+        words, others = [], []
         for p in missing:
             ids = older.get(p)
             if ids is not None:
                 cache[p] = ids
-            elif simple := SIMPLE.fullmatch(p):
-                lead, word, mark = simple.groups()
-                if self.direct:
-                    word = word.lower()
-                elif lead == " " and not self.by_ends:
-                    word = p[: len(p) - len(mark)]
-                parts.append((p, lead == "\n", word, mark))
-                if word not in cache:
-                    ids = older.get(word)
-                    if ids is None:
-                        (spaced if word[0] == " " else bare).add(word)
-                    else:
-                        cache[word] = ids
+            elif self.direct and is_word(p):
+                words.append(p)
             else:
                 others.append(p)
-        for words in (list(spaced), list(bare)):
-            for i in range(0, len(words), JOINED):
-                part = words[i : i + JOINED]
-                cache.update(zip(part, self._words(part), strict=True))
+        cache.update(zip(words, self._merged(words), strict=True))
         for i in range(0, len(others), 20_000):
             part = others[i : i + 20_000]
             cache.update(zip(part, self._single(part), strict=True))
-        for p, after_line, word, mark in parts:
-            if p != word:
-                ids = cache[word]
-                cache[p] = (self.line_end if after_line else b"") + ids + self.marks[mark]
 
-    def encode_many(self, texts: Sequence[str | None]) -> list[bytes]:
-        """The ids of each text; what no cache holds is encoded for all of them together."""
-        cache, added = self.cache, self.added
-        whole = [bool(t) and "<" in t and added is not None and bool(added.search(t)) for t in texts]
-        pieces = [[] if w else CHUNK.findall(t or "") for t, w in zip(texts, whole, strict=True)]
-        missing = set().union(*pieces).difference(cache)
+    def _cut(self, raw: np.ndarray, rows: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of texts, which are end to end in ``raw`` and begin at ``rows``, and the first piece of each row."""
+        space = white_space(raw)
+        first = space.copy()
+        first[1:] &= ~space[:-1]
+        first[rows[rows < len(raw)]] = True
+        begin = np.flatnonzero(first)
+        end = np.append(begin[1:], len(raw))
+        head, tail = raw[begin], raw[end - 1]
+        line, blank = head == 10, head == 32
+        mark = (tail == 44) | (tail == 46)
+        letters = np.add.reduceat(letter_bytes(raw), begin, dtype=np.int64)
+        simple = (letters > 0) & (letters == end - begin - line - blank - mark)
+        first[(end - 1)[simple & mark]] = True
+        first[(begin + 1)[simple & line]] = True
+        if self.by_ends and self.direct:
+            # Their spaces have no ids, and lower case tells fewer words apart.
+            raw = np.where(np.repeat(simple, end - begin) & (raw >= 65) & (raw <= 90), raw + np.uint8(32), raw)
+            stays = np.ones(len(raw), bool)
+            stays[begin[simple & blank]] = False
+            first[(begin + 1)[simple & blank]] = True
+            rows = np.append(0, np.cumsum(stays))[rows]
+            raw, first = raw[stays], first[stays]
+        begin = np.flatnonzero(first)
+        offsets = np.append(begin, len(raw)).astype(np.int64)
+        pieces = pa.Array.from_buffers(pa.large_string(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+        return pieces, np.searchsorted(begin, rows)
+
+    def _encode(self, column: pa.Array) -> list[bytes]:
+        raw, offsets = text_bytes(column)
+        if not len(raw):
+            return [b""] * len(column)
+        pieces, rows = self._cut(raw, offsets)
+        coded = pieces.dictionary_encode()
+        distinct, cache = coded.dictionary.to_pylist(), self.cache
+        missing = [p for p in distinct if p not in cache]
         if missing:
             self._find(missing)
-        out = [
-            self._single([t])[0] if w else b"".join(map(cache.__getitem__, p))
-            for t, w, p in zip(texts, whole, pieces, strict=True)
-        ]
+        ids = pa.array([cache[p] for p in distinct], pa.large_binary()).take(coded.indices)
+        edges, data = np.frombuffer(ids.buffers()[1], "<i8", len(ids) + 1)[rows].tolist(), ids.buffers()[2]
+        whole = data.to_pybytes() if data else b""
+        out = [whole[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        if self.added is not None:
+            for i in np.unique(np.searchsorted(offsets, np.flatnonzero(raw == ord("<")), "right") - 1).tolist():
+                text = column[i].as_py()
+                if self.added.search(text):
+                    out[i] = self._single([text])[0]
         for p in missing:
             if len(p) > CACHE_CHARS:
                 del cache[p]
@@ -193,6 +219,10 @@ class CachedEncoder:
             self.cache, self.older = {}, cache
         return out
 
+    def encode_many(self, texts: Sequence[str | None]) -> list[bytes]:
+        """The ids of each text; what no cache holds is encoded for all of them together."""
+        return self._encode(pa.array(texts, pa.large_string()))
+
     def encode(self, text: str | None) -> bytes:
         return self.encode_many([text])[0]
 
@@ -202,8 +232,8 @@ class CachedEncoder:
         at = 0
         while at < len(column):
             before = int(sizes[at - 1]) if at else 0
-            stop = max(at + 1, int(np.searchsorted(sizes, before + (PART >> 2), "right")))
-            yield from self.encode_many(column.slice(at, stop - at).to_pylist())
+            stop = max(at + 1, int(np.searchsorted(sizes, before + PART, "right")))
+            yield from self._encode(column.slice(at, stop - at))
             at = stop
 
 

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -194,6 +195,30 @@ def test_encoder_of_many_new_words(path):
     assert CachedEncoder(path).encode(text) == expected
 
 
+@pytest.mark.parametrize("path,distinct", [(BYTE, 7), (WORD, 4)])
+def test_words_are_found_once_and_by_the_model(path, distinct, monkeypatch):
+    """Marks, line ends and, where it is dropped, case make no new words, and no words go through the whole tokenizer."""
+    e, seen = CachedEncoder(path), []
+    single = e._single
+    monkeypatch.setattr(e, "_single", lambda pieces: seen.extend(pieces) or single(pieces))
+    texts = ["Zebu zebu, zebu.\nzebu. Zebu,\nZebu", "", None, " zebu, Zebu"] * 3
+    expected = [np.asarray(x.ids, "<u4").tobytes() for x in e.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert e.encode_many(texts) == expected
+    assert set(seen) <= {",", ".", "\n"} and len(seen) <= 3 and len(e.cache) == distinct
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_encoder_cuts_rows_at_their_ends(path):
+    """Rows of one column, slices of it too: white space, marks and added tokens at the ends of rows stay their own."""
+    r = random.Random(5)
+    alphabet = [*"ab'sÉ×İɀ.,<9 \n\x85\xa0\u2003\u3000́", "<|endoftext|>", " the,", "Ed."]
+    texts = [None, "", *("".join(r.choices(alphabet, k=r.randint(0, 6))) for _ in range(4000))]
+    e = CachedEncoder(path, 500)
+    expected = [np.asarray(x.ids, "<u4").tobytes() for x in e.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert list(e.encode_column(pa.array(["x,", *texts]).slice(1))) == expected
+    assert list(e.encode_column(pa.array([None, ""], pa.string()))) == [b"", b""] and e.encode_many([]) == []
+
+
 def test_packing(spark):
     rows = mixed_rows(6) + [(500, "word " * 5000)]
     got = packing.pack_documents(docs_of(spark, rows), Workspace(spark), tokenizer=BYTE, capacity=256, keep_ids=True).collect()
