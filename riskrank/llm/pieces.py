@@ -22,10 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskrank.llm.common import MIX_A, MIX_C, U64, mix64, parts_of
+from riskrank.llm.common import MIX_A, MIX_C, U64, mix64, parts_of, text_bytes
 
 SPACE = "▁"
-# No piece of such a vocabulary reaches from a word into the spaces after it, so chunks are encoded alone.
+# No piece of such a vocabulary reaches from a word into the spaces after it, so chunks are encoded alone: a text is cut before each run
+# of spaces, as by this pattern.
 CHUNK = re.compile(" *[^ ]+| +")
 # Words handled at once; longer words have an agenda of their own.
 WORDS = 1 << 15
@@ -184,6 +185,7 @@ class PieceCodec:
         self.spelled = [p.replace(SPACE, " ").encode() if p in self.score else b"" for p in names]
         for b, i in enumerate(self.byte_ids):
             self.spelled[i] = bytes([b])
+        self.pieces = pa.array(self.spelled, pa.large_binary())
         self.limit, self.seed = int(dropout * 2**64), seed
         self.merges = Merges(self.score, self.ids)
         # Chunks with no merge skipped: their ids, the keys of the merges applied but for the place, as 64-bit numbers, and
@@ -298,49 +300,75 @@ class PieceCodec:
                 out[i] = raw[a:b], merges[c:d], own[i]
         return out
 
-    def _plain(self, chunks: set[str]) -> dict[str, tuple[bytes, bytes, int]]:
-        """What ``_together`` gives for each chunk with nothing skipped; remembered, but for long ones."""
+    def _plain(self, chunks: list[str]) -> list[tuple[bytes, bytes, int]]:
+        """What ``_together`` gives for each of these distinct chunks with nothing skipped; remembered, but for long ones."""
         young, old = self.young, self.old
-        missing = chunks.difference(young)
-        found = {c: young[c] for c in chunks.difference(missing)}
-        for c in missing.intersection(old):
-            found[c] = young[c] = old[c]
-        new = list(missing.difference(old))
-        own = [self.key(c.replace(" ", SPACE)) for c in new]
-        fresh = dict(zip(new, self._together(new, own, np.zeros(len(new), np.uint64), 0), strict=True))
-        young.update((c, x) for c, x in fresh.items() if len(c) <= CACHE_CHARS)
+        out, new = [young.get(c) for c in chunks], []
+        for i, x in enumerate(out):
+            if x is None:
+                out[i] = x = old.get(chunks[i])
+                if x is None:
+                    new.append(i)
+                else:
+                    young[chunks[i]] = x
+        words = [chunks[i] for i in new]
+        own = [self.key(c.replace(" ", SPACE)) for c in words]
+        for i, c, x in zip(new, words, self._together(words, own, np.zeros(len(new), np.uint64), 0), strict=True):
+            out[i] = x
+            if len(c) <= CACHE_CHARS:
+                young[c] = x
         if len(young) > CACHE_ENTRIES:
             self.young, self.old = {}, young
-        return found | fresh
+        return out
 
     def encode(self, text: str | None, doc: int) -> bytes:
         return self.encode_many([text], [doc])[0]
 
     def encode_many(self, texts: Sequence[str | None], docs: Sequence[int]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit numbers; an empty text has none."""
-        cut = [CHUNK.findall(" " + t) if t else [] for t in texts]
-        sizes = [len(c) for c in cut]
-        chunks = [c for part in cut for c in part]
-        plain = self._plain(set(chunks))
-        known = list(map(plain.__getitem__, chunks))
+        """Ids of each text as little-endian unsigned 32-bit numbers; an empty text has none.
+
+        The chunks of all texts are cut and told apart as arrays, so that each distinct one is looked up once.
+        """
+        raw, rows = text_bytes(pa.array([f" {t}" if t else "" for t in texts], pa.large_string()))
+        if not len(raw):
+            return [b""] * len(texts)
+        first = raw == 32
+        first[1:] &= raw[:-1] != 32
+        first[rows[rows < len(raw)]] = True
+        begin = np.flatnonzero(first)
+        edges = np.append(begin, len(raw)).astype(np.int64)
+        chunks = pa.Array.from_buffers(pa.large_string(), len(begin), [None, pa.py_buffer(edges), pa.py_buffer(raw)])
+        coded = chunks.dictionary_encode()
+        distinct, which = coded.dictionary.to_pylist(), coded.indices.to_numpy().copy()
+        known = self._plain(distinct)
         ids = [x[0] for x in known]
-        if self.limit and chunks:
-            merged = [x[1] for x in known]
+        rows = np.searchsorted(begin, rows)
+        if self.limit:
+            sizes = np.diff(rows)
+            merged = pa.array([x[1] for x in known], pa.large_binary()).take(coded.indices)
+            ends, data = np.frombuffer(merged.buffers()[1], "<i8", len(merged) + 1), merged.buffers()[2]
+            merges = np.frombuffer(data, "<u8", ends[-1] >> 3) if ends[-1] else np.empty(0, np.uint64)
             bases = np.array([(doc * int(MIX_C) + self.seed) & MASK for doc in docs], np.uint64)
-            ends = np.cumsum(sizes)
-            inside = np.arange(len(chunks)) - np.repeat(ends - sizes, sizes)
+            inside = np.arange(len(begin)) - np.repeat(rows[:-1], sizes)
             place = mix64(inside.astype(np.uint64) * MIX_A + np.repeat(bases, sizes))
-            of = np.repeat(np.arange(len(chunks)), np.fromiter(map(len, merged), np.int64, len(merged)) >> 3)
-            merges = np.frombuffer(b"".join(merged), "<u8", len(of))
-            again = np.unique(of[skips(place[of] + merges, self.limit)]).tolist()
-            found = self._together([chunks[i] for i in again], [known[i][2] for i in again], place[again], self.limit)
-            for i, x in zip(again, found, strict=True):
-                ids[i] = x
-        out, at = [], 0
-        for n in sizes:
-            out.append(b"".join(ids[at : at + n]))
-            at += n
-        return out
+            of = np.repeat(np.arange(len(begin)), np.diff(ends) >> 3)
+            again = np.unique(of[skips(place[of] + merges, self.limit)])
+            words = which[again].tolist()
+            ids += self._together([distinct[i] for i in words], [known[i][2] for i in words], place[again], self.limit)
+            which[again] = len(distinct) + np.arange(len(again))
+        found = pa.array(ids, pa.large_binary()).take(pa.array(which))
+        cuts, data = np.frombuffer(found.buffers()[1], "<i8", len(found) + 1)[rows].tolist(), found.buffers()[2]
+        whole = data.to_pybytes() if data else b""
+        return [whole[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def spells(self, ids: Sequence[bytes], texts: Sequence[str | None]) -> list[bool]:
+        """Whether the ids of each text decode to it."""
+        cuts = np.append(0, np.cumsum([len(x) >> 2 for x in ids]))
+        found = self.pieces.take(pa.array(np.frombuffer(b"".join(ids), "<u4")))
+        edges, data = np.frombuffer(found.buffers()[1], "<i8", len(found) + 1)[cuts].tolist(), found.buffers()[2]
+        whole = data.to_pybytes() if data else b""
+        # The first space is none of the text's.
+        return [whole[a:b][1:] == (t or "").encode() for a, b, t in zip(edges[:-1], edges[1:], texts, strict=True)]
 
     def decode(self, ids: bytes) -> str:
         spelled = self.spelled
@@ -377,7 +405,7 @@ def encode_pieces(
                     part.column(0),
                     pa.array([len(x) // 4 for x in ids], pa.int64()),
                     pa.array([zlib.crc32(x) for x in ids], pa.int64()),
-                    pa.array([c.decode(x) == (t or "") for x, t in zip(ids, texts, strict=True)], pa.bool_()),
+                    pa.array(c.spells(ids, texts), pa.bool_()),
                     *([pa.array(ids, pa.binary())] if keep_ids else []),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_pieces", "ids_crc32", "lossless", "ids"][: len(columns)])

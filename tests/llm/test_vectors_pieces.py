@@ -220,3 +220,19 @@ def test_words_side_by_side_as_one_by_one():
 def test_pieces_table(spark):
     out = queries.op4_merge_dropout(spark, "/root/testdata/sf0.001")
     assert out.where("not lossless").count() == 0 and out.count() == 200
+
+
+def test_chunks_of_a_batch_are_looked_up_once(monkeypatch):
+    """Each distinct chunk of a batch is asked for once; what every text and place gets is as if it were alone."""
+    c, asked = pieces.PieceCodec(MODEL, 0.2, 3), []
+    plain = c._plain
+    monkeypatch.setattr(c, "_plain", lambda chunks: asked.append(sorted(chunks)) or plain(chunks))
+    texts = ["to be  or not to be", None, "", " ", "be", "▁ to  ", "日本 to\nbe "] * 2
+    docs = [5, 6, 7, 8, 9, -1, 10**12] * 2
+    together = c.encode_many(texts, docs)
+    assert asked == [sorted(set(asked[0]))]
+    assert together == [pieces.PieceCodec(MODEL, 0.2, 3).encode(t, d) for t, d in zip(texts, docs, strict=True)]
+    assert c.spells(together, texts) == [True] * 14
+    other = [b"" if x else together[0] for x in together]
+    assert c.spells(other, texts) == [False] * 14
+    assert c.spells([x + x[:4] for x in together], texts) == [not x for x in together]
